@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from .common import crc_mod, pieces
 
@@ -165,7 +165,7 @@ def identify(docs: DataFrame, model: CrossParser, text_col: str = "text", out: t
     """
     docs = docs.drop(*out)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: languages x 2 x max_chars x alphabet
-    schema = docs.schema.add(out[0], "string").add(out[1], "double")
+    schema = T.StructType([*docs.schema.fields, T.StructField(out[0], T.StringType()), T.StructField(out[1], T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in pieces(batches, text_col, 4_000_000):

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from .common import crc_mod, pieces
 
@@ -144,7 +144,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
         for batch, texts in pieces(batches, text_col, 4_000_000):
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([shared.value.score(t) for t in texts], pa.float64())], [*batch.schema.names, out])
 
-    return docs.mapInArrow(run, docs.schema.add(out, "double"))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())]))
 
 
 def score_held_out(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
