@@ -6,6 +6,7 @@ import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -32,16 +33,16 @@ def crc_mod(column: str, modulus: int) -> str:
     return f"crc32(cast(coalesce(cast({column} as string), '') as binary)) % {modulus}"
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str, max_chars: int) -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Slices of each batch that hold about ``max_chars`` characters of ``column`` at most (one row at least)."""
+def pieces(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Slices of each batch that hold about ``max_bytes`` bytes of ``column`` at most (one row at least)."""
     for batch in batches:
-        values = batch.column(column).to_pylist()
         begin = size = 0
-        for i, v in enumerate(values):
-            n = len(v) if v else 0
-            if i > begin and size + n > max_chars:
-                yield batch.slice(begin, i - begin), values[begin:i]
+        for i, n in enumerate(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()):
+            if i > begin and size + n > max_bytes:
+                own = batch.slice(begin, i - begin)
+                yield own, own.column(column).to_pylist()
                 begin, size = i, 0
             size += n
-        if begin < len(values):
-            yield batch.slice(begin), values[begin:]
+        if begin < batch.num_rows:
+            own = batch.slice(begin)
+            yield own, own.column(column).to_pylist()
