@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .common import cut, pieces
 
@@ -100,9 +100,15 @@ def text_key(text: str) -> Column:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of an undirected graph of edges (a, b): the least node that each is connected to.
 
-    Labels spread to neighbours and jump to their label's label, each round cut off in the shared folder.
+    Each node first hangs from its least smaller neighbour, which takes over its other edges, so a dense
+    group shrinks to about an edge per node. Then labels spread to neighbours and jump to their label's
+    label, each round cut off in the shared folder.
     """
-    both = cut(edges.where("a <> b").select("a", "b").unionByName(edges.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    down = edges.where("a <> b").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct()
+    hung = down.withColumn("top", F.min("lo").over(W.partitionBy("hi")))
+    thin = hung.select(F.col("top").alias("a"), F.col("hi").alias("b")).unionByName(hung.where("top <> lo").select(F.col("top").alias("a"), F.col("lo").alias("b"))).distinct()
+    thin = cut(thin)
+    both = thin.unionByName(thin.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root")))
     while True:
         seen = both.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("near")).select(F.col("a").alias("node"), "near")
