@@ -91,6 +91,9 @@ class CentroidGraph:
     def search(self, q: np.ndarray, m: int, beam: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids, squared distances) of about the ``m`` nearest centroids of each query, nearest first."""
         q = np.ascontiguousarray(q, np.float32)
+        if len(q) > 512:
+            parts = [self.search(q[at : at + 512], m, beam) for at in range(0, len(q), 512)]
+            return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
         k = len(self.centroids)
         m = min(m, k)
         beam = max(m, beam or 2 * m, 32)
