@@ -21,7 +21,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -184,6 +183,34 @@ def scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return (q * x).sum(axis=1) / (np.sqrt((q * q).sum(axis=1)) * np.sqrt((x * x).sum(axis=1)))
 
 
+class Best:
+    """The ``k`` best distinct hits of each query so far."""
+
+    def __init__(self, k: int):
+        self.k = k
+        self.q, self.x, self.s = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+
+    @property
+    def size(self) -> int:
+        return len(self.q)
+
+    def add(self, hits: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> None:
+        q, x, s = (np.concatenate(c) for c in zip((self.q, self.x, self.s), *hits, strict=True))
+        order = np.lexsort((x, -s, q))
+        q, x, s = q[order], x[order], s[order]
+        once = np.ones(len(q), bool)
+        once[1:] = (q[1:] != q[:-1]) | (x[1:] != x[:-1]) | (s[1:] != s[:-1])
+        q, x, s = q[once], x[once], s[once]
+        first = np.searchsorted(q, q)
+        keep = np.arange(len(q)) - first < self.k
+        self.q, self.x, self.s = q[keep], x[keep], s[keep]
+
+    def emptied(self) -> pa.RecordBatch:
+        out = pa.RecordBatch.from_arrays([pa.array(self.q, pa.int64()), pa.array(self.x, pa.int64()), pa.array(self.s, pa.float64())], ["query_id", "vec_id", "score"])
+        self.__init__(self.k)
+        return out
+
+
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
@@ -235,6 +262,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
     pairs = spread.join(wanted.drop("ask_parts"), ["list", "ask_part"]).select("ask", "post")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, fresh, waiting = Best(k), [], 0
         for whole in batches:
             for i in range(whole.num_rows):
                 ask, post = whole.column(0).slice(i, 1).flatten(), whole.column(1).slice(i, 1).flatten()
@@ -244,10 +272,15 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
                 s[qi[:, None] == xi[None, :]] = -np.inf
                 floor = np.partition(s, -min(k, len(xi)), axis=1)[:, -min(k, len(xi))]
                 a, b = np.nonzero((s >= floor[:, None] - 1e-9) & np.isfinite(s))
-                exact = scores(q[a], x[b])
-                best = pd.DataFrame({"a": a, "q": qi[a], "x": xi[b], "s": exact}).sort_values(["a", "s", "x"], ascending=[True, False, True])
-                best = best.groupby("a", sort=False).head(k)
-                yield pa.RecordBatch.from_arrays([pa.array(best["q"], pa.int64()), pa.array(best["x"], pa.int64()), pa.array(best["s"], pa.float64())], ["query_id", "vec_id", "score"])
+                fresh.append((qi[a], xi[b], scores(q[a], x[b])))
+                waiting += len(a)
+                if waiting > 100_000:
+                    best.add(fresh)
+                    fresh, waiting = [], 0
+                    if best.size > 1_000_000:  # keeps a task's memory bounded, whatever it is dealt
+                        yield best.emptied()
+        best.add(fresh)
+        yield best.emptied()
 
     found = pairs.mapInArrow(scan, "query_id long, vec_id long, score double").distinct()
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
