@@ -31,7 +31,10 @@ from .common import cut
 #: Fixed values of the tokenizer's pre-tokenizer: contractions, letter runs, single digits, symbol runs.
 _SPACE = "\t-\r \x85\xa0  -     　"
 _WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
-_NEVER = 1 << 30
+#: Separators to str.split() that aren't white space to the tokenizer.
+_CONTROL = regex.compile("[\x1c-\x1f]")
+_BITS, _NEVER = 20, 1 << 60
+_UNKNOWN = (1 << _BITS) - 1  # no vocabulary is that large
 
 
 def byte_chars() -> list[str]:
@@ -144,49 +147,62 @@ def compile_lexicon(entries: dict[bytes, bytes]) -> bytes:
 
 
 class _Cache(dict):
+    """Two generations of at most ``limit`` entries each: what was used since the last change of generation stays."""
+
     def __init__(self, make, limit: int):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.old = make, limit, {}
 
     def __missing__(self, word):
+        out = self.old.get(word)
+        if out is None:
+            out = self.make(word)
         if len(self) >= self.limit:
+            self.old = dict(self)
             self.clear()
-        self[word] = out = self.make(word)
+        self[word] = out
         return out
 
 
 class WordBpe:
     """Exact encoder and decoder for a word-level BPE file; the lexicon only saves merging."""
 
-    def __init__(self, tokenizer: bytes, lexicon: bytes | None = None, cache: int = 300_000):
+    def __init__(self, tokenizer: bytes, lexicon: bytes | None = None, cache: int = 400_000):
         data = json.loads(tokenizer)
         model = data["model"]
         self.vocab: dict[str, int] = model["vocab"]
-        self.merges = {tuple(m) if isinstance(m, list) else tuple(m.split(" ")): i for i, m in enumerate(model["merges"])}
         self.end = model["end_of_word_suffix"]
         self.specials = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.special = regex.compile("(" + "|".join(regex.escape(s) for s in self.specials) + ")")
-        self.chars = byte_chars()
+        # a pair of ids as one number -> rank and id of what it merges to, also as one number
+        pairs = ((m if isinstance(m, list) else m.split(" ")) for m in model["merges"])
+        self.merges = {self.vocab[a] << _BITS | self.vocab[b]: rank << _BITS | self.vocab[a + b] for rank, (a, b) in enumerate(pairs)}
+        chars = byte_chars()
+        self.inner, self.last = ([self.vocab.get(c + end, _UNKNOWN) for c in chars] for end in ("", self.end))
         self.tokens = [""] * (1 + max([*self.vocab.values(), *self.specials.values()]))
         for t, i in [*self.vocab.items(), *self.specials.items()]:
             self.tokens[i] = t
         self.lexicon = Transducer(lexicon) if lexicon else None
         self.words = _Cache(self.word_ids, cache)
+        self.runs = _Cache(lambda run: b"".join(map(self.words.__getitem__, _WORD.findall(run))), cache)
 
     def merge(self, word: str) -> bytes:
-        symbols = [self.chars[b] for b in word.encode()]
-        symbols[-1] += self.end
+        inner, bits = self.inner, word.encode()
+        ids = [inner[b] for b in bits]
+        ids[-1] = self.last[bits[-1]]
         rank = self.merges.get
-        ranks = [rank(p, _NEVER) for p in pairwise(symbols)]
+        ranks = [rank(a << _BITS | b, _NEVER) for a, b in pairwise(ids)]
         while ranks and (best := min(ranks)) != _NEVER:
             i = ranks.index(best)
-            symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
-            del ranks[i]
+            ids[i] = made = best & _UNKNOWN
+            del ids[i + 1], ranks[i]
             if i < len(ranks):
-                ranks[i] = rank((symbols[i], symbols[i + 1]), _NEVER)
+                ranks[i] = rank(made << _BITS | ids[i + 1], _NEVER)
             if i:
-                ranks[i - 1] = rank((symbols[i - 1], symbols[i]), _NEVER)
-        return np.array([self.vocab[s] for s in symbols if s in self.vocab], "<u4").tobytes()
+                ranks[i - 1] = rank(ids[i - 1] << _BITS | made, _NEVER)
+        if _UNKNOWN in ids:
+            ids = [x for x in ids if x != _UNKNOWN]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def word_ids(self, word: str) -> bytes:
         known = self.lexicon.ids(word.encode()) if self.lexicon else None
@@ -197,7 +213,9 @@ class WordBpe:
             if not unicodedata.is_normalized("NFC", text):
                 text = unicodedata.normalize("NFC", text)
             text = text.replace("Σ", "σ")  # lower() alone would apply the final-sigma rule
-        return b"".join(map(self.words.__getitem__, _WORD.findall(text.lower())))
+        if _CONTROL.search(text):
+            return b"".join(map(self.words.__getitem__, _WORD.findall(text.lower())))
+        return b"".join(map(self.runs.__getitem__, text.lower().split()))  # no word crosses white space
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .bpe import encoder
+from .common import cut
 
 
 def encoded_lengths(docs: DataFrame, tokenizer_path: str, text_col: str = "text") -> DataFrame:
@@ -36,7 +37,7 @@ def length_histogram(lengths: DataFrame, block: int = 1024) -> DataFrame:
     n_docs and n_tokens at that length; docs_within and tokens_within it; docs_over and tokens_over it;
     truncated_tokens (every document cut to the limit); cum_share (the quantile that the limit is).
     """
-    h = lengths.groupBy("length").agg(F.count("*").alias("n_docs")).withColumn("n_tokens", F.col("length") * F.col("n_docs")).withColumn("block", F.expr(f"length div {block}"))
+    h = cut(lengths.groupBy("length").agg(F.count("*").alias("n_docs"))).withColumn("n_tokens", F.col("length") * F.col("n_docs")).withColumn("block", F.expr(f"length div {block}"))
     every = W.orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     whole = W.orderBy("block").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     blocks = (
