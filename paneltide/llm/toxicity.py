@@ -4,7 +4,7 @@ A logistic model over the words of a text and their stems (prefixes of 4 to 6 le
 sample, identity terms are swapped for others, and the squared change of the score's logit between a text
 and its swapped twin is penalised, so that a neutral mention of a group moves the score little.
 
-Fitted on a bounded sample of labelled rows: ``per_class`` rows of each label, of ``max_chars``
+Fitted on a bounded sample of labelled rows: about ``per_class`` rows of each label, of ``max_chars``
 characters at most (both parameters). Every text is scored whole.
 
 Defined results: a null or empty text gets the score of a text without any feature; repeated rows are
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import crc_mod, pieces
 
@@ -123,10 +123,15 @@ def fit(texts: list[str], labels: list[int], n_features: int = 2048, penalty: fl
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 2500, max_chars: int = 20_000, exclude: str = "false") -> Model:
-    """Fit on a bounded sample: of each label the ``per_class`` rows of least hash, of ``max_chars`` characters at most."""
+    """Fit on a bounded sample: of each label about the ``per_class`` rows of least hash, of ``max_chars`` characters at most."""
     known = labels.where(F.col("toxic").isNotNull() & ~F.expr(exclude)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    order = W.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_class)
+    sizes = known.groupBy("toxic").count().collect()
+    if not sizes:
+        return fit([], [])
+    least = F.lit(0)
+    for r in sizes:  # the share of each label's hash range that holds about per_class rows
+        least = F.when(F.col("toxic") == r["toxic"], F.lit(int(min(1.0, per_class / r["count"]) * (1 << 30)))).otherwise(least)
+    chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < least)
     ids = {r["doc_id"]: int(r["toxic"] > 0) for r in chosen.select("doc_id", "toxic").collect()}
     if not ids:
         return fit([], [])
