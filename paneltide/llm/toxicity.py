@@ -1,6 +1,6 @@
 """Counterfactual-regularised toxicity classifier (operator 8).
 
-A logistic model over the words of a text and their stems (prefixes of 4 to 6 letters). In the labelled
+A logistic model over the words of a text and their stems (prefixes of 4 to 8 letters). In the labelled
 sample, identity terms are swapped for others, and the squared change of the score's logit between a text
 and its swapped twin is penalised, so that a neutral mention of a group moves the score little.
 
@@ -39,7 +39,7 @@ _TWINS = {w: (group, i) for group in IDENTITY_TERMS for i, w in enumerate(group)
 
 
 def word_features(word: str) -> list[str]:
-    return [word, *(word[:k] + "*" for k in (4, 5, 6) if len(word) > k)]
+    return [word, *(word[:k] + "*" for k in (4, 5, 6, 7, 8) if len(word) > k)]
 
 
 def features(text: str | None) -> set[str]:
@@ -79,7 +79,7 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
 
-def fit(texts: list[str], labels: list[int], n_features: int = 2048, penalty: float = 5.0, l2: float = 1e-4, steps: int = 300) -> Model:
+def fit(texts: list[str], labels: list[int], n_features: int = 2048, least_z: float = 2.5, penalty: float = 5.0, l2: float = 1e-3, steps: int = 400) -> Model:
     """Weights by Adam on logistic loss + ``l2`` + ``penalty`` times the mean squared logit change under swaps."""
     y = np.array(labels, np.float32)
     pos, neg = int(y.sum()), int(len(y) - y.sum())
@@ -89,20 +89,22 @@ def fit(texts: list[str], labels: list[int], n_features: int = 2048, penalty: fl
     seen = (Counter(), Counter())
     for s, label in zip(sets, labels, strict=True):
         seen[label].update(s)
-    lift = {}
+    # smoothed log odds of a feature between the classes; kept where it stands ``least_z`` standard errors from 0
+    odds, z = {}, {}
     for f in seen[0].keys() | seen[1].keys():
-        a, b = seen[1][f], seen[0][f]
+        a, b = seen[1][f] + 0.5, seen[0][f] + 0.5
         if a + b >= 4:
-            expected = (a + b) * pos / len(y)
-            lift[f] = (a - expected) ** 2 / expected + (b - (a + b - expected)) ** 2 / (a + b - expected)
-    names = sorted(lift, key=lambda f: (-lift[f], f))[:n_features]
+            odds[f] = np.log(a / (pos + 1 - a)) - np.log(b / (neg + 1 - b))
+            z[f] = abs(odds[f]) / np.sqrt(1 / a + 1 / b + 1 / (pos + 1 - a) + 1 / (neg + 1 - b))
+    names = sorted((f for f in z if z[f] >= least_z), key=lambda f: (-z[f], f))[:n_features]
+    scale = np.array([odds[f] for f in names], np.float32)
     index = {f: i for i, f in enumerate(names)}
 
     def matrix(rows: list[set[str]]) -> np.ndarray:
         x = np.zeros((len(rows), len(names)), np.float32)
         for i, s in enumerate(rows):
             x[i, [index[f] for f in s if f in index]] = 1
-        return x
+        return x * scale  # evidence as the unit: rare features start small
 
     x = matrix(sets)
     pairs = [(i, t) for i, text in enumerate(texts) for by in (1, 3) if (t := swapped(text, by)) is not None]
@@ -119,7 +121,7 @@ def fit(texts: list[str], labels: list[int], n_features: int = 2048, penalty: fl
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         d = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w, b = (w - d[:-1]).astype(np.float32), np.float32(b - d[-1])
-    return Model(names, w, b)
+    return Model(names, w * scale, b)
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 2500, max_chars: int = 20_000, exclude: str = "false") -> Model:
