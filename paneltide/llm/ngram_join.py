@@ -37,9 +37,10 @@ def choose_bands(threshold: float, recall: float = 0.999, most_hashes: int = 160
     """(bands, rows): the most rows, hence the fewest false candidates, that reach ``recall`` at ``threshold``."""
     best = (most_hashes, 1)
     for rows in range(1, most_hashes + 1):
-        bands = math.ceil(math.log(1 - recall) / math.log(1 - threshold**rows)) if threshold**rows < 1 else 1
-        if bands * rows <= most_hashes:
-            best = (bands, rows)
+        miss = math.log1p(-(threshold**rows)) if threshold < 1 else -math.inf  # of one band
+        if not miss or (bands := math.ceil(math.log(1 - recall) / miss) or 1) * rows > most_hashes:
+            break
+        best = (bands, rows)
     return best
 
 
