@@ -26,6 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from . import common
 from .common import cut
 
 #: Fixed values of the tokenizer's pre-tokenizer: contractions, letter runs, single digits, symbol runs.
@@ -167,7 +168,7 @@ class _Cache(dict):
 class WordBpe:
     """Exact encoder and decoder for a word-level BPE file; the lexicon only saves merging."""
 
-    def __init__(self, tokenizer: bytes, lexicon: bytes | None = None, cache: int = 400_000):
+    def __init__(self, tokenizer: bytes, lexicon: bytes | None = None, cache: int = 300_000):
         data = json.loads(tokenizer)
         model = data["model"]
         self.vocab: dict[str, int] = model["vocab"]
@@ -231,10 +232,12 @@ class WordBpe:
 
 
 _encoders: dict[bytes, WordBpe] = {}
+common.kept["bpe"] = _encoders.clear
 
 
 def encoder(tokenizer: bytes, lexicon: bytes | None = None) -> WordBpe:
     """One encoder per Python worker: its caches live on from task to task."""
+    common.take_turn("bpe")
     key = hashlib.sha1(tokenizer + (lexicon or b"")).digest()
     if key not in _encoders:
         _encoders.clear()

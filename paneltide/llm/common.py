@@ -3,13 +3,24 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: What each operator keeps in a Python worker from task to task, and how to drop it.
+kept: dict[str, Callable[[], None]] = {}
+
+
+def take_turn(owner: str) -> None:
+    """Drops what other operators left in this worker, so that a job of several doesn't add up their caches."""
+    for name, drop in kept.items():
+        if name != owner:
+            drop()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

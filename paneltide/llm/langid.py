@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
-from .common import crc_mod, pieces
+from .common import crc_mod, pieces, take_turn
 
 STRETCH = 512
 _LIMIT = 0x20000
@@ -168,7 +168,8 @@ def identify(docs: DataFrame, model: CrossParser, text_col: str = "text", out: t
     schema = T.StructType([*docs.schema.fields, T.StructField(out[0], T.StringType()), T.StructField(out[1], T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in pieces(batches, text_col, 4_000_000):
+        take_turn("langid")
+        for batch, texts in pieces(batches, text_col, 2_000_000):
             langs, scores = shared.value.predict(texts)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names, *out])
 

@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .common import cut, pieces
+from .common import cut, pieces, take_turn
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 NO_ID = -(1 << 63)
@@ -168,6 +168,7 @@ def links(docs: DataFrame, threshold: float, n: int, recall: float, block: int,
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id0"), text_key(text_col).alias("key"), F.col(text_col).alias("text"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_turn("ngram_join")
         for batch, texts in pieces(batches, "text", 1_000_000):
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(band_hashes(texts, bands, rows, n), pa.list_(pa.int64()))], ["id", "id0", "key", "bands"])
 
@@ -186,6 +187,7 @@ def links(docs: DataFrame, threshold: float, n: int, recall: float, block: int,
     texts = slim.select("id0", "key", "text").join(members, ["id0", "key"]).select("key", "root", "copies", "blocks", "own", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_turn("ngram_join")
         for batch, texts in pieces(batches, "text", 1_000_000):
             grams, ends = gram_hashes(texts, n)
             own = [np.unique(grams[a:b]).view(np.int64) for a, b in zip(ends, ends[1:], strict=False)]

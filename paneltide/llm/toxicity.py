@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import crc_mod, pieces
+from .common import crc_mod, pieces, take_turn
 
 #: Identity terms that are swapped within a list.
 IDENTITY_TERMS = (
@@ -70,7 +70,7 @@ class Model:
         for w in set(_WORD.findall((text or "").lower())):
             own = cache.get(w)
             if own is None:
-                if len(cache) > 300_000:
+                if len(cache) > 200_000:
                     cache.clear()
                 own = cache[w] = tuple(self.index[f] for f in word_features(w) if f in self.index)
             if own:
@@ -148,7 +148,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
     shared = docs.sparkSession.sparkContext.broadcast(model)  # n_features weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in pieces(batches, text_col, 4_000_000):
+        take_turn("toxicity")
+        for batch, texts in pieces(batches, text_col, 2_000_000):
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([shared.value.score(t) for t in texts], pa.float64())], [*batch.schema.names, out])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())]))
