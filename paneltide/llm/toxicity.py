@@ -14,7 +14,6 @@ each scored; repeated labels of a row count as toxic if one is; without both lab
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -85,30 +84,41 @@ def fit(texts: list[str], labels: list[int], n_features: int = 2048, least_z: fl
     pos, neg = int(y.sum()), int(len(y) - y.sum())
     if not pos or not neg:
         return Model([], np.zeros(0), -40.0)
-    sets = [features(t) for t in texts]
-    seen = (Counter(), Counter())
-    for s, label in zip(sets, labels, strict=True):
-        seen[label].update(s)
+    seen: dict[str, int] = {}  # feature -> number; texts are held as arrays of numbers
+    by_word: dict[str, list[int]] = {}
+
+    def numbered(text: str) -> np.ndarray:
+        own: set[int] = set()
+        for w in set(_WORD.findall(text.lower())):
+            if w not in by_word:
+                by_word[w] = [seen.setdefault(f, len(seen)) for f in word_features(w)]
+            own.update(by_word[w])
+        return np.fromiter(sorted(own), np.int32, len(own))
+
+    rows = [numbered(t) for t in texts]
+    count = [np.bincount(np.concatenate([r for r, own in zip(rows, labels, strict=True) if own == label]), minlength=len(seen)) for label in (1, 0)]
     # smoothed log odds of a feature between the classes; kept where it stands ``least_z`` standard errors from 0
-    odds, z = {}, {}
-    for f in seen[0].keys() | seen[1].keys():
-        a, b = seen[1][f] + 0.5, seen[0][f] + 0.5
-        if a + b >= 4:
-            odds[f] = np.log(a / (pos + 1 - a)) - np.log(b / (neg + 1 - b))
-            z[f] = abs(odds[f]) / np.sqrt(1 / a + 1 / b + 1 / (pos + 1 - a) + 1 / (neg + 1 - b))
-    names = sorted((f for f in z if z[f] >= least_z), key=lambda f: (-z[f], f))[:n_features]
-    scale = np.array([odds[f] for f in names], np.float32)
-    index = {f: i for i, f in enumerate(names)}
-
-    def matrix(rows: list[set[str]]) -> np.ndarray:
+    a, b = count[0] + 0.5, count[1] + 0.5
+    odds = np.log(a / (pos + 1 - a)) - np.log(b / (neg + 1 - b))
+    z = np.where(a + b >= 4, np.abs(odds) / np.sqrt(1 / a + 1 / b + 1 / (pos + 1 - a) + 1 / (neg + 1 - b)), 0)
+    all_names = np.array([*seen], dtype=object)
+    chosen = [i for i in np.argsort(-z, kind="stable")[: 4 * n_features].tolist() if z[i] >= least_z]
+    chosen = sorted(chosen, key=lambda i: (-z[i], all_names[i]))[:n_features]
+    names, scale = [all_names[i] for i in chosen], odds[chosen].astype(np.float32)
+    place = np.full(len(seen), -1, np.int32)
+    place[chosen] = np.arange(len(chosen))
+
+    def matrix(rows: list[np.ndarray]) -> np.ndarray:
         x = np.zeros((len(rows), len(names)), np.float32)
-        for i, s in enumerate(rows):
-            x[i, [index[f] for f in s if f in index]] = 1
-        return x * scale  # evidence as the unit: rare features start small
+        for i, own in enumerate(rows):
+            own = place[own[own < len(place)]]  # words first met in a swapped text were in no class
+            x[i, own[own >= 0]] = 1
+        x *= scale  # evidence as the unit: rare features start small
+        return x
 
-    x = matrix(sets)
+    x = matrix(rows)
     pairs = [(i, t) for i, text in enumerate(texts) for by in (1, 3) if (t := swapped(text, by)) is not None]
-    change = matrix([features(t) for _, t in pairs]) - x[[i for i, _ in pairs]] if pairs else None
+    change = matrix([numbered(t) for _, t in pairs]) - x[[i for i, _ in pairs]] if pairs else None
     w, b = np.zeros(len(names), np.float32), np.float32(0)
     weight = np.where(y == 1, 0.5 / pos, 0.5 / neg).astype(np.float32)
     m, v = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
