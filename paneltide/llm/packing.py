@@ -73,7 +73,9 @@ def deal(sizes: np.ndarray, capacity: int) -> np.ndarray:
         out = differencing(sizes, windows)
         if not len(sizes) or np.bincount(out, sizes).max() <= capacity:
             return out
-        windows += max(1, windows // 256)
+        # as many more as this imbalance calls for, one at least
+        excess = np.bincount(out, sizes).max() - sizes.sum() / windows
+        windows = max(windows + 1, int(sizes.sum() / max(capacity - excess, capacity / 2)))
 
 
 def piece_table(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
