@@ -168,7 +168,7 @@ class _Cache(dict):
 class WordBpe:
     """Exact encoder and decoder for a word-level BPE file; the lexicon only saves merging."""
 
-    def __init__(self, tokenizer: bytes, lexicon: bytes | None = None, cache: int = 300_000):
+    def __init__(self, tokenizer: bytes, lexicon: bytes | None = None, cache: int = 350_000):
         data = json.loads(tokenizer)
         model = data["model"]
         self.vocab: dict[str, int] = model["vocab"]
