@@ -123,9 +123,8 @@ class CrossParser:
         return out
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        coded = [self.encode(t) if t else np.empty(0, np.uint8) for t in texts]
-        spoken = [bool((c != SPACE).any()) for c in coded]
-        counts = self.phrases([c if s else c[:0] for c, s in zip(coded, spoken, strict=True)])
+        spoken = [any(map(str.isalpha, t or "")) for t in texts]
+        counts = self.phrases([self.encode(t) if s else np.empty(0, np.uint8) for t, s in zip(texts, spoken, strict=True)])
         langs, scores = [], []
         for n, s in zip(counts, spoken, strict=True):
             if not s or not self.languages:
