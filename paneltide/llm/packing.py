@@ -34,28 +34,29 @@ def differencing(sizes: np.ndarray, windows: int) -> np.ndarray:
     parts: list[tuple[np.ndarray, np.ndarray]] = []
     heap: list[tuple[int, int]] = []
     for i, s in enumerate(sizes):
-        sums, nodes = np.zeros(windows, np.int64), np.full(windows, -1, np.int64)
-        sums[0], nodes[0] = s, i
-        parts.append((sums, nodes))
+        parts.append((np.array([s], np.int64), np.array([i], np.int64)))  # windows without an item aren't stored: memory follows the items
         heap.append((-int(s), i))
     heapq.heapify(heap)
     while len(heap) > 1:
         (_, a), (_, b) = heapq.heappop(heap), heapq.heappop(heap)
         (sa, na), (sb, nb) = parts[a], parts[b]
-        sums, nb = sa + sb[::-1], nb[::-1]
-        nodes = np.where(na < 0, nb, na)
-        both = np.flatnonzero((na >= 0) & (nb >= 0))
-        if len(both):
-            nodes[both] = np.arange(len(left), len(left) + len(both))
-            left.extend(na[both].tolist())
-            right.extend(nb[both].tolist())
-        sums -= sums.min()
+        alone = max(0, windows - len(sb))  # a's fullest windows meet b's empty ones
+        met = max(0, len(sa) - alone)
+        sums = np.concatenate([sa, sb[: len(sb) - met]])
+        nodes = np.concatenate([na, nb[: len(nb) - met]])
+        if met:
+            sums[alone : alone + met] += sb[::-1][:met]
+            nodes[alone : alone + met] = np.arange(len(left), len(left) + met)
+            left.extend(na[alone:].tolist())
+            right.extend(nb[::-1][:met].tolist())
+        if len(sums) == windows:
+            sums -= sums.min()
         order = np.argsort(-sums, kind="stable")
         parts[a], parts[b] = (sums[order], nodes[order]), None
         heapq.heappush(heap, (-int(sums.max()), a))
     out = np.zeros(n, np.int64)
     for w, top in enumerate(parts[heap[0][1]][1].tolist()):
-        stack = [top] if top >= 0 else []
+        stack = [top]
         while stack:
             x = stack.pop()
             if x < n:

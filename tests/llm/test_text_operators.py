@@ -131,6 +131,12 @@ def check_packing(rows, texts, reference, capacity):
     return sum(r.length for r in rows) / (capacity * len(sequences))
 
 
+def test_differencing_of_very_many_short_texts():
+    """Memory follows the items: 100,000 end ids in a group (empty texts) need 25 windows, not a table of items x windows."""
+    out = packing.deal(np.ones(100_000, np.int64), 4096)
+    assert out.max() == 24 and np.ptp(np.bincount(out)) <= 1
+
+
 def test_op6_packs_everything(spark, reference):
     texts = {r.doc_id: r.text for r in queries.table(spark, "/root/testdata/sf0.01", "documents").collect()}
     fill = check_packing(queries.op6_packing(spark, "/root/testdata/sf0.01").collect(), texts, reference, 4096)
@@ -189,6 +195,11 @@ def test_cross_parsing_equals_brute_force():
             assert row.tolist() == [brute_phrases(t, " " + samples[k][0]) for k in ("aa", "bb")]
 
 
+def test_characters_beyond_the_table_of_codes():
+    model = langid.CrossParser({"aa": ["the cat"], "bb": ["der hund"]})
+    assert model.predict([None, "\U000e0101 \U000f0000", "\U00020000"])[0] == ["und", "und", "aa"]  # a variation selector and a private one are no letters
+
+
 def test_op9_held_out(spark):
     sf = "/root/testdata/sf0.1"
     truth = {r.doc_id: r.lang for r in queries.table(spark, sf, "documents").select("doc_id", "lang").collect()}
