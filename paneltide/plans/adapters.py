@@ -29,8 +29,8 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def daily(spark: SparkSession, sf_dir: str, most_lead: int | None = 120) -> DataFrame:
-    """Daily lowest values of offers made 1 to ``most_lead`` days ahead (None: all)."""
+def daily(spark: SparkSession, sf_dir: str, most_lead: int | None = None) -> DataFrame:
+    """Daily lowest values of all offers, or of those made 1 to ``most_lead`` days ahead."""
     rows = offers(spark, sf_dir)
     return lowest_per_group(rows if most_lead is None else rows.where(F.col("lead").between(1, most_lead)), DAILY_KEYS, "search_id", "fare")
 

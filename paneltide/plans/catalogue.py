@@ -19,18 +19,30 @@ KEYS = ", ".join(KEY)
 HOLIDAYS = ("1995-07-04", "1995-11-23", "1995-12-25", "1996-01-01", "1996-07-04", "1996-11-28", "1996-12-25")
 HOLIDAY_SQL = ", ".join(f"DATE '{d}'" for d in HOLIDAYS)
 FIRST, LAST = "min(day)", "max(day)"
+NEAR = "WHERE lead BETWEEN 1 AND 120"  # the range of DAILY_SQL
 
 
-def query(sql: str | None = None, base: str = "", ints: tuple[str, ...] = ()) -> Callable:
-    """Registers a query. ``ints``: integer columns that can be null, shown as -1 on both sides."""
+def query(sql: str | None = None, base: str = "", ints: tuple[str, ...] = (), cut: str = "") -> Callable:
+    """Registers a query. ``ints``: integer columns that can be null, shown as -1 on both sides.
 
-    def register(f):
-        QUERIES[f.__name__] = shown = (lambda spark, d: f(spark, d).withColumns({c: F.coalesce(F.col(c), F.lit(-1)) for c in ints})) if ints else f
+    ``cut``: a clause of the SQL that leaves rows out. The query is registered once more, as NAME_all, without it;
+    its function gets None as third argument then.
+    """
+
+    def put(name, f, sql, base):
+        QUERIES[name] = shown = (lambda spark, d: f(spark, d).withColumns({c: F.coalesce(F.col(c), F.lit(-1)) for c in ints})) if ints else f
         if sql:
             body = f"SELECT * REPLACE ({', '.join(f'coalesce({c}, -1) AS {c}' for c in ints)}) FROM ({sql})" if ints else sql
-            SQL[f.__name__] = (f"WITH {base}\n" if base else "") + body
+            SQL[name] = (f"WITH {base}\n" if base else "") + body
         return shown
 
+    def register(f):
+        if cut:
+            if cut not in base + sql:
+                raise ValueError(f"{f.__name__}: no {cut} in its SQL")
+            put(f"{f.__name__}_all", lambda spark, d: f(spark, d, None), sql.replace(cut, ""), base.replace(cut, ""))
+        return put(f.__name__, f, sql, base)
+
     return register
 
 
@@ -43,12 +55,12 @@ def r6(c: Column | str) -> Column:
 
 @query("SELECT * FROM daily", ALL_DAILY_SQL, ints=("stay",))
 def daily_lowest_fare(spark, d):
-    return daily(spark, d, None)
+    return daily(spark, d)
 
 
-@query(f"SELECT {KEYS} FROM daily QUALIFY row_number() OVER (PARTITION BY market, out_date, stay ORDER BY shop_date DESC, pos, currency, min_value) = 1", DAILY_SQL, ints=("stay",))
-def latest_per_key(spark, d):
-    return lowest.latest_per_key(daily(spark, d), ["market", "out_date", "stay"], "shop_date", ["pos", "currency", "min_value"]).select(*KEY)
+@query(f"SELECT {KEYS} FROM daily QUALIFY row_number() OVER (PARTITION BY market, out_date, stay ORDER BY shop_date DESC, pos, currency, min_value) = 1", DAILY_SQL, ints=("stay",), cut=NEAR)
+def latest_per_key(spark, d, most_lead=120):
+    return lowest.latest_per_key(daily(spark, d, most_lead), ["market", "out_date", "stay"], "shop_date", ["pos", "currency", "min_value"]).select(*KEY)
 
 
 _RANKS = f"""{OFFERS_SQL},
@@ -199,67 +211,67 @@ def union_versions(spark, d):
 
 @query(f"SELECT {KEYS} FROM daily WHERE lead BETWEEN 1 AND 61 AND (stay BETWEEN 3 AND 22 OR stay IS NULL)", ALL_DAILY_SQL, ints=("stay",))
 def dtd_los_filter(spark, d):
-    return restrict.within_days(daily(spark, d, None), "lead", "stay", (1, 60), (3, 21), slack=1).select(*KEY)
+    return restrict.within_days(daily(spark, d), "lead", "stay", (1, 60), (3, 21), slack=1).select(*KEY)
 
 
-@query(f"SELECT {KEYS} FROM daily WHERE shop_date >= DATE '1996-06-30' - 365", DAILY_SQL, ints=("stay",))
-def staleness_filter(spark, d):
-    return restrict.fresh(daily(spark, d), "shop_date", F.lit("1996-06-30").cast("date"), 365).select(*KEY)
+@query(f"SELECT {KEYS} FROM daily WHERE shop_date >= DATE '1996-06-30' - 365", DAILY_SQL, ints=("stay",), cut=NEAR)
+def staleness_filter(spark, d, most_lead=120):
+    return restrict.fresh(daily(spark, d, most_lead), "shop_date", F.lit("1996-06-30").cast("date"), 365).select(*KEY)
 
 
 _RATIO = "SELECT *, min_value / {f} OVER (PARTITION BY market) AS ratio FROM daily"
 
 
-@query(f"SELECT {KEYS}, round(ratio, 6) AS ratio FROM ({_RATIO.format(f='avg(min_value)')}) WHERE ratio < 1.5", DAILY_SQL, ints=("stay",))
-def ratio_mean_filter(spark, d):
-    return restrict.ratio_filter(daily(spark, d), ["market"], "min_value", 1.5).select(*KEY, r6("ratio").alias("ratio"))
+@query(f"SELECT {KEYS}, round(ratio, 6) AS ratio FROM ({_RATIO.format(f='avg(min_value)')}) WHERE ratio < 1.5", DAILY_SQL, ints=("stay",), cut=NEAR)
+def ratio_mean_filter(spark, d, most_lead=120):
+    return restrict.ratio_filter(daily(spark, d, most_lead), ["market"], "min_value", 1.5).select(*KEY, r6("ratio").alias("ratio"))
 
 
 @query(f"SELECT {KEYS}, round(ratio, 6) AS ratio FROM ({_RATIO.format(f='avg(min_value)')}) WHERE NOT (ratio >= 1.1 AND solution_counts < 2)", ALL_DAILY_SQL, ints=("stay",))
 def ratio_mean_count_filter(spark, d):
-    return restrict.ratio_filter(daily(spark, d, None), ["market"], "min_value", 1.1, "mean", "solution_counts", 2).select(*KEY, r6("ratio").alias("ratio"))
+    return restrict.ratio_filter(daily(spark, d), ["market"], "min_value", 1.1, "mean", "solution_counts", 2).select(*KEY, r6("ratio").alias("ratio"))
 
 
-@query(f"SELECT {KEYS}, round(ratio, 6) AS ratio FROM ({_RATIO.format(f='quantile_cont(min_value, 0.5)')}) WHERE ratio < 1.4", DAILY_SQL, ints=("stay",))
-def ratio_median_filter(spark, d):
-    return restrict.ratio_filter(daily(spark, d), ["market"], "min_value", 1.4, "median").select(*KEY, r6("ratio").alias("ratio"))
+@query(f"SELECT {KEYS}, round(ratio, 6) AS ratio FROM ({_RATIO.format(f='quantile_cont(min_value, 0.5)')}) WHERE ratio < 1.4", DAILY_SQL, ints=("stay",), cut=NEAR)
+def ratio_median_filter(spark, d, most_lead=120):
+    return restrict.ratio_filter(daily(spark, d, most_lead), ["market"], "min_value", 1.4, "median").select(*KEY, r6("ratio").alias("ratio"))
 
 
-@query(f"SELECT {KEYS} FROM (SELECT *, lag(min_value) OVER (PARTITION BY market ORDER BY shop_date, out_date, pos, currency, stay NULLS FIRST, min_value) AS p FROM daily) WHERE p IS NULL OR min_value / p <= 1.2", DAILY_SQL, ints=("stay",))
-def prev_val_ratio_filter(spark, d):
-    return restrict.previous_ratio_filter(daily(spark, d), ["market"], ["shop_date", "out_date", "pos", "currency", F.asc_nulls_first("stay"), "min_value"], "min_value", 1.2).select(*KEY)
+@query(f"SELECT {KEYS} FROM (SELECT *, lag(min_value) OVER (PARTITION BY market ORDER BY shop_date, out_date, pos, currency, stay NULLS FIRST, min_value) AS p FROM daily) WHERE p IS NULL OR min_value / p <= 1.2", DAILY_SQL, ints=("stay",), cut=NEAR)
+def prev_val_ratio_filter(spark, d, most_lead=120):
+    return restrict.previous_ratio_filter(daily(spark, d, most_lead), ["market"], ["shop_date", "out_date", "pos", "currency", F.asc_nulls_first("stay"), "min_value"], "min_value", 1.2).select(*KEY)
 
 
-@query(f"SELECT {KEYS} FROM daily WHERE market IN (SELECT market FROM daily GROUP BY market HAVING stddev_samp(min_value) / avg(min_value) < 0.6)", DAILY_SQL, ints=("stay",))
-def rsd_filter(spark, d):
-    return restrict.low_spread(daily(spark, d), ["market"], "min_value", 0.6).select(*KEY)
+@query(f"SELECT {KEYS} FROM daily WHERE market IN (SELECT market FROM daily GROUP BY market HAVING stddev_samp(min_value) / avg(min_value) < 0.6)", DAILY_SQL, ints=("stay",), cut=NEAR)
+def rsd_filter(spark, d, most_lead=120):
+    return restrict.low_spread(daily(spark, d, most_lead), ["market"], "min_value", 0.6).select(*KEY)
 
 
 @query(f"SELECT {KEYS} FROM daily WHERE market IN (SELECT market FROM daily GROUP BY market HAVING count(DISTINCT (isodow(shop_date), isodow(out_date))) = 49)", ALL_DAILY_SQL, ints=("stay",))
 def dow_combo_filter(spark, d):
-    rows = daily(spark, d, None).withColumn("shop_dow", dates.weekday(F.col("shop_date"))).withColumn("out_dow", dates.weekday(F.col("out_date")))
+    rows = daily(spark, d).withColumn("shop_dow", dates.weekday(F.col("shop_date"))).withColumn("out_dow", dates.weekday(F.col("out_date")))
     return restrict.full_combos(rows, ["market"], ["shop_dow", "out_dow"], 49).select(*KEY)
 
 
 _VOLUME = "(SELECT market, sum(search_counts)::BIGINT AS volume, row_number() OVER (ORDER BY sum(search_counts) DESC, market) AS volume_rank FROM daily GROUP BY market)"
 
 
-@query(f"SELECT {KEYS}, CAST(volume_rank AS INTEGER) AS volume_rank FROM daily JOIN {_VOLUME} USING (market) WHERE volume_rank <= 25", DAILY_SQL, ints=("stay",))
-def rank_filter(spark, d):
-    return restrict.top_by_volume(daily(spark, d), ["market"], "search_counts", 25).select(*KEY, "volume_rank")
+@query(f"SELECT {KEYS}, CAST(volume_rank AS INTEGER) AS volume_rank FROM daily JOIN {_VOLUME} USING (market) WHERE volume_rank <= 25", DAILY_SQL, ints=("stay",), cut=NEAR)
+def rank_filter(spark, d, most_lead=120):
+    return restrict.top_by_volume(daily(spark, d, most_lead), ["market"], "search_counts", 25).select(*KEY, "volume_rank")
 
 
 @query(f"SELECT {KEYS} FROM daily JOIN (SELECT market, quantile_cont(min_value, 0.05) AS lo, quantile_cont(min_value, 0.9) AS hi FROM daily GROUP BY market) USING (market) WHERE min_value >= lo AND NOT (min_value > hi AND solution_counts <= 1)", ALL_DAILY_SQL, ints=("stay",))
 def percentile_clip(spark, d):
-    return restrict.percentile_clip(daily(spark, d, None), ["market"], "min_value", 0.05, 0.9, "solution_counts", 1).select(*KEY)
+    return restrict.percentile_clip(daily(spark, d), ["market"], "min_value", 0.05, 0.9, "solution_counts", 1).select(*KEY)
 
 
 @query("""
 SELECT pos, currency, origin, destination, out_date, stay, shop_date, min_value FROM (
   SELECT *, min_value / avg(min_value) OVER (PARTITION BY market) AS ratio FROM daily WHERE shop_date >= DATE '1998-01-01' - 1500) WHERE ratio < 3
-QUALIFY row_number() OVER (PARTITION BY market, out_date, stay ORDER BY shop_date DESC, pos, currency, min_value) = 1""", DAILY_SQL, ints=("stay",))
-def nightly_lookup(spark, d):
-    return lookups.nightly_lookup(daily(spark, d), F.lit("1998-01-01").cast("date"), lookups.LookupConfig(stale_after=1500, ratio_mean=3.0))
+QUALIFY row_number() OVER (PARTITION BY market, out_date, stay ORDER BY shop_date DESC, pos, currency, min_value) = 1""", DAILY_SQL, ints=("stay",), cut=NEAR)
+def nightly_lookup(spark, d, most_lead=120):
+    return lookups.nightly_lookup(daily(spark, d, most_lead), F.lit("1998-01-01").cast("date"), lookups.LookupConfig(stale_after=1500, ratio_mean=3.0))
 
 
 @query(f"""
@@ -416,17 +428,17 @@ def rolling_coverage(spark, d):
 
 @query("SELECT lead, stay, count(DISTINCT shop_date) AS days_seen, count(*) AS observations, round(count(DISTINCT shop_date) / 365.0, 6) AS coverage FROM daily GROUP BY lead, stay", DAILY_SQL, ints=("stay",))
 def coverage_dtd_los(spark, d):
-    return panel.coverage(daily(spark, d), ["lead", "stay"], "shop_date", 365).withColumn("coverage", r6("coverage"))
+    return panel.coverage(daily(spark, d, 120), ["lead", "stay"], "shop_date", 365).withColumn("coverage", r6("coverage"))
 
 
 @query("SELECT lead, count(DISTINCT shop_date) AS days_seen, count(*) AS observations, round(count(DISTINCT shop_date) / 365.0, 6) AS coverage FROM daily WHERE round_trip = 0 GROUP BY lead", DAILY_SQL)
 def coverage_oneway(spark, d):
-    return panel.coverage(daily(spark, d).where("round_trip = 0"), ["lead"], "shop_date", 365).withColumn("coverage", r6("coverage"))
+    return panel.coverage(daily(spark, d, 120).where("round_trip = 0"), ["lead"], "shop_date", 365).withColumn("coverage", r6("coverage"))
 
 
 @query("SELECT lead, days_seen, expected, round(days_seen * 1.0 / expected, 6) AS coverage FROM (SELECT lead, count(DISTINCT shop_date) AS days_seen, CASE WHEN lead < 31 THEN lead WHEN lead > 90 THEN 121 - lead ELSE 30 END AS expected FROM daily GROUP BY lead)", DAILY_SQL)
 def coverage_expected(spark, d):
-    seen = daily(spark, d).groupBy("lead").agg(F.count_distinct("shop_date").alias("days_seen")).withColumn("expected", panel.expected_days(F.col("lead"), 1, 120, 30))
+    seen = daily(spark, d, 120).groupBy("lead").agg(F.count_distinct("shop_date").alias("days_seen")).withColumn("expected", panel.expected_days(F.col("lead"), 1, 120, 30))
     return seen.withColumn("coverage", r6(F.try_divide("days_seen", "expected")))
 
 
@@ -434,7 +446,7 @@ def coverage_expected(spark, d):
 SELECT pos, lead, round(mean_coverage, 6) AS mean_coverage, counts, round(avg(mean_coverage) OVER (PARTITION BY pos ORDER BY lead RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS running_coverage FROM (
   SELECT pos, lead, avg(c) AS mean_coverage, CAST(sum(n) AS BIGINT) AS counts FROM (SELECT pos, lead, stay, count(DISTINCT shop_date) / 365.0 AS c, sum(search_counts) AS n FROM daily WHERE stay BETWEEN 1 AND 14 GROUP BY ALL) GROUP BY ALL)""", DAILY_SQL)
 def coverage_pos_summary(spark, d):
-    cells = daily(spark, d).where("stay between 1 and 14").groupBy("pos", "lead", "stay").agg((F.count_distinct("shop_date") / 365.0).alias("c"), F.sum("search_counts").alias("n"))
+    cells = daily(spark, d, 120).where("stay between 1 and 14").groupBy("pos", "lead", "stay").agg((F.count_distinct("shop_date") / 365.0).alias("c"), F.sum("search_counts").alias("n"))
     by_pos = cells.groupBy("pos", "lead").agg(F.avg("c").alias("mean_coverage"), F.sum("n").alias("counts"))
     run = F.avg("mean_coverage").over(W.partitionBy("pos").orderBy("lead").rangeBetween(W.unboundedPreceding, 0))
     return by_pos.select("pos", "lead", r6("mean_coverage").alias("mean_coverage"), "counts", r6(run).alias("running_coverage"))
@@ -445,7 +457,7 @@ _PIVOT = (3, 7, 14, 21)
 
 @query("SELECT lead, " + ", ".join(f"count(DISTINCT shop_date) FILTER (stay = {s}) AS stay_{s}" for s in _PIVOT) + f" FROM daily WHERE stay IN {_PIVOT} GROUP BY lead", DAILY_SQL)
 def coverage_pivot(spark, d):
-    wide = daily(spark, d).where(F.col("stay").isin(*_PIVOT)).groupBy("lead").pivot("stay", list(_PIVOT)).agg(F.count_distinct("shop_date"))
+    wide = daily(spark, d, 120).where(F.col("stay").isin(*_PIVOT)).groupBy("lead").pivot("stay", list(_PIVOT)).agg(F.count_distinct("shop_date"))
     return wide.select("lead", *(F.coalesce(F.col(str(s)), F.lit(0)).alias(f"stay_{s}") for s in _PIVOT))
 
 
@@ -524,9 +536,9 @@ def multi_distinct_count(spark, d):
     return distribution.search_counts(offers(spark, d), ["market", "stay", "out_date"])
 
 
-@query("SELECT market, count(DISTINCT shop_date) AS days, CAST(sum(search_counts) AS BIGINT) AS searches FROM daily GROUP BY market ORDER BY searches DESC, market LIMIT 50", DAILY_SQL)
-def top_markets_by_days(spark, d):
-    return daily(spark, d).groupBy("market").agg(F.count_distinct("shop_date").alias("days"), F.sum("search_counts").alias("searches")).orderBy(F.desc("searches"), "market").limit(50)
+@query("SELECT market, count(DISTINCT shop_date) AS days, CAST(sum(search_counts) AS BIGINT) AS searches FROM daily GROUP BY market ORDER BY searches DESC, market LIMIT 50", DAILY_SQL, cut=NEAR)
+def top_markets_by_days(spark, d, most_lead=120):
+    return daily(spark, d, most_lead).groupBy("market").agg(F.count_distinct("shop_date").alias("days"), F.sum("search_counts").alias("searches")).orderBy(F.desc("searches"), "market").limit(50)
 
 
 # --- errors
