@@ -20,6 +20,7 @@ HOLIDAYS = ("1995-07-04", "1995-11-23", "1995-12-25", "1996-01-01", "1996-07-04"
 HOLIDAY_SQL = ", ".join(f"DATE '{d}'" for d in HOLIDAYS)
 FIRST, LAST = "min(day)", "max(day)"
 NEAR = "WHERE lead BETWEEN 1 AND 120"  # the range of DAILY_SQL
+YEAR = "WHERE lead BETWEEN 1 AND 400"  # the range of _SERIES
 
 
 def query(sql: str | None = None, base: str = "", ints: tuple[str, ...] = (), cut: str = "") -> Callable:
@@ -288,8 +289,10 @@ def summary_lookup(spark, d):
 _SERIES = f"{OFFERS_SQL},\nseries AS (SELECT market, out_date, shop_date, min(fare) AS fare FROM offers WHERE lead BETWEEN 1 AND 400 GROUP BY ALL)"
 
 
-def _series(spark, d):
-    return offers(spark, d).where(F.col("lead").between(1, 400)).groupBy("market", "out_date", "shop_date").agg(F.min("fare").alias("fare"))
+def _series(spark, d, most_lead=None):
+    """Lowest values of all offers, or of those made 1 to ``most_lead`` days ahead."""
+    rows = offers(spark, d)
+    return (rows if most_lead is None else rows.where(F.col("lead").between(1, most_lead))).groupBy("market", "out_date", "shop_date").agg(F.min("fare").alias("fare"))
 
 
 _AXES = {"shop": (["market"], "shop_date"), "dept": (["market", "shop_date"], "out_date")}
@@ -298,37 +301,37 @@ _AXES = {"shop": (["market"], "shop_date"), "dept": (["market", "shop_date"], "o
 @query("""
 SELECT market, out_date, shop_date, fare, lag(fare) OVER d AS dept_prev_1, lag(fare, 2) OVER d AS dept_prev_2, lead(fare) OVER d AS dept_next_1,
        CAST(date_diff('day', lag(out_date) OVER d, out_date) AS INTEGER) AS dept_gap
-FROM series WINDOW d AS (PARTITION BY market, shop_date ORDER BY out_date)""", _SERIES, ints=("dept_gap",))
-def shifted_features(spark, d):
-    return features.shifted(_series(spark, d), "fare", {"dept": _AXES["dept"]}, [1, 2], [1])
+FROM series WINDOW d AS (PARTITION BY market, shop_date ORDER BY out_date)""", _SERIES, ints=("dept_gap",), cut=YEAR)
+def shifted_features(spark, d, most_lead=400):
+    return features.shifted(_series(spark, d, most_lead), "fare", {"dept": _AXES["dept"]}, [1, 2], [1])
 
 
 _ONE = f"{_SERIES},\none AS (SELECT market, shop_date, min(fare) AS fare, min(out_date) AS out_date FROM series GROUP BY ALL)"
 
 
-def _one(spark, d):
-    return _series(spark, d).groupBy("market", "shop_date").agg(F.min("fare").alias("fare"), F.min("out_date").alias("out_date"))
+def _one(spark, d, most_lead=None):
+    return _series(spark, d, most_lead).groupBy("market", "shop_date").agg(F.min("fare").alias("fare"), F.min("out_date").alias("out_date"))
 
 
-@query("SELECT market, shop_date, fare, CAST(date_diff('day', lag(shop_date) OVER w, shop_date) AS INTEGER) AS shop_gap, lag(fare) OVER w AS shop_prev_1 FROM one WINDOW w AS (PARTITION BY market ORDER BY shop_date)", _ONE, ints=("shop_gap",))
-def prev_shop_gap(spark, d):
-    return features.shifted(_one(spark, d).drop("out_date"), "fare", {"shop": _AXES["shop"]}, [1])
+@query("SELECT market, shop_date, fare, CAST(date_diff('day', lag(shop_date) OVER w, shop_date) AS INTEGER) AS shop_gap, lag(fare) OVER w AS shop_prev_1 FROM one WINDOW w AS (PARTITION BY market ORDER BY shop_date)", _ONE, ints=("shop_gap",), cut=YEAR)
+def prev_shop_gap(spark, d, most_lead=400):
+    return features.shifted(_one(spark, d, most_lead).drop("out_date"), "fare", {"shop": _AXES["shop"]}, [1])
 
 
-@query("SELECT market, shop_date, fare, round(avg(fare) OVER (PARTITION BY market ORDER BY shop_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 3e-8, 6) AS encoded FROM one", _ONE)
-def target_encode(spark, d):
-    rows = features.target_encode(_one(spark, d).drop("out_date"), ["market"], "shop_date", "fare")
+@query("SELECT market, shop_date, fare, round(avg(fare) OVER (PARTITION BY market ORDER BY shop_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 3e-8, 6) AS encoded FROM one", _ONE, cut=YEAR)
+def target_encode(spark, d, most_lead=400):
+    rows = features.target_encode(_one(spark, d, most_lead).drop("out_date"), ["market"], "shop_date", "fare")
     return rows.withColumn("encoded", r6(F.col("encoded") + 3e-8))  # keeps exact halves off the rounding border
 
 
-@query("SELECT market, shop_date, fare, round(avg(fare) OVER w, 6) AS trail_mean, round(stddev_samp(fare) OVER w, 4) AS trail_std FROM one WINDOW w AS (PARTITION BY market ORDER BY shop_date ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING)", _ONE)
-def trailing_rows(spark, d):
-    return features.trailing_rows(_one(spark, d).drop("out_date"), ["market"], "shop_date", "fare").withColumn("trail_mean", r6("trail_mean")).withColumn("trail_std", F.round("trail_std", 4))
+@query("SELECT market, shop_date, fare, round(avg(fare) OVER w, 6) AS trail_mean, round(stddev_samp(fare) OVER w, 4) AS trail_std FROM one WINDOW w AS (PARTITION BY market ORDER BY shop_date ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING)", _ONE, cut=YEAR)
+def trailing_rows(spark, d, most_lead=400):
+    return features.trailing_rows(_one(spark, d, most_lead).drop("out_date"), ["market"], "shop_date", "fare").withColumn("trail_mean", r6("trail_mean")).withColumn("trail_std", F.round("trail_std", 4))
 
 
-@query("SELECT market, shop_date, fare, round(avg(fare) OVER (PARTITION BY market ORDER BY shop_date RANGE BETWEEN INTERVAL 60 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING), 6) AS trail_days_mean FROM one", _ONE)
-def trailing_range(spark, d):
-    return features.trailing_days(_one(spark, d).drop("out_date"), ["market"], "shop_date", "fare", 60).withColumn("trail_days_mean", r6("trail_days_mean"))
+@query("SELECT market, shop_date, fare, round(avg(fare) OVER (PARTITION BY market ORDER BY shop_date RANGE BETWEEN INTERVAL 60 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING), 6) AS trail_days_mean FROM one", _ONE, cut=YEAR)
+def trailing_range(spark, d, most_lead=400):
+    return features.trailing_days(_one(spark, d, most_lead).drop("out_date"), ["market"], "shop_date", "fare", 60).withColumn("trail_days_mean", r6("trail_days_mean"))
 
 
 _EST = """
@@ -338,31 +341,31 @@ SELECT market, shop_date, fare, round(coalesce(p + change, trail), 6) AS estimat
     FROM one WINDOW w AS (PARTITION BY market ORDER BY shop_date)))"""
 
 
-def _estimated(spark, d):
+def _estimated(spark, d, most_lead=None):
     w = W.partitionBy("market").orderBy("shop_date")
-    rows = features.trailing_rows(features.shifted(_one(spark, d).drop("out_date"), "fare", {"shop": _AXES["shop"]}, [1]), ["market"], "shop_date", "fare")
+    rows = features.trailing_rows(features.shifted(_one(spark, d, most_lead).drop("out_date"), "fare", {"shop": _AXES["shop"]}, [1]), ["market"], "shop_date", "fare")
     rows = rows.withColumn("change", F.lag(F.col("fare") - F.col("shop_prev_1")).over(w))
     return features.estimate_from_shift(rows, "shop_prev_1", "change", "trail_mean").select("market", "shop_date", "fare", "estimate")
 
 
-@query(_EST, _ONE)
-def est_fare_from_neighbors(spark, d):
-    return _estimated(spark, d).withColumn("estimate", r6("estimate"))
+@query(_EST, _ONE, cut=YEAR)
+def est_fare_from_neighbors(spark, d, most_lead=400):
+    return _estimated(spark, d, most_lead).withColumn("estimate", r6("estimate"))
 
 
 @query("""
 SELECT market, shop_date, fare, round(coalesce(CASE WHEN p IS NULL AND n IS NULL THEN NULL WHEN p IS NULL THEN n WHEN n IS NULL THEN p ELSE (p + n) / 2 END, trail), 6) AS filled FROM (
   SELECT *, lag(fare) OVER w AS p, lead(fare) OVER w AS n, avg(fare) OVER (PARTITION BY market ORDER BY shop_date ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS trail FROM one WINDOW w AS (PARTITION BY market ORDER BY shop_date))
-WHERE p IS NOT NULL OR n IS NOT NULL OR trail IS NOT NULL""", _ONE)
-def impute_chain(spark, d):
-    rows = features.trailing_rows(features.shifted(_one(spark, d).drop("out_date"), "fare", {"shop": _AXES["shop"]}, [1], [1]), ["market"], "shop_date", "fare")
+WHERE p IS NOT NULL OR n IS NOT NULL OR trail IS NOT NULL""", _ONE, cut=YEAR)
+def impute_chain(spark, d, most_lead=400):
+    rows = features.trailing_rows(features.shifted(_one(spark, d, most_lead).drop("out_date"), "fare", {"shop": _AXES["shop"]}, [1], [1]), ["market"], "shop_date", "fare")
     return features.impute(rows, "filled", features.row_mean("shop_prev_1", "shop_next_1"), F.col("trail_mean")).select("market", "shop_date", "fare", r6("filled").alias("filled"))
 
 
-@query(f"SELECT market, out_date, shop_date, CAST(out_date IN ({HOLIDAY_SQL}) AS INTEGER) AS holiday, CAST(isodow(out_date) - 1 AS INTEGER) AS dow, strftime(out_date, '%a') AS dow_name FROM series", _SERIES)
-def holiday_flags(spark, d):
+@query(f"SELECT market, out_date, shop_date, CAST(out_date IN ({HOLIDAY_SQL}) AS INTEGER) AS holiday, CAST(isodow(out_date) - 1 AS INTEGER) AS dow, strftime(out_date, '%a') AS dow_name FROM series", _SERIES, cut=YEAR)
+def holiday_flags(spark, d, most_lead=400):
     o = F.col("out_date")
-    return _series(spark, d).select("market", "out_date", "shop_date", dates.in_dates(o, HOLIDAYS).alias("holiday"), dates.weekday(o).alias("dow"), F.date_format(o, "E").alias("dow_name"))
+    return _series(spark, d, most_lead).select("market", "out_date", "shop_date", dates.in_dates(o, HOLIDAYS).alias("holiday"), dates.weekday(o).alias("dow"), F.date_format(o, "E").alias("dow_name"))
 
 
 _OFF = f"CAST(isodow({{x}}) >= 6 OR {{x}} IN ({HOLIDAY_SQL}) AS INTEGER)"
@@ -548,37 +551,37 @@ _STATS = "count(abs_pct_err) AS n, round(avg(abs_pct_err), 6) AS mape, round(std
 _ROUNDED = ("mape", "std", "least", "most", "median")
 
 
-def _errors(spark, d):
-    return errors.with_errors(_estimated(spark, d).where("estimate is not null"), "estimate", "fare")
+def _errors(spark, d, most_lead=None):
+    return errors.with_errors(_estimated(spark, d, most_lead).where("estimate is not null"), "estimate", "fare")
 
 
-@query(f"SELECT {_STATS}, count(DISTINCT market) AS markets FROM errors", _ERRORS)
-def error_stats(spark, d):
-    return errors.error_stats(_errors(spark, d), (), "market").withColumns({c: r6(c) for c in _ROUNDED})
+@query(f"SELECT {_STATS}, count(DISTINCT market) AS markets FROM errors", _ERRORS, cut=YEAR)
+def error_stats(spark, d, most_lead=400):
+    return errors.error_stats(_errors(spark, d, most_lead), (), "market").withColumns({c: r6(c) for c in _ROUNDED})
 
 
-@query(f"SELECT market, {_STATS} FROM errors GROUP BY market", _ERRORS)
-def error_by_segment(spark, d):
-    return errors.error_stats(_errors(spark, d), ["market"]).withColumns({c: r6(c) for c in _ROUNDED})
+@query(f"SELECT market, {_STATS} FROM errors GROUP BY market", _ERRORS, cut=YEAR)
+def error_by_segment(spark, d, most_lead=400):
+    return errors.error_stats(_errors(spark, d, most_lead), ["market"]).withColumns({c: r6(c) for c in _ROUNDED})
 
 
-@query("SELECT market, round(avg(CASE WHEN abs_pct_err <= 25 THEN 1.0 ELSE 0.0 END), 6) AS share_within, count(abs_pct_err) AS n FROM errors GROUP BY market", _ERRORS)
-def pct_within_threshold(spark, d):
-    return errors.within(_errors(spark, d), ["market"], 25).withColumn("share_within", r6("share_within"))
+@query("SELECT market, round(avg(CASE WHEN abs_pct_err <= 25 THEN 1.0 ELSE 0.0 END), 6) AS share_within, count(abs_pct_err) AS n FROM errors GROUP BY market", _ERRORS, cut=YEAR)
+def pct_within_threshold(spark, d, most_lead=400):
+    return errors.within(_errors(spark, d, most_lead), ["market"], 25).withColumn("share_within", r6("share_within"))
 
 
-@query("SELECT round(1 - sum(power(estimate - fare, 2)) / (var_pop(fare) * count(fare)), 6) AS r2, round(avg(abs(estimate - fare)), 4) AS mae, round(quantile_cont(abs(estimate - fare), 0.5), 4) AS mdae, round(avg(abs_pct_err), 6) AS mape FROM errors", _ERRORS)
-def regression_metrics(spark, d):
-    return errors.regression_metrics(_errors(spark, d), "estimate", "fare").select(r6("r2").alias("r2"), F.round("mae", 4).alias("mae"), F.round("mdae", 4).alias("mdae"), r6("mape").alias("mape"))
+@query("SELECT round(1 - sum(power(estimate - fare, 2)) / (var_pop(fare) * count(fare)), 6) AS r2, round(avg(abs(estimate - fare)), 4) AS mae, round(quantile_cont(abs(estimate - fare), 0.5), 4) AS mdae, round(avg(abs_pct_err), 6) AS mape FROM errors", _ERRORS, cut=YEAR)
+def regression_metrics(spark, d, most_lead=400):
+    return errors.regression_metrics(_errors(spark, d, most_lead), "estimate", "fare").select(r6("r2").alias("r2"), F.round("mae", 4).alias("mae"), F.round("mdae", 4).alias("mdae"), r6("mape").alias("mape"))
 
 
 @query("""
 SELECT g.ratio, CAST(g.ranks AS INTEGER) AS ranks, count(e.abs_pct_err) AS n, round(avg(e.abs_pct_err), 6) AS mape
 FROM (SELECT unnest([1.0, 1.5, 2.0])::DOUBLE AS ratio) a(ratio) CROSS JOIN (SELECT unnest([10, 100, 1000]) AS ranks) b CROSS JOIN LATERAL (SELECT a.ratio, b.ranks) g
 LEFT JOIN (SELECT abs_pct_err, fare / avg(fare) OVER (PARTITION BY market) AS r, k FROM errors JOIN (SELECT market, row_number() OVER (ORDER BY count(*) DESC, market) AS k FROM errors GROUP BY market) USING (market)) e ON e.r < g.ratio AND e.k <= g.ranks
-GROUP BY ALL""", _ERRORS)
-def restriction_grid(spark, d):
-    rows = _errors(spark, d).withColumn("one", F.lit(1)).withColumn("ratio", F.try_divide(F.col("fare"), F.avg("fare").over(W.partitionBy("market"))))
+GROUP BY ALL""", _ERRORS, cut=YEAR)
+def restriction_grid(spark, d, most_lead=400):
+    rows = _errors(spark, d, most_lead).withColumn("one", F.lit(1)).withColumn("ratio", F.try_divide(F.col("fare"), F.avg("fare").over(W.partitionBy("market"))))
     ranks = restrict.volume_ranks(rows, ["market"], "one").drop("volume")
     return errors.restriction_grid(rows.join(ranks, "market"), [1.0, 1.5, 2.0], [10, 100, 1000]).withColumn("mape", r6("mape"))
 
@@ -589,16 +592,16 @@ def corr_features(spark, d):
     return offers(spark, d).groupBy("pos").agg(*(F.round(F.corr(a, b), 6).alias(f"{a}_{b}") for a, b in pairs))
 
 
-@query("SELECT market, shop_date, fare, round((fare - avg(fare) OVER w) / nullif(stddev_samp(fare) OVER w, 0), 6) AS z, round(percent_rank() OVER (PARTITION BY market ORDER BY fare), 6) AS pct FROM one WINDOW w AS (PARTITION BY market)", _ONE)
-def zscore(spark, d):
+@query("SELECT market, shop_date, fare, round((fare - avg(fare) OVER w) / nullif(stddev_samp(fare) OVER w, 0), 6) AS z, round(percent_rank() OVER (PARTITION BY market ORDER BY fare), 6) AS pct FROM one WINDOW w AS (PARTITION BY market)", _ONE, cut=YEAR)
+def zscore(spark, d, most_lead=400):
     w = W.partitionBy("market")
     z = F.try_divide(F.col("fare") - F.avg("fare").over(w), F.stddev("fare").over(w))
-    return _one(spark, d).select("market", "shop_date", "fare", r6(z).alias("z"), r6(F.percent_rank().over(w.orderBy("fare"))).alias("pct"))
+    return _one(spark, d, most_lead).select("market", "shop_date", "fare", r6(z).alias("z"), r6(F.percent_rank().over(w.orderBy("fare"))).alias("pct"))
 
 
-@query("SELECT market, shop_date, fare, prev, CAST(abs(fare - prev) <= 1e-8 + 0.01 * abs(prev) AS INTEGER) AS unchanged FROM (SELECT *, lag(fare) OVER (PARTITION BY market ORDER BY shop_date) AS prev FROM one) WHERE prev IS NOT NULL", _ONE)
-def unchanged_values(spark, d):
-    rows = features.shifted(_one(spark, d), "fare", {"shop": _AXES["shop"]}, [1]).withColumnRenamed("shop_prev_1", "prev").where("prev is not null")
+@query("SELECT market, shop_date, fare, prev, CAST(abs(fare - prev) <= 1e-8 + 0.01 * abs(prev) AS INTEGER) AS unchanged FROM (SELECT *, lag(fare) OVER (PARTITION BY market ORDER BY shop_date) AS prev FROM one) WHERE prev IS NOT NULL", _ONE, cut=YEAR)
+def unchanged_values(spark, d, most_lead=400):
+    rows = features.shifted(_one(spark, d, most_lead), "fare", {"shop": _AXES["shop"]}, [1]).withColumnRenamed("shop_prev_1", "prev").where("prev is not null")
     return rows.select("market", "shop_date", "fare", "prev", arrays.is_close(F.col("fare"), F.col("prev")).cast("int").alias("unchanged"))
 
 

@@ -21,6 +21,12 @@ def test_entry_reaches_beyond_the_lead_range(spark):
     assert __spark_entry__.entry(spark).where("datediff(out_date, shop_date) not between 1 and 120").count() > 0
 
 
+def test_series_and_features_keep_every_market_day(spark):
+    days = adapters.offers(spark, SF).select("market", "shop_date").distinct().count()
+    assert catalogue.QUERIES["trailing_rows_all"](spark, SF).count() == days > catalogue.QUERIES["trailing_rows"](spark, SF).count()
+    assert catalogue._features(spark, SF).where("lead not between 1 and 400").count() > 0  # what the models learn from
+
+
 @pytest.mark.parametrize("name", sorted(n for n in catalogue.SQL if n.endswith("_all")))
 def test_whole_queries_have_sql_without_the_cut(name):
-    assert "BETWEEN 1 AND 120" not in catalogue.SQL[name] and catalogue.SQL[name] != catalogue.SQL[name.removesuffix("_all")]
+    assert "BETWEEN 1 AND 120" not in catalogue.SQL[name] and "BETWEEN 1 AND 400" not in catalogue.SQL[name] and catalogue.SQL[name] != catalogue.SQL[name.removesuffix("_all")]
