@@ -181,9 +181,10 @@ def geo_enrich_filter(spark, d):
     return dims.geo_enrich(offers(spark, d), _places(spark, d), "n_name", "region", "origin", "destination", "ASIA").select("search_id", "line", "origin", "destination", "origin_region", "destination_region")
 
 
-@query(f"SELECT search_id, line, origin, destination, a.region AS origin_region, b.region AS destination_region FROM offers LEFT JOIN {_GEO.format(w='WHERE n_nationkey % 3 <> 0')} a ON origin = a.k LEFT JOIN {_GEO.format(w='WHERE n_nationkey % 3 <> 0')} b ON destination = b.k WHERE coalesce(a.region = 'ASIA', false) OR coalesce(b.region = 'ASIA', false)", OFFERS_SQL)
-def geo_enrich_left(spark, d):
-    some = _places(spark, d).where("n_nationkey % 3 <> 0")
+@query(f"SELECT search_id, line, origin, destination, a.region AS origin_region, b.region AS destination_region FROM offers LEFT JOIN {_GEO.format(w='WHERE n_nationkey % 3 <> 0')} a ON origin = a.k LEFT JOIN {_GEO.format(w='WHERE n_nationkey % 3 <> 0')} b ON destination = b.k WHERE coalesce(a.region = 'ASIA', false) OR coalesce(b.region = 'ASIA', false)", OFFERS_SQL, cut="WHERE n_nationkey % 3 <> 0")
+def geo_enrich_left(spark, d, modulo=3):
+    places = _places(spark, d)
+    some = places if modulo is None else places.where(F.col("n_nationkey") % modulo != 0)
     return dims.geo_enrich(offers(spark, d), some, "n_name", "region", "origin", "destination", "ASIA", "left").select("search_id", "line", "origin", "destination", "origin_region", "destination_region")
 
 

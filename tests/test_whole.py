@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__
+from paneltide.operators import dims
 from paneltide.plans import adapters, catalogue
 
 SF = "/root/testdata/sf0.001"
@@ -27,6 +28,18 @@ def test_series_and_features_keep_every_market_day(spark):
     assert catalogue._features(spark, SF).where("lead not between 1 and 400").count() > 0  # what the models learn from
 
 
+def test_left_join_keeps_ends_without_a_place(spark):
+    rows = spark.createDataFrame([(1, "A", "B"), (2, "A", "X"), (3, "X", "A"), (4, "B", "X"), (5, "X", "X")], "id int, origin string, destination string")
+    places = spark.createDataFrame([("A", "ASIA"), ("B", "EUROPE")], "place string, region string")
+    got = dims.geo_enrich(rows, places, "place", "region", "origin", "destination", "ASIA", "left")
+    assert sorted((r.id, r.origin_region, r.destination_region) for r in got.collect()) == [(1, "ASIA", "EUROPE"), (2, "ASIA", None), (3, None, "ASIA")]
+
+
+def test_left_join_on_the_whole_nation_table(spark):
+    whole, inner = (catalogue.QUERIES[n](spark, SF) for n in ("geo_enrich_left_all", "geo_enrich_filter"))
+    assert whole.exceptAll(inner).count() == inner.exceptAll(whole).count() == 0 < inner.count()
+
+
 @pytest.mark.parametrize("name", sorted(n for n in catalogue.SQL if n.endswith("_all")))
 def test_whole_queries_have_sql_without_the_cut(name):
-    assert "BETWEEN 1 AND 120" not in catalogue.SQL[name] and "BETWEEN 1 AND 400" not in catalogue.SQL[name] and catalogue.SQL[name] != catalogue.SQL[name.removesuffix("_all")]
+    assert "BETWEEN 1 AND 120" not in catalogue.SQL[name] and "BETWEEN 1 AND 400" not in catalogue.SQL[name] and "n_nationkey % 3" not in catalogue.SQL[name] and catalogue.SQL[name] != catalogue.SQL[name.removesuffix("_all")]
