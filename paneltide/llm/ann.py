@@ -8,12 +8,12 @@ centroids lie within a distance ratio of its nearest one; that ratio is fitted o
 lists hold a target share of true neighbours. Lists are stored and scanned in blocks, and both sides of a
 popular list are split, so that no task grows with the input.
 
-Of identical vectors only the ``k`` + 1 of least id can be among the ``k`` nearest of any query, so the
+Equal rows (id and vector) are indexed once. Of identical vectors only the ``k`` + 1 of least id can be among the ``k`` nearest of any query, so the
 rest are left out before indexing; this changes no result.
 
 Defined results: vectors without id, or that are null or zero, hold null or non-finite components, or have another length than
-most of the sample's, take no part; ties go to the smaller id; repeated rows of one id count each, but none is
-its own neighbour; an empty table gives an empty result.
+most of the sample's, take no part; ties go to the smaller id; repeated rows of one id and vector count
+once, different vectors of one id count each, and no id is its own neighbour; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -226,7 +226,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
     dim = lengths["d"]
     rows = rows.where(F.size("v") == dim)
     first = W.partitionBy("v").orderBy("id")
-    kept = cut(rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1).drop("n"))
+    kept = cut(rows.dropDuplicates(["id", "v"]).withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1).drop("n"))
     number = kept.count()
     share = min(1.0, 1.2 * sample_rows / number)
     sample = kept.where(F.pmod(F.xxhash64("id", "v"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1).limit(sample_rows).select("v").toPandas()["v"]
