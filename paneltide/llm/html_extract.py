@@ -2,8 +2,8 @@
 
 A page is read once into text nodes with their root-to-leaf path of block tags. Per path, text length
 and punctuation are aggregated; the two ratios per node are fused, smoothed over neighbouring nodes in
-page order and thresholded by their spread. The container that holds most of the selected paths' weight is
-the article; its nodes are the text, unless an element between marks them as menu, notice, advert,
+page order and thresholded by their spread. A declared article or main element, or else the deepest container
+of all selected paths and headings, is the article; its nodes are the text, unless an element between marks them as menu, notice, advert,
 form, comment section and the like. Inline tags are transparent; text of one block is one line.
 
 Defined results: null or empty html gives an empty text of 0 characters; malformed, unclosed or
@@ -131,6 +131,9 @@ def path_scores(nodes: list) -> np.ndarray:
     return np.convolve(raw, kernel, "same") / weight if len(raw) > 1 else raw
 
 
+_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+
+
 def main_text(page: str | None) -> str:
     nodes = text_nodes(page) if page else []
     plain = [i for i, n in enumerate(nodes) if not n[2]]
@@ -147,8 +150,9 @@ def main_text(page: str | None) -> str:
             weight[number] = weight.get(number, 0) + len(nodes[i][3])
             named[number] = (tag, depth)
     total = sum(len(nodes[i][3]) for i in chosen)
-    # the deepest container of nearly all that was selected; a declared article or main element is never left
-    holders = [k for k, w in weight.items() if w >= 0.9 * total and named[k][0] not in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "td", "th", "tr", "dt", "dd", "blockquote", "pre", "ul", "ol", "dl")]
+    # the deepest container of all that was selected and of all headings; a declared article or main element is never left
+    held = set.intersection(*(set(nodes[i][1]) for i in plain if scores[i] >= cut or _HEADINGS.intersection(nodes[i][0])))
+    holders = [k for k in weight if k in held and named[k][0] not in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "td", "th", "tr", "dt", "dd", "blockquote", "pre", "ul", "ol", "dl")]
     declared = [k for k in weight if named[k][0] in ("article", "main")]
     if declared:
         top = max(weight[k] for k in declared)
