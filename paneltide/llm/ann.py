@@ -1,19 +1,21 @@
 """Approximate nearest neighbours by balanced posting lists (operator 1).
 
-A bounded sample is clustered hierarchically under a size limit, so posting lists are balanced. Every
-vector goes to its nearest centroid's list and, where it lies near a boundary, to further lists:
-centroids within a distance ratio that aren't closer to a list already chosen than to the vector.
-Centroids are searched by a beam over an in-memory neighbour graph. A query scans the lists whose
-centroids lie within a distance ratio of its nearest one; that ratio is fitted on the sample so that the
-lists hold a target share of true neighbours. Lists are stored and scanned in blocks, and both sides of a
-popular list are split, so that no task grows with the input.
-
-Equal rows (id and vector) are indexed once. Of identical vectors only the ``k`` + 1 of least id can be among the ``k`` nearest of any query, so the
-rest are left out before indexing; this changes no result.
+A bounded sample (the rows of least hash) is halved by two means again and again, so clusters are balanced;
+their unit centroids head the posting lists. Every vector goes to its nearest centroid's list and, where it
+lies near a boundary, is replicated to further lists: centroids within a distance ratio that aren't closer
+to a list already chosen than to the vector. Centroids are searched, for vectors and for queries alike, by
+a beam over an in-memory neighbour graph with a layer of entry points above it. A query scans the lists
+whose centroids lie within a distance ratio of its nearest one; that ratio is fitted on the sample so that
+the lists hold a target share of true neighbours. Lists are stored and scanned in blocks, and both sides of
+a popular list are split, so that no task grows with the input.
+
+Equal rows (id and vector) are indexed once. Of identical vectors only the ``k`` + 1 of least id can be among
+the ``k`` nearest of any query, so the rest are left out before indexing; this changes no result.
 
 Defined results: vectors without id, or that are null or zero, hold null or non-finite components, or have another length than
-most of the sample's, take no part; ties go to the smaller id; repeated rows of one id and vector count
-once, different vectors of one id count each, and no id is its own neighbour; an empty table gives an empty result.
+most rows, take no part; vectors of any one length are handled whole; ties go to the smaller id; repeated rows of one id and vector count
+once, different vectors of one id count each, and no id is its own neighbour; an empty table gives an empty
+result; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -39,34 +41,28 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def balanced_centroids(x: np.ndarray, limit: int, rng: np.random.Generator, fan: int = 8) -> np.ndarray:
-    """Centroids of clusters of at most ``limit`` points: k-means with equal shares, applied again to what is larger."""
+def balanced_centroids(x: np.ndarray, limit: int, rng: np.random.Generator) -> np.ndarray:
+    """Unit centroids of clusters of at most ``limit`` points: halves by two means, of equal size, split again while too large."""
     done, todo = [], [np.arange(len(x))]
     while todo:
         own = todo.pop()
         if len(own) <= limit:
-            done.append(x[own].mean(axis=0))
+            mean = x[own].mean(axis=0)
+            done.append(mean / norm if (norm := np.sqrt(mean @ mean)) > 1e-9 else x[own[0]])
             continue
-        k = min(fan, -(-len(own) // limit))
-        centers = x[rng.choice(own, k, replace=False)]
-        share = -(-len(own) // k)
-        for _ in range(6):
-            d = -2 * x[own] @ centers.T + (centers**2).sum(axis=1)
-            where, room = np.full(len(own), -1), np.full(k, share)
-            for at in np.argsort(d.min(axis=1) - d.mean(axis=1), kind="stable"):
-                for c in np.argsort(d[at], kind="stable"):
-                    if room[c]:
-                        where[at], room[c] = c, room[c] - 1
-                        break
-            centers = np.stack([x[own[where == c]].mean(axis=0) if (where == c).any() else centers[c] for c in range(k)])
-        todo += [own[where == c] for c in range(k) if (where == c).any()]
+        a, b = x[rng.choice(own, 2, replace=False)]
+        half = len(own) // 2
+        for _ in range(5):
+            order = own[np.argsort(x[own] @ (a - b), kind="stable")]
+            b, a = x[order[:half]].mean(axis=0), x[order[half:]].mean(axis=0)
+        todo += [order[:half], order[half:]]
     return np.array(done)
 
 
 class CentroidGraph:
-    """Centroids with a neighbour graph; a beam search runs over many queries at once."""
+    """Centroids with a neighbour graph and, above it, a sparse layer of entry points; a beam search runs over many queries at once."""
 
-    def __init__(self, centroids: np.ndarray, degree: int = 24, rng: np.random.Generator | None = None):
+    def __init__(self, centroids: np.ndarray, degree: int = 12, rng: np.random.Generator | None = None):
         self.centroids = np.ascontiguousarray(centroids, np.float32)
         k = len(centroids)
         rng = rng or np.random.default_rng(7)
@@ -79,52 +75,59 @@ class CentroidGraph:
             parts.append(np.argpartition(d, near - 1, axis=1)[:, :near] if near > 0 else np.zeros((len(d), 0), int))
         nearest = np.concatenate(parts)
         # a few random links join what the near links leave apart
-        self.links = np.concatenate([nearest, rng.integers(0, k, (k, 8))], axis=1).astype(np.int32)
-        self.entries = rng.choice(k, min(k, 64), replace=False).astype(np.int32)
+        self.links = np.concatenate([nearest, rng.integers(0, k, (k, 4))], axis=1).astype(np.int32)
+        self.entries = np.sort(rng.choice(k, min(k, int(4 * np.sqrt(k)) + 1), replace=False)).astype(np.int32)
 
     def distances(self, q: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Squared distances of each query to its own row of centroids."""
         c = self.centroids[ids]
-        return ((c - q[:, None, :]) ** 2).sum(axis=2)
+        return np.maximum((c * c).sum(axis=2) - 2 * np.matmul(c, q[:, :, None])[:, :, 0] + (q * q).sum(axis=1)[:, None], 0)
 
     def search(self, q: np.ndarray, m: int, beam: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, squared distances) of about the ``m`` nearest centroids of each query, nearest first."""
+        """(ids, squared distances) of about the ``m`` nearest centroids of each query, nearest first; fewer where the graph has fewer."""
         q = np.ascontiguousarray(q, np.float32)
-        if len(q) > 512:
-            parts = [self.search(q[at : at + 512], m, beam) for at in range(0, len(q), 512)]
-            return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        if len(q) > 256:
+            parts = [self.search(q[at : at + 256], m, beam) for at in range(0, len(q), 256)]
+            width = min(p[0].shape[1] for p in parts)
+            return np.concatenate([p[0][:, :width] for p in parts]), np.concatenate([p[1][:, :width] for p in parts])
         k = len(self.centroids)
         m = min(m, k)
-        beam = max(m, beam or 2 * m, 32)
-        if beam * 4 >= k:  # the beam would visit most of the graph anyway
-            d = np.maximum((self.centroids**2).sum(axis=1)[None, :] - 2 * q @ self.centroids.T + (q**2).sum(axis=1)[:, None], 0)
-            ids = np.argsort(d, axis=1, kind="stable")[:, :m]
-            return ids.astype(np.int32), np.take_along_axis(d, ids, 1)
+        beam = max(m + m // 4, beam or 0, 16)
+        expand = max(4, beam // 12)
         n = np.arange(len(q))[:, None]
-        ids = np.repeat(self.entries[None, :], len(q), axis=0)
-        d = self.distances(q, ids)
+        far = self.distances_to_all(q, self.entries)
+        first = np.argpartition(far, min(8, far.shape[1]) - 1, axis=1)[:, :8]
+        ids, d = self.entries[first], np.take_along_axis(far, first, 1)
         seen = np.zeros((len(q), k), bool)
         seen[n, ids] = True
         open_ = np.ones(ids.shape, bool)
         while True:
-            order = np.argsort(d, axis=1, kind="stable")[:, :beam]
-            ids, d, open_ = ids[n, order], d[n, order], open_[n, order]
-            pick = np.argsort(~open_, axis=1, kind="stable")[:, :4]  # the nearest that aren't expanded yet
-            live = open_[n, pick]
+            if ids.shape[1] > beam:
+                keep = np.argpartition(d, beam - 1, axis=1)[:, :beam]
+                ids, d, open_ = ids[n, keep], d[n, keep], open_[n, keep]
+            rank = np.where(open_, d, np.inf)
+            width = min(expand, rank.shape[1])
+            pick = np.argpartition(rank, width - 1, axis=1)[:, :width]  # the nearest that aren't expanded yet
+            live = np.isfinite(rank[n, pick])
             if not live.any():
-                return ids[:, :m], d[:, :m]
+                order = np.argsort(d, axis=1, kind="stable")[:, :m]
+                ids, d = ids[n, order], d[n, order]
+                width = int(np.isfinite(d).sum(axis=1).min())
+                return ids[:, :width], d[:, :width]
             open_[n, pick] = False
-            more = self.links[ids[n, pick]].reshape(len(q), -1)
-            fresh = np.repeat(live, self.links.shape[1], axis=1) & ~seen[n, more]
+            more = np.sort(self.links[ids[n, pick]].reshape(len(q), -1), axis=1)  # sorted, as one row may meet a centroid twice
+            fresh = np.ones(more.shape, bool)
+            fresh[:, 1:] = more[:, 1:] != more[:, :-1]
+            fresh &= ~seen[n, more]
             seen[n, more] = True
-            far = np.where(fresh, self.distances(q, more), np.inf).astype(np.float32)
-            # one row may meet a centroid twice in a step
-            srt = np.argsort(more, axis=1, kind="stable")
-            twice = np.zeros(more.shape, bool)
-            twice[n, srt[:, 1:]] = more[n, srt[:, 1:]] == more[n, srt[:, :-1]]
-            far[twice] = np.inf
-            ids, d = np.concatenate([ids, more], axis=1), np.concatenate([d, far], axis=1)
-            open_ = np.concatenate([open_, np.isfinite(far)], axis=1)
+            away = np.where(fresh, self.distances(q, more), np.inf).astype(np.float32)
+            ids, d = np.concatenate([ids, more], axis=1), np.concatenate([d, away], axis=1)
+            open_ = np.concatenate([open_, np.isfinite(away)], axis=1)
+
+    def distances_to_all(self, q: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Squared distances of each query to the same centroids."""
+        c = self.centroids[ids]
+        return np.maximum((c * c).sum(axis=1)[None, :] - 2 * q @ c.T + (q * q).sum(axis=1)[:, None], 0)
 
 
 class Index:
@@ -132,8 +135,8 @@ class Index:
         self.graph, self.dim, self.replicas, self.spread, self.probes, self.ratio = graph, dim, replicas, spread, probes, ratio
 
     def lists(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, list) pairs: the nearest list of each vector and further ones across its boundaries."""
-        ids, d2 = self.graph.search(x, 4 * self.replicas)
+        """(row, list) pairs: the nearest list of each vector and, where it lies near a boundary, further ones that aren't closer to a list already chosen than to the vector."""
+        ids, d2 = self.graph.search(x, 3 * self.replicas)
         d, c = np.sqrt(d2), self.graph.centroids
         taken = np.zeros(ids.shape, bool)
         taken[:, 0] = True
@@ -149,16 +152,16 @@ class Index:
         return row, ids[row, j]
 
     def probed(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, list) pairs: the lists that each query scans."""
+        """(row, list) pairs: the lists that each query scans, those within ``ratio`` of its nearest centroid's distance."""
         ids, d2 = self.graph.search(q, self.probes)
         row, j = np.nonzero(np.sqrt(d2) <= self.ratio * np.sqrt(d2[:, :1]) + 1e-12)
         return row, ids[row, j]
 
 
-def fit(sample: np.ndarray, rows: int, list_size: int = 128, most_lists: int = 16_384, target: float = 0.97, k: int = 5, replicas: int = 4, spread: float = 1.1, seed: int = 11) -> Index:
+def fit(sample: np.ndarray, rows: int, list_size: int = 128, most_lists: int = 4096, target: float = 0.94, k: int = 5, replicas: int = 3, spread: float = 1.15, seed: int = 11) -> Index:
     """Centroids, graph and probe ratio from unit vectors of a bounded sample of a table of ``rows`` vectors."""
     rng = np.random.default_rng(seed)
-    wanted = max(1, min(most_lists, round(rows / list_size)))
+    wanted = max(1, min(most_lists, len(sample) // 4, round(rows / list_size)))
     centroids = balanced_centroids(sample, max(1, -(-len(sample) // wanted)), rng)
     index = Index(CentroidGraph(centroids, rng=rng), sample.shape[1], replicas, spread, len(centroids), np.inf)
     # the ratio that true neighbours of sampled queries need, given where replication puts them
@@ -169,7 +172,7 @@ def fit(sample: np.ndarray, rows: int, list_size: int = 128, most_lists: int = 1
     homes: dict[int, list[int]] = {}
     for r, c in zip(row.tolist(), at.tolist(), strict=True):
         homes.setdefault(r, []).append(c)
-    d = np.sqrt(np.maximum(2 - 2 * queries @ centroids.T + (centroids**2).sum(axis=1) - 1, 0))
+    d = np.sqrt(np.maximum(2 - 2 * queries @ centroids.T, 0))
     rank, first = np.argsort(np.argsort(d, axis=1), axis=1), d.min(axis=1)
     need = [min((d[i, c] / max(first[i], 1e-9), rank[i, c]) for c in homes[v]) for i in range(len(queries)) for v in best[i]]
     if need:
@@ -219,7 +222,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
     """Per query row and rank: query_id, rank, vec_id, score (cosine of the original vectors)."""
     spark = vectors.sparkSession
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = vectors.where(usable(vec_col) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.transform(F.col(vec_col), lambda x: x.cast("double")).alias("v"))
+    kind = "float" if dict(vectors.dtypes)[vec_col] == "array<float>" else "double"  # floats are moved as such and scored as doubles
+    rows = vectors.where(usable(vec_col) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.transform(F.col(vec_col), lambda x: x.cast(kind)).alias("v"))
     lengths = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
     if lengths is None:
         return empty
@@ -228,10 +232,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
     first = W.partitionBy("v").orderBy("id")
     kept = cut(rows.dropDuplicates(["id", "v"]).withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1).drop("n"))
     number = kept.count()
+    place = F.pmod(F.xxhash64("id", "v"), F.lit(1 << 40))
     share = min(1.0, 1.2 * sample_rows / number)
-    sample = kept.where(F.pmod(F.xxhash64("id", "v"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1).limit(sample_rows).select("v").toPandas()["v"]
-    if not len(sample):
-        sample = kept.limit(sample_rows).select("v").toPandas()["v"]
+    sample = kept.where(place < max(int(share * (1 << 40)), 1 + 64 * (1 << 40) // max(number, 64))).select("v", place.alias("h")).orderBy("h").limit(sample_rows).toPandas()["v"]
     index = fit(unit(np.stack([*sample]).astype(np.float64)), number, list_size, k=k)
     shared = spark.sparkContext.broadcast(index)  # bounded: most_lists x (dim + links) numbers
 
@@ -245,7 +248,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
 
         return run
 
-    shape = "id long, v array<double>, list int"
+    shape = f"id long, v array<{kind}>, list int"
     posted = kept.mapInArrow(assign("lists"), shape)
     asked = rows.where(is_query).mapInArrow(assign("probed"), shape)
 
