@@ -1,14 +1,20 @@
 """Counterfactual-regularised toxicity classifier (operator 8).
 
-A logistic model over the words of a text and their stems (prefixes of 4 to 8 letters). In the labelled
-sample, identity terms are swapped for others, and the squared change of the score's logit between a text
-and its swapped twin is penalised, so that a neutral mention of a group moves the score little.
-
-Fitted on a bounded sample of labelled rows: about ``per_class`` rows of each label, of ``max_chars``
-characters at most (both parameters). Every text is scored whole.
-
-Defined results: a null or empty text gets the score of a text without any feature; repeated rows are
-each scored; repeated labels of a row count as toxic if one is; without both labels the score is 0.
+A logistic model over the words of a text and their stems (prefixes of 4 to 8 letters). Every labelled text
+gets counterfactual twins: its own identity terms are swapped for others of their list, and into a text
+without any one is mentioned and then swapped (which ones is dealt in turn, alike for both labels). The twins
+are learnt under the text's label, and the squared change of the score's logit between the twins, and
+between a text and its twin with a mention, is penalised, so a neutral mention of a group moves the score
+little.
+
+Fitted on a bounded sample of labelled rows: about ``per_class`` rows of each label in the order of their
+hash, and of these as many as ``max_total`` characters a label hold, whatever their lengths (the first
+always counts; both are parameters). Every text is scored whole.
+
+Defined results: a null or empty text gets the score of a text without any feature; very long texts are
+scored whole; repeated rows are each scored (a sampled id counts once, with its least text); repeated labels of a row count
+as toxic if one is; without labels of both kinds the score is nearly 0 (the logistic of -40); an empty table gives an empty result; a column
+of the output's name is replaced, any other stays.
 """
 
 from __future__ import annotations
@@ -20,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import crc_mod, pieces, take_turn
+from .common import crc_mod, cut, pieces, take_turn, unused
 
 #: Identity terms that are swapped within a list.
 IDENTITY_TERMS = (
@@ -45,12 +51,19 @@ def features(text: str | None) -> set[str]:
     return {f for w in set(_WORD.findall((text or "").lower())) for f in word_features(w)}
 
 
-def swapped(text: str, by: int) -> str | None:
-    """The text with each identity term replaced by the one ``by`` places on; None if it has none."""
+def swapped(words: list[str], by: int) -> list[str]:
+    """Words with each identity term replaced by the one ``by`` places on in its list."""
+    return [_TWINS[w][0][(_TWINS[w][1] + by) % len(_TWINS[w][0])] if w in _TWINS else w for w in words]
+
+
+def twins(text: str, turn: int) -> list[list[str]]:
+    """The text's words and those of its twins: its identity terms swapped, or else with a mention and with that mention swapped."""
     words = _WORD.findall(text.lower())
-    if not any(w in _TWINS for w in words):
-        return None
-    return " ".join(_TWINS[w][0][(_TWINS[w][1] + by) % len(_TWINS[w][0])] if w in _TWINS else w for w in words)
+    if any(w in _TWINS for w in words):
+        return [words, swapped(words, 1 + turn % 3)]
+    group = IDENTITY_TERMS[turn % len(IDENTITY_TERMS)]
+    term = group[turn // len(IDENTITY_TERMS) % len(group)]
+    return [words, [*words, term], swapped([*words, term], 1 + turn % 3)]
 
 
 class Model:
@@ -79,7 +92,7 @@ class Model:
 
 
 def fit(texts: list[str], labels: list[int], n_features: int = 2048, least_z: float = 2.5, penalty: float = 5.0, l2: float = 1e-3, steps: int = 400) -> Model:
-    """Weights by Adam on logistic loss + ``l2`` + ``penalty`` times the mean squared logit change under swaps."""
+    """Weights by Adam on logistic loss of texts and twins + ``l2`` + ``penalty`` times the mean squared logit change between twins."""
     y = np.array(labels, np.float32)
     pos, neg = int(y.sum()), int(len(y) - y.sum())
     if not pos or not neg:
@@ -87,69 +100,105 @@ def fit(texts: list[str], labels: list[int], n_features: int = 2048, least_z: fl
     seen: dict[str, int] = {}  # feature -> number; texts are held as arrays of numbers
     by_word: dict[str, list[int]] = {}
 
-    def numbered(text: str) -> np.ndarray:
+    def numbered(words: list[str]) -> np.ndarray:
         own: set[int] = set()
-        for w in set(_WORD.findall(text.lower())):
+        for w in set(words):
             if w not in by_word:
                 by_word[w] = [seen.setdefault(f, len(seen)) for f in word_features(w)]
             own.update(by_word[w])
         return np.fromiter(sorted(own), np.int32, len(own))
 
-    rows = [numbered(t) for t in texts]
-    count = [np.bincount(np.concatenate([r for r, own in zip(rows, labels, strict=True) if own == label]), minlength=len(seen)) for label in (1, 0)]
+    # texts first, so that what only twins hold doesn't count as evidence of a label; turns run through each label
+    turn, made = {0: 0, 1: 0}, []
+    for text, label in zip(texts, labels, strict=True):
+        made.append(twins(text, turn[label]))
+        turn[label] += 1
+    rows = [numbered(own[0]) for own in made]
+    n_own = len(seen)
+    count = [np.bincount(np.concatenate([r for r, own in zip(rows, labels, strict=True) if own == label]), minlength=n_own) for label in (1, 0)]
     # smoothed log odds of a feature between the classes; kept where it stands ``least_z`` standard errors from 0
     a, b = count[0] + 0.5, count[1] + 0.5
     odds = np.log(a / (pos + 1 - a)) - np.log(b / (neg + 1 - b))
     z = np.where(a + b >= 4, np.abs(odds) / np.sqrt(1 / a + 1 / b + 1 / (pos + 1 - a) + 1 / (neg + 1 - b)), 0)
+    others = [[numbered(words) for words in own[1:]] for own in made]
+    del made
     all_names = np.array([*seen], dtype=object)
     chosen = [i for i in np.argsort(-z, kind="stable")[: 4 * n_features].tolist() if z[i] >= least_z]
     chosen = sorted(chosen, key=lambda i: (-z[i], all_names[i]))[:n_features]
-    names, scale = [all_names[i] for i in chosen], odds[chosen].astype(np.float32)
+    # features of identity terms are always in the model: those that are evidence as they are, the others at unit scale
+    mentions = sorted({seen[f] for w in _TWINS for f in word_features(w) if f in seen} - set(chosen))
+    names = [all_names[i] for i in chosen + mentions]
+    scale = np.concatenate([odds[chosen], np.ones(len(mentions))]).astype(np.float32)
     place = np.full(len(seen), -1, np.int32)
-    place[chosen] = np.arange(len(chosen))
-
-    def matrix(rows: list[np.ndarray]) -> np.ndarray:
-        x = np.zeros((len(rows), len(names)), np.float32)
-        for i, own in enumerate(rows):
-            own = place[own[own < len(place)]]  # words first met in a swapped text were in no class
-            x[i, own[own >= 0]] = 1
-        x *= scale  # evidence as the unit: rare features start small
-        return x
-
-    x = matrix(rows)
-    pairs = [(i, t) for i, text in enumerate(texts) for by in (1, 3) if (t := swapped(text, by)) is not None]
-    change = matrix([numbered(t) for _, t in pairs]) - x[[i for i, _ in pairs]] if pairs else None
+    place[chosen + mentions] = np.arange(len(names))
+
+    def placed(own: np.ndarray) -> np.ndarray:
+        own = place[own]
+        return np.sort(own[own >= 0])
+
+    x = np.zeros((len(rows), len(names)), np.float32)
+    # changes touch few columns, so twins are kept as (pair, column, value) against their texts, then against each other
+    of: list[int] = []
+    against_text, against_twin = [], []
+    for i, (own, more) in enumerate(zip(rows, others, strict=True)):
+        mine = placed(own)
+        x[i, mine] = scale[mine]  # evidence as the unit: rare features start small
+        more = [placed(r) for r in more]
+        of += [i] * len(more)
+        against_text += [(mine, r) for r in more]
+        against_twin += [(more[0], more[1])] if len(more) == 2 else []
+    del rows, others
+    pair, column, value = [], [], []
+    for k, (old, new) in enumerate(against_text + against_twin):
+        gone, come = np.setdiff1d(old, new, True), np.setdiff1d(new, old, True)
+        pair.append(np.full(len(gone) + len(come), k))
+        column.append(np.concatenate([gone, come]))
+        value.append(np.concatenate([-scale[gone], scale[come]]))
+    pair, column, value = (np.concatenate(c) for c in (pair, column, value))
+    of, n_pairs, n_twins = np.array(of), len(against_text) + len(against_twin), len(of)
+    weight = np.where(y == 1, 0.25 / pos, 0.25 / neg)
+    each = np.bincount(of, minlength=len(y))
+    twin_weight = weight[of] / each[of]  # a text and all its twins weigh the same
     w, b = np.zeros(len(names), np.float32), np.float32(0)
-    weight = np.where(y == 1, 0.5 / pos, 0.5 / neg).astype(np.float32)
     m, v = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
+    miss = lambda z, y: 1 / (1 + np.exp(-np.clip(z, -40, 40))) - y
     for step in range(1, steps + 1):
-        err = (1 / (1 + np.exp(-np.clip(x @ w + b, -40, 40))) - y) * weight
-        g = x.T @ err + l2 * w
-        if change is not None:
-            g = g + (2 * penalty / len(pairs)) * (change.T @ (change @ w))
-        g = np.append(g, err.sum())
+        logit = x @ w + b
+        moved = np.bincount(pair, value * w[column], n_pairs)
+        err = miss(logit, y) * weight
+        twin_err = miss(logit[of] + moved[:n_twins], y[of]) * twin_weight
+        pull = moved * (2 * penalty / n_pairs)
+        pull[:n_twins] += twin_err
+        g = x.T @ (err + np.bincount(of, twin_err, len(y))).astype(np.float32) + l2 * w + np.bincount(column, value * pull[pair], len(names))
+        g = np.append(g, err.sum() + twin_err.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         d = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w, b = (w - d[:-1]).astype(np.float32), np.float32(b - d[-1])
     return Model(names, w * scale, b)
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 2500, max_chars: int = 20_000, exclude: str = "false") -> Model:
-    """Fit on a bounded sample: of each label about the ``per_class`` rows of least hash, of ``max_chars`` characters at most."""
-    known = labels.where(F.col("toxic").isNotNull() & ~F.expr(exclude)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 2500, max_total: int = 20_000_000, exclude: str = "false", penalty: float = 5.0) -> Model:
+    """Fit on a bounded sample: of each label about the ``per_class`` ids of least hash, up to ``max_total`` characters."""
+    known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~F.expr(exclude)).groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     sizes = known.groupBy("toxic").count().collect()
     if not sizes:
         return fit([], [])
     least = F.lit(0)
     for r in sizes:  # the share of each label's hash range that holds about per_class rows
         least = F.when(F.col("toxic") == r["toxic"], F.lit(int(min(1.0, per_class / r["count"]) * (1 << 30)))).otherwise(least)
-    chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < least)
-    ids = {r["doc_id"]: int(r["toxic"] > 0) for r in chosen.select("doc_id", "toxic").collect()}
-    if not ids:
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    chosen = {r["doc_id"]: (int(r["toxic"]), r["h"]) for r in known.where(place < least).select("doc_id", "toxic", place.alias("h")).collect()}
+    if not chosen:
         return fit([], [])
-    found = docs.where(F.col("doc_id").isin(list(ids)) & F.expr(f"length(text) <= {max_chars}")).select("doc_id", "text").collect()
-    once = sorted({(r["doc_id"], r["text"]) for r in found})
-    return fit([t for _, t in once], [ids[i] for i, _ in once])
+    texts = cut(docs.where(F.col("doc_id").isin(list(chosen)) & F.col("text").isNotNull()).groupBy("doc_id").agg(F.min("text").alias("text")))
+    picked, total = [], {0: 0, 1: 0}
+    for r in sorted(texts.select("doc_id", F.length("text").alias("n")).collect(), key=lambda r: (chosen[r["doc_id"]][1], r["doc_id"])):
+        label = chosen[r["doc_id"]][0]
+        if not total[label] or total[label] + r["n"] <= max_total:
+            picked.append(r["doc_id"])
+            total[label] += r["n"]
+    found = {r["doc_id"]: r["text"] for r in texts.where(F.col("doc_id").isin(picked)).collect()} if picked else {}
+    return fit([found[i] for i in picked], [chosen[i][0] for i in picked], penalty=penalty)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
@@ -174,4 +223,5 @@ def score_held_out(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -
 
 def keep_civil(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
     """Rows of ``docs`` that score under ``threshold``; the columns stay as they are."""
-    return score(docs, train(docs, labels), out="_toxicity").where(F.col("_toxicity") < threshold).drop("_toxicity")
+    name = unused(docs, "toxicity")
+    return score(docs, train(docs, labels), out=name).where(F.col(name) < threshold).drop(name)
