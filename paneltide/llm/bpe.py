@@ -5,7 +5,8 @@ shared-suffix automaton: a word's path adds up the outputs on its edges to the w
 rank points at its ids. Workers memory-map the compiled file. Words outside the lexicon are merged
 exactly, lowest rank first. Ids are those of the tokenizer file; nothing is trained.
 
-Defined results: a null text counts as empty (no ids, empty decoded text); repeated rows are each
+Defined results: a null text counts as empty (no ids, empty decoded text); very long texts and single
+words are encoded whole, in about linear time; of equal merge ranks the leftmost goes first; repeated rows are each
 encoded; extra columns are ignored, so their names can't clash; an empty table gives an empty result.
 The special tokens' literal strings in a text become their ids, as in the reference library.
 """
@@ -13,6 +14,7 @@ The special tokens' literal strings in a text become their ids, as in the refere
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import mmap
 import struct
@@ -27,15 +29,42 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 from . import common
-from .common import cut
+from .common import cut, pieces
 
 #: Fixed values of the tokenizer's pre-tokenizer: contractions, letter runs, single digits, symbol runs.
 _SPACE = "\t-\r \x85\xa0  -     　"
 _WORD = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
 #: Separators to str.split() that aren't white space to the tokenizer.
 _CONTROL = regex.compile("[\x1c-\x1f]")
+#: Ranges that the regex module counts as letters or numbers and the tokenizer library, of an older Unicode version, as symbols.
+_NEWER = regex.compile(
+    "[\u0558\u058b-\u058c\u088f\u0c5c\u0cdc\u208f\u209d-\u209f\ua7ce-\ua7cf\ua7d2\ua7d4\ua7dd\ua7e2\ua7f1\uab6c-\uab6d"
+    "\U000107bb-\U000107bf\U00010940-\U00010959\U00010ec5-\U00010ec7\U00010ed9-\U00010eee\U00011b0a\U00011db0-\U00011ddb\U00011de0-\U00011de9\U00011df1"
+    "\U0001246f\U00012475-\U0001247f\U00012550-\U00012686\U00016ea0-\U00016eb8\U00016ebb-\U00016ed3\U00016ff2-\U00016ff6\U000187f8-\U000187ff"
+    "\U00018cd6-\U00018cda\U00018d09-\U00018d20\U00018d80-\U00018df2\U00018e00-\U00019191\U000191a0-\U000191d2\U0001b123-\U0001b128\U0001b168"
+    "\U0001d6a6\U0001df1f-\U0001df24\U0001df2b-\U0001df81\U0001df90-\U0001df96\U0001dfcd-\U0001dfff\U0001e6c0-\U0001e6de\U0001e6e0-\U0001e6e2"
+    "\U0001e6e4-\U0001e6e5\U0001e6e7-\U0001e6ed\U0001e6f0-\U0001e6f4\U0001e6fe-\U0001e6ff\U0002b73a-\U0002b73f\U0002b81e\U0002cea2-\U0002cead"
+    "\U000323b0-\U00033479\U0003d000-\U0003fc3f]"
+)
+#: Capitals that the library lowers and ``str.lower`` of Unicode 15.1 doesn't: first, last, distance of the small letter.
+_LOWERED = (
+    (0x1C89, 0x1C89, 1), (0xA7CB, 0xA7CB, 0x264 - 0xA7CB), (0xA7CC, 0xA7CC, 1), (0xA7CE, 0xA7CE, 1), (0xA7D2, 0xA7D2, 1), (0xA7D4, 0xA7D4, 1), (0xA7DA, 0xA7DA, 1),
+    (0xA7DC, 0xA7DC, 0x19B - 0xA7DC), (0x10D50, 0x10D65, 32), (0x16EA0, 0x16EB8, 27),
+)
+_LOWER = {c: c + step for first, last, step in _LOWERED for c in range(first, last + 1)}
+_CAPITAL = regex.compile("[" + "".join(map(chr, _LOWER)) + "]")
+_ASIDE = _NEWER.pattern[1:-1]
+_NEWER_WORD = regex.compile(rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}--[{_ASIDE}]]+|[\p{{N}}--[{_ASIDE}]]|[[^{_SPACE}\p{{L}}\p{{N}}]||[{_ASIDE}]]+")
 _BITS, _NEVER = 20, 1 << 60
 _UNKNOWN = (1 << _BITS) - 1  # no vocabulary is that large
+_LONG = 64  # bytes of a word beyond which merging runs on a heap
+
+
+def split_words(run: str) -> list[str]:
+    """Words of a run without white space, as the tokenizer splits it."""
+    if run.isascii() or not _NEWER.search(run):
+        return _WORD.findall(run)
+    return _NEWER_WORD.findall(run)
 
 
 def byte_chars() -> list[str]:
@@ -185,13 +214,16 @@ class WordBpe:
             self.tokens[i] = t
         self.lexicon = Transducer(lexicon) if lexicon else None
         self.words = _Cache(self.word_ids, cache)
-        self.runs = _Cache(lambda run: b"".join(map(self.words.__getitem__, _WORD.findall(run))), cache)
+        self.runs = _Cache(lambda run: b"".join(map(self.words.__getitem__, split_words(run))), cache)
 
     def merge(self, word: str) -> bytes:
+        """Ids of one word: the pair of least rank is merged first, the leftmost of equal ones."""
         inner, bits = self.inner, word.encode()
         ids = [inner[b] for b in bits]
         ids[-1] = self.last[bits[-1]]
         rank = self.merges.get
+        if len(ids) > _LONG:
+            return self._merge_long(ids)
         ranks = [rank(a << _BITS | b, _NEVER) for a, b in pairwise(ids)]
         while ranks and (best := min(ranks)) != _NEVER:
             i = ranks.index(best)
@@ -205,6 +237,28 @@ class WordBpe:
             ids = [x for x in ids if x != _UNKNOWN]
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _merge_long(self, ids: list[int]) -> bytes:
+        """The same order of merges from a heap over linked neighbours: n log n."""
+        n, rank = len(ids), self.merges.get
+        after, before = [*range(1, n + 1)], [*range(-1, n - 1)]
+        heap = [(r, i) for i in range(n - 1) if (r := rank(ids[i] << _BITS | ids[i + 1])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            r, i = heapq.heappop(heap)
+            j = after[i] if ids[i] >= 0 else n
+            if j >= n or rank(ids[i] << _BITS | ids[j]) != r:
+                continue  # one of the two has been merged away
+            ids[i], ids[j] = r & _UNKNOWN, -1
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+                if (r := rank(ids[i] << _BITS | ids[after[i]])) is not None:
+                    heapq.heappush(heap, (r, i))
+            if before[i] >= 0 and (r := rank(ids[before[i]] << _BITS | ids[i])) is not None:
+                heapq.heappush(heap, (r, before[i]))
+        kept = [x for x in ids if x >= 0 and x != _UNKNOWN]
+        return struct.pack(f"<{len(kept)}I", *kept)
+
     def word_ids(self, word: str) -> bytes:
         known = self.lexicon.ids(word.encode()) if self.lexicon else None
         return self.merge(word) if known is None else known
@@ -214,8 +268,10 @@ class WordBpe:
             if not unicodedata.is_normalized("NFC", text):
                 text = unicodedata.normalize("NFC", text)
             text = text.replace("Σ", "σ")  # lower() alone would apply the final-sigma rule
+            if _CAPITAL.search(text):
+                text = text.translate(_LOWER)
         if _CONTROL.search(text):
-            return b"".join(map(self.words.__getitem__, _WORD.findall(text.lower())))
+            return b"".join(map(self.words.__getitem__, split_words(text.lower())))
         return b"".join(map(self.runs.__getitem__, text.lower().split()))  # no word crosses white space
 
     def encode(self, text: str | None) -> bytes:
@@ -235,13 +291,13 @@ _encoders: dict[bytes, WordBpe] = {}
 common.kept["bpe"] = _encoders.clear
 
 
-def encoder(tokenizer: bytes, lexicon: bytes | None = None) -> WordBpe:
+def encoder(tokenizer: bytes, lexicon: bytes | None = None, cache: int = 350_000) -> WordBpe:
     """One encoder per Python worker: its caches live on from task to task."""
     common.take_turn("bpe")
     key = hashlib.sha1(tokenizer + (lexicon or b"")).digest()
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = WordBpe(tokenizer, lexicon)
+        _encoders[key] = WordBpe(tokenizer, lexicon, cache)
     return _encoders[key]
 
 
@@ -253,18 +309,34 @@ def frequent_words(docs: DataFrame, text_col: str = "text", most: int = 131_072)
     """
     words = docs.select(F.explode(F.expr(f"regexp_extract_all(lower(`{text_col}`), '\\\\p{{L}}+', 0)")).alias("word"))
     counts = cut(words.groupBy("word").agg(F.count("*").alias("n")).where("n > 1"))
-    levels = counts.groupBy(F.least("n", F.lit(100_000)).alias("n")).agg(F.count("*").alias("words")).collect()
-    total, least = 0, None
-    for n, k in sorted(((r["n"], r["words"]) for r in levels), reverse=True):
-        if total + k > most:
-            break
-        total, least = total + k, n
-    return [] if least is None else [r["word"] for r in counts.where(F.col("n") >= least).select("word").collect()]
+    low, high = 2, None  # counts from ``low`` on are too many words, those from ``high`` on fit
+    while True:
+        # up to 1000 bins between both; the bin where the total passes the bound is split again
+        top = counts.agg(F.max("n")).first()[0] if high is None else high
+        if top is None:
+            return []
+        width = max(1, -(-(top + 1 - low) // 1000))
+        bins = counts.where((F.col("n") >= low) & (F.col("n") <= top)).groupBy(F.expr(f"(n - {low}) div {width}").alias("bin")).agg(F.count("*").alias("words")).collect()
+        total = 0 if high is None else counts.where(F.col("n") > top).count()
+        border = None
+        for k, words_in in sorted(((r["bin"], r["words"]) for r in bins), reverse=True):
+            if total + words_in > most:
+                border = k
+                break
+            total += words_in
+        if border is None:
+            least = low
+        elif width > 1:
+            low, high = low + border * width, min(top, low + (border + 1) * width - 1)
+            continue
+        else:
+            least = low + border + 1
+        return [r["word"] for r in counts.where(F.col("n") >= least).select("word").collect()]
 
 
 def build_lexicon(tokenizer: bytes, words: list[str]) -> bytes:
     plain = WordBpe(tokenizer)
-    return compile_lexicon({w.encode(): plain.merge(w) for w in words if w and _WORD.fullmatch(w)})
+    return compile_lexicon({w.encode(): plain.merge(w) for w in words if w and not _NEWER.search(w) and _WORD.fullmatch(w)})
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", lexicon_words: int = 131_072) -> DataFrame:
@@ -301,8 +373,8 @@ def _mapped(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, le
     names = [id_col, *(c.split()[0] for c in columns.split(", "))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(*shared.value)
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), *make(bpe, batch.column(1).to_pylist())], names)
+        bpe = encoder(*shared.value, cache=200_000)
+        for batch, texts in pieces(batches, text_col, 8_000_000):
+            yield pa.RecordBatch.from_arrays([batch.column(0), *make(bpe, texts)], names)
 
     return rows.mapInArrow(run, f"`{id_col}` {dict(rows.dtypes)[id_col]}, {columns}")
