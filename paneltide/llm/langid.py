@@ -1,28 +1,30 @@
 """Language identification by cross-parsing entropy (operator 9).
 
-A suffix automaton per language is built from a bounded sample of labelled text. A text is parsed
-greedily into the longest pieces that occur in a language's sample; the language that needs the fewest
-pieces per character wins. All languages and many stretches of text are parsed in step by array
-operations: texts are laid out in stretches of ``STRETCH`` characters, and the parse starts anew at each.
+A suffix automaton per language is built from a bounded sample of labelled text. A text is parsed greedily
+into the longest pieces that occur in a language's sample; phrases times the logarithm of the sample's size
+estimate the cross entropy, so samples of different sizes compare, and the language of the least estimate
+wins. All languages and many stretches of text are parsed in step by array operations; a stretch takes up the
+phrase that is open where the one before it ends, so the result is that of one parse of the whole text.
+Automata are kept as one sparse table of edges, in proportion to the samples, whatever the alphabet.
 
-Defined results: a text that is null or has no letter is ``und`` with score 0; ties go to the language
-that sorts first; repeated rows are each judged; with no labelled text at all every row is ``und``.
+Defined results: a text that is null or has no letter is ``und`` with score 0; very long texts are parsed
+whole; ties go to the language that sorts first; repeated rows are each judged (a sampled id counts once,
+with its least text); with no labelled text at all every row is ``und``; an empty table gives an empty
+result; columns of the output's names are replaced, any others stay.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
-from .common import crc_mod, pieces, take_turn
+from .common import crc_mod, pieces, take_turn, unused
 
-STRETCH = 512
-_LIMIT = 0x20000
-OTHER, SPACE = 0, 1  # codes of letters outside the alphabet, and of runs of anything else
+STRETCH = 512  # characters parsed in step; no bound on phrases
+OTHER, SPACE = 0, 1  # codes of letters outside the samples, and of runs of anything else
 
 
 def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
@@ -54,22 +56,54 @@ def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
     return go
 
 
+def edge_table(automata: list[list[dict[int, int]]], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+    """(base, owner, target, starts): state s goes by code c to target[base[s] + c] if owner[base[s] + c] is s.
+
+    States of all automata are numbered through; edges of all states interleave in one table without gaps to
+    speak of, states of many edges placed first.
+    """
+    states, starts = [], []
+    for go in automata:
+        shift = len(states)
+        starts.append(shift)
+        states += [{c: t + shift for c, t in edges.items() if c != OTHER} for edges in go]
+    taken, base, at = bytearray(size), [0] * len(states), {}
+    taken[:] = b"\1" * size  # places below ``size`` stay free of edges, so that no base is negative
+    owner, target = [-1] * size, [0] * size
+    for s in sorted((s for s, edges in enumerate(states) if edges), key=lambda s: -len(states[s])):
+        codes = sorted(states[s])
+        place = at.get(len(codes), size)
+        while True:
+            place = taken.find(0, place)
+            if place < 0:
+                place = len(taken)
+            if place + size >= len(taken):
+                grown = max(len(taken), 2 * size)
+                taken.extend(bytes(grown))
+                owner.extend([-1] * grown)
+                target.extend([0] * grown)
+            b = place - codes[0]
+            if not any(taken[b + c] for c in codes[1:]):
+                break
+            place += 1
+        at[len(codes)] = place + 1
+        base[s] = b
+        for c in codes:
+            taken[b + c], owner[b + c], target[b + c] = 1, s, states[s][c]
+    end = max(base, default=0) + size + 1
+    return np.array(base, np.int32), np.array(owner[:end], np.int32), np.array(target[:end], np.int32), starts
+
+
 class CrossParser:
-    """Languages, the alphabet and all automata as one table of jumps."""
+    """Languages, the code of every character, and all automata as one table of edges."""
 
-    def __init__(self, samples: dict[str, list[str]], max_chars: int = 16_384, alphabet: int = 250):
+    def __init__(self, samples: dict[str, list[str]], max_chars: int = 16_384):
         self.languages = sorted(samples)
-        letters: Counter = Counter()
-        for texts in samples.values():
-            for t in texts:
-                letters.update(x for x in t.lower() if x.isalpha())
-        known = sorted(letters, key=lambda x: (-letters[x], x))[:alphabet]
-        self.size = len(known) + 2
-        self.codes = np.array([OTHER if chr(i).isalpha() else SPACE for i in range(_LIMIT)] + [OTHER], np.uint8)
-        for i, x in enumerate(known):
-            if ord(x) < _LIMIT:
-                self.codes[ord(x)] = i + 2
-        automata = []
+        letters = sorted({x for texts in samples.values() for t in texts for x in t.lower() if x.isalpha()})
+        self.size = len(letters) + 2
+        self.codes = np.fromiter((OTHER if chr(i).isalpha() else SPACE for i in range(0x110000)), np.int32, 0x110000)
+        self.codes[[ord(x) for x in letters]] = np.arange(2, self.size)
+        automata, lengths = [], []
         for lang in self.languages:
             seq: list[int] = []
             for t in samples[lang]:
@@ -77,100 +111,148 @@ class CrossParser:
                     break
                 seq += [SPACE, *self.encode(t).tolist()]
             automata.append(suffix_automaton(seq[:max_chars]))
-        states = max(map(len, automata), default=1)
-        # a jump's value is the place of the next state's row; the start's own row means "no edge"
-        table = np.zeros((len(automata), states, self.size), np.int64)
+            lengths.append(len(seq[:max_chars]))
+        self.base, self.owner, self.target, starts = edge_table(automata, self.size)
+        self.starts = np.array(starts, np.int32)
+        #: bits that one phrase stands for: a place in the sample
+        self.bits = np.log2(np.maximum(lengths, 2)) if lengths else np.empty(0)
+        # first edges of each language, the start itself where there is none
+        self.first = np.repeat(self.starts[:, None], self.size, axis=1).astype(np.int32)
         for k, go in enumerate(automata):
-            table[k] = k * states
-            for s, edges in enumerate(go):
-                for c, t in edges.items():
-                    if c != OTHER:
-                        table[k, s, c] = k * states + t
-        self.jumps = (table * self.size).astype(np.int32).ravel()
-        self.starts = (np.arange(len(automata)) * states * self.size).astype(np.int32)
+            for c, t in go[0].items():
+                if c != OTHER:
+                    self.first[k, c] = starts[k] + t
+        self.first = self.first.ravel()
 
     def encode(self, text: str) -> np.ndarray:
-        c = self.codes[np.minimum(np.frombuffer(text.lower().encode("utf-32-le", "replace"), "<u4"), _LIMIT)]
+        c = self.codes[np.frombuffer(text.lower().encode("utf-32-le", "replace"), "<u4")]
         return c[(c != SPACE) | (np.concatenate([[OTHER], c[:-1]]) != SPACE)]
 
+    def step(self, state: np.ndarray, lang: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(next state, whether a phrase begins at this character)."""
+        place = self.base[state] + code
+        hit = self.owner[place] == state
+        return np.where(hit, self.target[place], self.first[lang * self.size + code]), ~hit | (state == self.starts[lang])
+
     def phrases(self, coded: list[np.ndarray]) -> np.ndarray:
         """Number of phrases of each text in each language."""
-        spans = [(i, x[a : a + STRETCH]) for i, x in enumerate(coded) for a in range(0, len(x), STRETCH)]
-        spans.sort(key=lambda s: -len(s[1]))
-        out = np.zeros((len(coded), len(self.languages)), np.int64)
-        for at in range(0, len(spans), 4096):
-            part = spans[at : at + 4096]
-            lengths = np.array([len(x) for _, x in part])
-            grid = np.zeros((len(part), lengths[0]), np.uint8)
-            for row, (_, x) in zip(grid, part, strict=True):
-                row[: len(x)] = x
-            grid = np.ascontiguousarray(grid.T)
-            start = self.starts[:, None]
-            state = np.repeat(start, len(part), axis=1)
-            count = np.zeros(state.shape, np.int32)
-            live = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")  # spans longer than t
-            for t, k in enumerate(live):
-                c = grid[t, :k].astype(np.int32)
-                now = state[:, :k]
-                nxt = self.jumps[now + c]
-                fail = nxt == start
-                again = self.jumps[start + c]
-                count[:, :k] += fail & (now != start)
-                count[:, :k] += fail & (again == start)
-                state[:, :k] = np.where(fail, again, nxt)
-            count += state != start
-            np.add.at(out, [i for i, _ in part], count.T)
+        langs = len(self.languages)
+        out = np.zeros((len(coded), langs), np.int64)
+        spans = [(i, a, min(STRETCH, len(x) - a)) for i, x in enumerate(coded) for a in range(0, len(x), STRETCH)]
+        if not spans or not langs:
+            return out
+        flat = np.concatenate(coded)
+        begin = np.cumsum([0, *(len(x) for x in coded)])
+        text, offset, length = (np.array(c, np.int64) for c in zip(*spans, strict=True))
+        offset += begin[text]
+        order = np.argsort(-length, kind="stable")  # those still running are always the first
+        live = np.searchsorted(-length[order], -np.arange(length.max()), side="left")
+        every = np.arange(langs)[:, None]
+        state = np.repeat(self.starts[:, None], len(spans), axis=1)
+        count = np.zeros(state.shape, np.int64)
+        for t, k in enumerate(live.tolist()):
+            own = order[:k]
+            if k == len(spans):
+                own = slice(None)
+                state, began = self.step(state, every, flat[offset + t][None, :])
+                count += began
+            else:
+                now, began = self.step(state[:, own], every, flat[offset[own] + t][None, :])
+                state[:, own] = now
+                count[:, own] += began
+        # a stretch was parsed from the start state; parse it from where the one before it ends until both parses meet
+        follows = np.flatnonzero(text[1:] == text[:-1]) + 1
+        lang, span = np.repeat(np.arange(langs), len(follows)), np.tile(follows, langs)
+        old, new = self.starts[lang], state[lang, span - 1]
+        while len(span):
+            apart = old != new
+            lang, span, old, new = lang[apart], span[apart], old[apart], new[apart]
+            more = np.zeros(len(span), np.int64)
+            at, t = np.arange(len(span)), 0
+            while len(at):
+                code = flat[offset[span[at]] + t]
+                a, x = self.step(old[at], lang[at], code)
+                b, y = self.step(new[at], lang[at], code)
+                more[at] += y.astype(np.int64) - x
+                old[at], new[at] = a, b
+                t += 1
+                at = at[(a != b) & (t < length[span[at]])]
+            count[lang, span] += more
+            state[lang, span] = new
+            # those that never met change how the next stretch begins
+            on = (old != new) & (span + 1 < len(text))
+            on[on] = text[span[on] + 1] == text[span[on]]
+            lang, span, old, new = lang[on], span[on] + 1, old[on], new[on]
+        np.add.at(out, text, count.T)
         return out
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
+        """Languages, scores (share of bits saved against the next best), and further phrases per character."""
         spoken = [any(map(str.isalpha, t or "")) for t in texts]
-        counts = self.phrases([self.encode(t) if s else np.empty(0, np.uint8) for t, s in zip(texts, spoken, strict=True)])
-        langs, scores = [], []
-        for n, s in zip(counts, spoken, strict=True):
+        coded = [self.encode(t) if s else np.empty(0, np.int32) for t, s in zip(texts, spoken, strict=True)]
+        counts = self.phrases(coded)
+        langs, scores, rough = [], [], []
+        for n, s, x in zip(counts, spoken, coded, strict=True):
             if not s or not self.languages:
                 langs.append("und")
                 scores.append(0.0)
+                rough.append(1.0)
                 continue
-            best = int(n.argmin())
-            rest = np.delete(n, best)
+            bits = n * self.bits
+            best = int(bits.argmin())
+            rest = np.delete(bits, best)
             langs.append(self.languages[best])
-            scores.append(float(1 - n[best] / rest.min()) if len(rest) else 1.0)
-        return langs, scores
+            scores.append(float(1 - bits[best] / rest.min()) if len(rest) else 1.0)
+            rough.append(float((n[best] - 1) / len(x)) if len(x) >= 12 else 0.0)  # a shorter text says little
+        return langs, scores, rough
 
 
-def train(docs: DataFrame, per_language: int = 64, max_chars: int = 16_384, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", exclude: str = "false") -> CrossParser:
-    """Fit on a bounded sample: per language the ``per_language`` labelled rows of least hash, up to ``max_chars`` characters.
+def samples_of(docs: DataFrame, per_language: int = 64, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", exclude: str = "false") -> dict[str, list[str]]:
+    """Per language, slices of 1024 characters of the texts of the ``per_language`` labelled ids of least hash, in turn.
 
-    Rows longer than ``max_chars`` aren't sampled. Ids are chosen first, so texts aren't sorted or moved.
+    No text is too long or too short to be sampled. Ids are chosen first, so texts aren't sorted or moved.
     """
-    labelled = docs.where(F.col(lang_col).isNotNull() & F.expr(f"length(`{text_col}`) between 1 and {max_chars}") & ~F.expr(exclude))
+    labelled = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & (F.length(text_col) > 0) & ~F.expr(exclude))
     order = W.partitionBy("lang").orderBy("h", "id")
     chosen = (
-        labelled.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.xxhash64(id_col).alias("h"))
-        .withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_language).select("id").distinct()
+        labelled.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.xxhash64(id_col).alias("h")).distinct()
+        .withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_language).select("lang", "id").distinct()
+    )
+    ids = sorted({r["id"] for r in chosen.collect()})
+    slice_, most = 1024, 8192
+    rows = (
+        labelled.where(F.col(id_col).isin(ids)).groupBy(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"))
+        .agg(F.min(F.substring(text_col, 1, most)).alias("text")).withColumn("h", F.xxhash64("id")).collect() if ids else []
     )
-    ids = [r["id"] for r in chosen.collect()]
-    rows = labelled.where(F.col(id_col).isin(ids)).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col).alias("h")).collect() if ids else []
     samples: dict[str, list[str]] = {}
-    for r in sorted(rows, key=lambda r: (r["lang"], r["h"], r["text"])):
-        samples.setdefault(r["lang"], []).append(r["text"])
-    return CrossParser(samples, max_chars)
+    own: dict[str, list[str]] = {}
+    for r in sorted(rows, key=lambda r: (r["lang"], r["h"], r["id"])):
+        own.setdefault(r["lang"], []).append(r["text"])
+    for lang, texts in own.items():
+        samples[lang] = [t[a : a + slice_] for a in range(0, most, slice_) for t in texts if len(t) > a]
+    return samples
+
+
+def train(docs: DataFrame, per_language: int = 64, max_chars: int = 16_384, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", exclude: str = "false") -> CrossParser:
+    """Fit on a bounded sample: ``max_chars`` characters of each language's slices."""
+    return CrossParser(samples_of(docs, per_language, id_col, text_col, lang_col, exclude), max_chars)
 
 
-def identify(docs: DataFrame, model: CrossParser, text_col: str = "text", out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """``docs`` with two more columns: predicted language and score (share of phrases saved against the next best).
+def identify(docs: DataFrame, model: CrossParser, text_col: str = "text", out: Sequence[str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with more columns: predicted language, score (share of bits saved against the next best) and, if three are named, further phrases per character.
 
     Columns of ``docs`` that already have these names are replaced.
     """
     docs = docs.drop(*out)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: languages x 2 x max_chars x alphabet
-    schema = T.StructType([*docs.schema.fields, T.StructField(out[0], T.StringType()), T.StructField(out[1], T.DoubleType())])
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: edges of languages x max_chars characters, and a code per character
+    kinds = (T.StringType(), T.DoubleType(), T.DoubleType())
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, k) for n, k in zip(out, kinds, strict=False))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         take_turn("langid")
         for batch, texts in pieces(batches, text_col, 2_000_000):
-            langs, scores = shared.value.predict(texts)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names, *out])
+            made = zip(shared.value.predict(texts), (pa.string(), pa.float64(), pa.float64()), out, strict=False)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(v, k) for v, k, _ in made)], [*batch.schema.names, *out])
 
     return docs.mapInArrow(run, schema)
 
@@ -181,8 +263,13 @@ def identify_held_out(docs: DataFrame) -> DataFrame:
     return identify(docs.select("doc_id", F.expr(held).alias("held_out"), "text"), train(docs, exclude=held)).select("doc_id", "held_out", "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, least: float = 0.02) -> DataFrame:
-    """Rows of ``docs`` whose language is found with at least ``least`` as score; the columns stay as they are."""
-    named = ("_lang_pred", "_lang_score")
-    found = identify(docs, train(docs), out=named)
-    return found.where((F.col(named[0]) != "und") & (F.col(named[1]) >= least)).drop(*named)
+def keep_identified(docs: DataFrame, most_rough: float = 0.55) -> DataFrame:
+    """Rows of ``docs`` that some language explains; the columns stay as they are.
+
+    Texts without letters go, and those that the best language can only parse into pieces that are on average
+    shorter than 1 / ``most_rough`` characters, the first piece not counted. Close seconds don't matter, and
+    letters in texts of fewer than 12 characters are taken as they are.
+    """
+    lang, score, rough = (unused(docs, n) for n in ("lang_pred", "lang_score", "lang_rough"))
+    found = identify(docs, train(docs), out=(lang, score, rough))
+    return found.where((F.col(lang) != "und") & (F.col(rough) <= most_rough)).drop(lang, score, rough)
