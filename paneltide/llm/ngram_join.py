@@ -2,18 +2,21 @@
 
 Word 5-grams of each distinct text are MinHashed; bands and rows are chosen for a target recall at the
 threshold, and band hashes are shuffled. Texts that share a band hash with the least text of their bucket
-are tied to it, and tied texts form families. Within a family every pair is verified on the full n-gram
-sets, in blocks against blocks, so a large family is spread over many tasks; blocks return link counts and
-a spanning forest, never pairs. Exact copies (texts equal but for case) are one class from the start: they
-are signed once per row, counted, and never paired.
+are tied to it, and tied texts form families. Within a family pairs are verified on the full n-gram sets
+(of 64-bit hashes of n-grams), in blocks against blocks, so a large family is spread over many tasks; blocks
+return link counts and a spanning forest, never pairs. Exact copies (texts equal but for case) are one class
+from the start: they are signed once per row, counted, and never paired. Wherever rows of one text, bucket
+or family meet what is known of it, they are dealt to 64 tasks.
 
 Result per row: the component it belongs to (``class_id``: the least doc_id of all texts that are linked
 directly or through others) and ``n_links``, the number of other rows whose text has a Jaccard similarity of
 the threshold or more with it.
 
 Defined results: a text that is null or has no word is a class of its own row id with no link, though
-repeated; a text of fewer than five words has one n-gram, all its words; a null id counts as the
-least id for choosing representatives and stays null in the output; an empty table gives an empty result.
+repeated; a text of fewer than five words has one n-gram, all its words; very long texts are compared whole;
+a pair at the threshold is linked; repeated rows count each; a null id counts as the
+least id for choosing representatives and stays null in the output; an empty table gives an empty result;
+columns of any other names are ignored by ``join`` and stay as they are in ``keep_one``.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .common import cut, pieces, take_turn
+from .common import SALTS, cut, per_salt, pieces, salt, salts_seen, spread_join, take_turn, unused
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 NO_ID = -(1 << 63)
@@ -98,6 +101,19 @@ def text_key(text: str) -> Column:
     return F.when(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.unhex(F.md5(F.lower(F.col(text)))))
 
 
+def node_name(id0: Column, key: Column) -> Column:
+    """24 bytes that order texts by their least id, then key."""
+    return F.unhex(F.concat(F.lpad(F.hex(id0.bitwiseXOR(F.lit(NO_ID))), 16, "0"), F.hex(key)))
+
+
+def node_id(node: Column) -> Column:
+    return F.conv(F.hex(F.substring(node, 1, 8)), 16, -10).cast("long").bitwiseXOR(F.lit(NO_ID))
+
+
+def node_key(node: Column) -> Column:
+    return F.substring(node, 9, 16)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of an undirected graph of edges (a, b): the least node that each is connected to.
 
@@ -112,10 +128,10 @@ def components(edges: DataFrame) -> DataFrame:
     both = thin.unionByName(thin.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root")))
     while True:
-        seen = both.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("near")).select(F.col("a").alias("node"), "near")
+        seen = spread_join(both, labels.select(F.col("node").alias("b"), "root"), ["b"], ["a"], "inner").groupBy("a").agg(F.min("root").alias("near")).select(F.col("a").alias("node"), "near")
         near = labels.join(seen, "node").select("node", F.col("root").alias("was"), F.least("root", "near").alias("root"))
         jump = labels.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        spread = cut(near.join(jump, "root", "left").select("node", "was", F.least("root", "next").alias("root")))
+        spread = cut(spread_join(near, jump, ["root"], ["node"]).select("node", "was", F.least("root", "next").alias("root")))
         labels = spread.select("node", "root")
         if spread.where("root <> was").isEmpty():
             return labels
@@ -170,21 +186,25 @@ def links(docs: DataFrame, threshold: float, n: int, recall: float, block: int,
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         take_turn("ngram_join")
         for batch, texts in pieces(batches, "text", 1_000_000):
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(band_hashes(texts, bands, rows, n), pa.list_(pa.int64()))], ["id", "id0", "key", "bands"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(band_hashes(texts, bands, rows, n), pa.list_(pa.int64()))], ["id", "id0", "key", "salt", "bands"])
 
-    signed = cut(slim.mapInArrow(sign, "id long, id0 long, key binary, bands array<long>"))
-    classes = cut(signed.where("key is not null").groupBy("key").agg(F.min("id0").alias("id0"), F.count("*").alias("copies"), F.first("bands").alias("bands")))
+    # the salt tells rows of one text apart, repeated rows too
+    salted = slim.select("id", "id0", "key", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("salt"), "text")
+    signed = cut(salted.mapInArrow(sign, "id long, id0 long, key binary, salt int, bands array<long>"))
+    found = signed.where("key is not null").groupBy("key").agg(F.min("id0").alias("id0"), F.count("*").alias("copies"), salts_seen("salt").alias("seen"), F.first("bands").alias("bands"))
+    classes = cut(found.withColumn("node", node_name(F.col("id0"), F.col("key"))))
 
     # one star per bucket: every class is tied to the least of those that share a band hash with it
-    banded = classes.select("key", F.posexplode("bands").alias("band", "hash"))
-    stars = banded.groupBy("band", "hash").agg(F.min("key").alias("hub"), F.count("*").alias("size")).where("size > 1").drop("size")
-    families = cut(components(banded.join(stars, ["band", "hash"]).where("key <> hub").select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()))
+    banded = classes.select("node", salt("node").alias("salt"), F.posexplode("bands").alias("band", "hash"))
+    stars = banded.groupBy("band", "hash").agg(F.min("node").alias("hub"), F.count("*").alias("size"), salts_seen("salt").alias("seen")).where("size > 1").drop("size")
+    tied = banded.join(per_salt(stars, "seen", "salt"), ["band", "hash", "salt"]).where("node <> hub")
+    families = cut(components(tied.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()))
 
     # full n-gram sets of the families' texts; a family is dealt to blocks of about ``block`` texts
     sizes = families.groupBy("root").agg(F.count("*").alias("size"))
-    members = families.join(sizes, "root").withColumnRenamed("node", "key").join(classes.select("key", "id0", "copies"), "key")
-    members = members.withColumn("blocks", F.ceil(F.col("size") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    texts = slim.select("id0", "key", "text").join(members, ["id0", "key"]).select("key", "root", "copies", "blocks", "own", "text")
+    members = spread_join(families, sizes, ["root"], ["node"], "inner").join(classes.select("node", "id0", "key", "copies"), "node")
+    members = members.withColumn("blocks", F.ceil(F.col("size") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    texts = slim.select("id0", "key", "text").join(members, ["id0", "key"]).dropDuplicates(["id0", "key"]).select("node", "root", "copies", "blocks", "own", "text")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         take_turn("ngram_join")
@@ -193,17 +213,17 @@ def links(docs: DataFrame, threshold: float, n: int, recall: float, block: int,
             own = [np.unique(grams[a:b]).view(np.int64) for a, b in zip(ends, ends[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(own, pa.list_(pa.int64()))], [*batch.schema.names[:5], "grams"])
 
-    full = texts.mapInArrow(sets, "key binary, root binary, copies long, blocks int, own int, grams array<long>")
+    full = texts.mapInArrow(sets, "node binary, root binary, copies long, blocks int, own int, grams array<long>")
     dealt = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other"))
 
     def verify(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("key").sort_values("key", ignore_index=True)
+        pdf = pdf.sort_values("node", ignore_index=True)
         lo, hi = pdf["lo"].iloc[0], pdf["hi"].iloc[0]
         left = pdf if lo == hi else pdf[pdf["own"] == lo]
         right = pdf if lo == hi else pdf[pdf["own"] == hi]
         if not len(left) or not len(right):
-            return pd.DataFrame({"key": [], "linked": [], "to": []})
+            return pd.DataFrame({"node": [], "linked": [], "to": []})
         ok = verified([*left["grams"]], [*right["grams"]], threshold)
         if lo == hi:
             np.fill_diagonal(ok, False)
@@ -211,18 +231,17 @@ def links(docs: DataFrame, threshold: float, n: int, recall: float, block: int,
         else:
             both = np.block([[np.zeros((len(left), len(left)), bool), ok], [ok.T, np.zeros((len(right), len(right)), bool)]])
             linked = np.concatenate([ok @ right["copies"].to_numpy(), ok.T @ left["copies"].to_numpy()])
-        keys = [*left["key"]] if lo == hi else [*left["key"], *right["key"]]
-        return pd.DataFrame({"key": keys, "linked": linked.astype(np.int64), "to": [keys[r] for r in _forest(len(keys), both)]})
-
-    checked = cut(dealt.groupBy("root", "lo", "hi").applyInPandas(verify, "key binary, linked long, to binary"))
-    counted = checked.groupBy("key").agg(F.sum("linked").alias("linked"))
-    grouped = components(checked.where("key <> to").select(F.col("key").alias("a"), F.col("to").alias("b")).distinct()).withColumnRenamed("node", "key")
-    known = classes.select("key", "id0", "copies").join(counted, "key", "left").join(grouped, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    heads = known.groupBy("root").agg(F.min(F.struct("id0", "key")).alias("head"))
-    result = known.join(heads, "root").select(
-        "key", F.col("head.id0").alias("rep0"), F.col("head.key").alias("rep_key"), (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links")
-    )
-    out = signed.select("id", "id0", "key").join(result, "key", "left")
+        nodes = [*left["node"]] if lo == hi else [*left["node"], *right["node"]]
+        return pd.DataFrame({"node": nodes, "linked": linked.astype(np.int64), "to": [nodes[r] for r in _forest(len(nodes), both)]})
+
+    checked = cut(dealt.groupBy("root", "lo", "hi").applyInPandas(verify, "node binary, linked long, to binary"))
+    counted = checked.groupBy("node").agg(F.sum("linked").alias("linked"))
+    grouped = components(checked.where("node <> to").select(F.col("node").alias("a"), F.col("to").alias("b")).distinct())
+    known = classes.select("node", "key", "copies", "seen").join(counted, "node", "left").join(grouped, "node", "left")
+    # only texts with copies or links say more than their own row does
+    result = known.withColumn("n_links", F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).where("n_links > 0").withColumn("root", F.coalesce("root", "node"))
+    result = per_salt(result.select("key", "seen", "n_links", node_id(F.col("root")).alias("rep0"), node_key(F.col("root")).alias("rep_key")), "seen", "salt")
+    out = signed.select("id", "id0", "key", "salt").join(result, ["key", "salt"], "left").drop("salt")
     out = out.withColumn("rep0", F.coalesce("rep0", "id0")).withColumn("rep_key", F.coalesce("rep_key", "key")).withColumn("n_links", F.coalesce("n_links", F.lit(0)))
     return out.withColumn("class_id", F.when(F.col("rep0") != NO_ID, F.col("rep0")))
 
@@ -230,11 +249,12 @@ def links(docs: DataFrame, threshold: float, n: int, recall: float, block: int,
 def keep_one(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: float = 0.999, block: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component; texts without words all stay. Columns stay as they are."""
     found = links(docs, threshold, n, recall, block, id_col, text_col)
-    gone = found.where((F.col("id0") != F.col("rep0")) | ~F.col("key").eqNullSafe(F.col("rep_key"))).select(F.col("id0").alias("_id0"), F.col("key").alias("_key")).distinct()
-    again = cut(found.where("key is not null").groupBy("id0", "key").agg(F.count("*").alias("k")).where("k > 1").select(F.col("id0").alias("_id0"), F.col("key").alias("_key")))
-    named = docs.withColumn("_id0", F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))).withColumn("_key", text_key(text_col))
-    left = named.join(gone, ["_id0", "_key"], "left_anti")
+    id0, key = unused(docs, "id0"), unused(docs, "text_key")
+    gone = found.where((F.col("id0") != F.col("rep0")) | ~F.col("key").eqNullSafe(F.col("rep_key"))).select(F.col("id0").alias(id0), F.col("key").alias(key)).distinct()
+    again = cut(found.where("key is not null").groupBy("id0", "key").agg(F.count("*").alias("k")).where("k > 1").select(F.col("id0").alias(id0), F.col("key").alias(key)))
+    named = docs.withColumn(id0, F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))).withColumn(key, text_key(text_col))
+    left = named.join(gone, [id0, key], "left_anti")
     if again.isEmpty():  # ids are unique: nothing else to drop
         return left.select(*docs.columns)
-    twice = left.join(again, ["_id0", "_key"], "left_semi").dropDuplicates(["_id0", "_key"])
-    return left.join(again, ["_id0", "_key"], "left_anti").select(*docs.columns).unionByName(twice.select(*docs.columns))
+    twice = left.join(again, [id0, key], "left_semi").dropDuplicates([id0, key])
+    return left.join(again, [id0, key], "left_anti").select(*docs.columns).unionByName(twice.select(*docs.columns))
