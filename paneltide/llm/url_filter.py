@@ -3,22 +3,25 @@
 Keys are addresses (host and path). The cascade's key universe is every distinct address of the table.
 Level 0 encodes the listed keys, level 1 the unlisted keys that pass level 0, level 2 the listed keys that
 pass level 1, and so on until no key passes wrongly, so the parity of the first failing level is exact
-membership: pages probe a few bits and join nothing. The bit tables ride in as scalar subqueries;
-``max_bits`` bounds them, and a list beyond that bound is looked up by an equi-join of distinct keys instead.
+membership: pages probe a few bits and join nothing, and neither does the build. The bit tables ride in as
+scalar subqueries. A list whose bits would exceed ``max_bits`` is split by key hash into several cascades, each for its own
+share of the addresses; their pages are written apart once, so each is read by its own cascade only.
 
 Defined results: a url that is null or has no ``://`` has empty host and path, fits no rule and is
-allowed; null or empty listed keys are ignored; repeated rows are each judged; tied rules can't occur,
-as the longest fitting rule wins and two rules of one text are the same rule.
+allowed; very long urls are taken whole; null or empty listed keys are ignored; repeated rows are each judged; tied rules can't occur,
+as the longest fitting rule wins and two rules of one text are the same rule; other columns, whatever their
+names, are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import cut
+from .common import cut, shared_folder
 
 #: Fixed values given for the query: verdict, host, path.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
@@ -71,27 +74,17 @@ class Level:
 class Cascade:
     """Exact membership of any key of the universe in the listed keys."""
 
-    def __init__(self, universe: DataFrame, max_bits: int = 1 << 26):
-        """``universe``: distinct key (string), listed (boolean)."""
+    def __init__(self, universe: DataFrame, inside: int, outside: int):
+        """``universe``: distinct key (string), listed (boolean), with its numbers of listed and other keys."""
         self.levels: list[Level] = []
-        self.listed = None
-        rest = cut(universe.where("key <> ''"))
-        sizes = {r["listed"]: r["count"] for r in rest.groupBy("listed").count().collect()}
-        inside, outside = sizes.get(True, 0), sizes.get(False, 0)
-        self.whole = inside > 0
-        number = 0
+        rest, number = universe, 0
         while inside:
-            # level 0 balances its size against the false positives that it leaves; later ones pass about an eighth
-            rate = inside / (math.sqrt(2) * outside) if number == 0 and outside else 1 / 8
-            hashes = max(2, round(-math.log2(rate)))
-            bits = math.ceil(inside * hashes / math.log(2))
-            if bits + sum(x.bits for x in self.levels) > max_bits:
-                self.levels, self.listed = [], rest_listed(universe)
-                return
+            rate, hashes = first_rate(inside, outside) if number == 0 else (1 / 8, 3)
             side = number % 2 == 0
-            level = Level(rest.where(F.col("listed") == side).select("key"), number, bits, hashes)
+            level = Level(rest.where(F.col("listed") == side).select("key"), number, math.ceil(inside * hashes / math.log(2)), hashes)
             self.levels.append(level)
-            rest = cut(rest.where((F.col("listed") == side) | level.has(F.col("key"))))
+            # what passes so far is found again from the bits, so only they are stored
+            rest = rest.where((F.col("listed") == side) | level.has(F.col("key")))
             inside, number = rest.where(F.col("listed") != side).count(), number + 1
 
     def contains(self, key: Column) -> Column:
@@ -102,23 +95,49 @@ class Cascade:
         return out & (key != "")
 
 
-def rest_listed(universe: DataFrame) -> DataFrame:
-    return universe.where("listed").select("key")
+def first_rate(inside: int, outside: int) -> tuple[float, int]:
+    """False positive rate and hashes of level 0: its size against what it leaves to later levels, which pass about an eighth."""
+    rate = min(0.5, inside / (math.sqrt(2) * outside)) if outside else 0.5
+    return rate, max(2, round(-math.log2(rate)))
+
+
+def cascades(universe: DataFrame, max_bits: int, most_shards: int = 64) -> list[Cascade]:
+    """One cascade per share of the keys (``shard_of``), as many as keep each within about ``max_bits`` bits."""
+    universe = cut(universe.where("key <> ''"))
+    sizes = {r["listed"]: r["count"] for r in universe.groupBy("listed").count().collect()}
+    inside, outside = sizes.get(True, 0), sizes.get(False, 0)
+    bits = 1.5 * inside * first_rate(inside, outside)[1] / math.log(2) if inside else 0
+    shards = max(1, min(most_shards, math.ceil(bits / max(max_bits, 64))))
+    if shards == 1:
+        return [Cascade(universe, inside, outside)]
+    own = universe.withColumn("shard", shard_of(F.col("key"), shards))
+    counts = {(r["shard"], r["listed"]): r["count"] for r in own.groupBy("shard", "listed").count().collect()}
+    return [Cascade(own.where(F.col("shard") == i).drop("shard"), counts.get((i, True), 0), counts.get((i, False), 0)) for i in range(shards)]
+
+
+def shard_of(key: Column, shards: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit("shard")), F.lit(shards)).cast("int")
 
 
 def judge(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, id_col: str = "page_id", url_col: str = "url", max_bits: int = 1 << 26) -> DataFrame:
     """Per page: id, host, path, rule, verdict. ``listed``: addresses (column key) to block where no rule fits."""
     rows = pages.select(F.col(id_col), url_host(url_col).alias("host"), url_path(url_col).alias("path")).withColumn("key", F.concat("host", "path"))
-    named = listed.select(F.col("key").alias("_listed")).where("_listed <> ''").distinct()
-    universe = rows.select("key").distinct().join(named, F.col("key") == F.col("_listed"), "left").select("key", F.col("_listed").isNotNull().alias("listed"))
-    cascade = Cascade(universe, max_bits)
-    if cascade.listed is not None:  # beyond the bound: an equi-join, which Spark can split where a key is hot
-        rows, blocked = rows.join(cascade.listed.withColumn("_in", F.lit(True)), "key", "left"), F.coalesce(F.col("_in"), F.lit(False))
+    marked = rows.select("key", F.lit(True).alias("here"), F.lit(False).alias("listed")).unionByName(listed.select("key", F.lit(False).alias("here"), F.lit(True).alias("listed")))
+    universe = marked.groupBy("key").agg(F.bool_or("here").alias("here"), F.bool_or("listed").alias("listed")).where("here").select("key", "listed")
+    parts = cascades(universe, max_bits)
+    if len(parts) == 1:
+        blocked = rows.withColumn("blocked", parts[0].contains(F.col("key")))
     else:
-        blocked = cascade.contains(F.col("key"))
+        path = f"{shared_folder(pages.sparkSession)}/url-shards-{uuid.uuid4().hex}"
+        rows.withColumn("shard", shard_of(F.col("key"), len(parts))).write.partitionBy("shard").parquet(path)
+        apart = pages.sparkSession.read.schema(T.StructType([*rows.schema.fields, T.StructField("shard", T.IntegerType())])).parquet(path)
+        blocked = None
+        for i, part in enumerate(parts):
+            own = apart.where(F.col("shard") == i).drop("shard").withColumn("blocked", part.contains(F.col("key")))
+            blocked = own if blocked is None else blocked.unionByName(own)
     rule = longest_rule(F.col("host"), F.col("path"), rules)
-    verdict = F.when(F.col("_rule").isNotNull(), F.col("_rule.verdict")).when(blocked, "block").otherwise("allow")
-    return rows.withColumn("_rule", rule).select(id_col, "host", "path", F.col("_rule.rule").alias("rule"), verdict.alias("verdict"))
+    verdict = F.when(F.col("_rule").isNotNull(), F.col("_rule.verdict")).when(F.col("blocked"), "block").otherwise("allow")
+    return blocked.withColumn("_rule", rule).select(F.col(id_col), "host", "path", F.col("_rule.rule").alias("rule"), verdict.alias("verdict"))
 
 
 def plain_addresses(pages: DataFrame, url_col: str = "url") -> DataFrame:
