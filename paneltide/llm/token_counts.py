@@ -2,9 +2,12 @@
 
 Documents are aggregated by encoded length; running and suffix sums over the distinct lengths answer
 totals, quantiles and truncated totals for every context limit without the documents. Sums run in two
-levels (blocks of lengths, then within a block), so no task holds all distinct lengths.
+levels (blocks of lengths, then within a block), so no task holds all distinct lengths. Blocks widen with the
+length (a step of a logarithm), as long documents differ in length more than short ones do.
 
-Defined results: a null text has length 0; repeated rows count each; an empty table gives no rows.
+Defined results: a null text has length 0; very long texts are encoded whole; rows of equal length are one
+row of the histogram; repeated rows count each; other columns, whatever their names, are ignored; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,13 +34,14 @@ def encoded_lengths(docs: DataFrame, tokenizer_path: str, text_col: str = "text"
     return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "length long")
 
 
-def length_histogram(lengths: DataFrame, block: int = 1024) -> DataFrame:
+def length_histogram(lengths: DataFrame, steps: int = 64) -> DataFrame:
     """Per distinct length, taken as a context limit:
 
     n_docs and n_tokens at that length; docs_within and tokens_within it; docs_over and tokens_over it;
     truncated_tokens (every document cut to the limit); cum_share (the quantile that the limit is).
+    ``steps``: blocks of lengths per factor of e.
     """
-    h = cut(lengths.groupBy("length").agg(F.count("*").alias("n_docs"))).withColumn("n_tokens", F.col("length") * F.col("n_docs")).withColumn("block", F.expr(f"length div {block}"))
+    h = cut(lengths.groupBy("length").agg(F.count("*").alias("n_docs"))).withColumn("n_tokens", F.col("length") * F.col("n_docs")).withColumn("block", F.floor(F.log1p("length") * steps))
     every = W.orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     whole = W.orderBy("block").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     blocks = (
@@ -66,8 +70,10 @@ def quantile(histogram: DataFrame, q: float) -> int | None:
 
 
 def truncated_total(histogram: DataFrame, limit: int) -> int:
-    """Tokens kept when every document is cut to ``limit``, for any limit."""
-    row = histogram.agg(
-        F.sum(F.when(F.col("length") <= limit, F.col("n_tokens")).otherwise(F.lit(limit) * F.col("n_docs")))
-    ).first()
-    return row[0] or 0
+    """Tokens kept when every document is cut to ``limit``, for any limit: read off the suffix sums of one row."""
+    below = histogram.where(F.col("length") <= limit).select("length", "tokens_within", "docs_over")
+    row = below.agg(F.max_by(F.struct("tokens_within", "docs_over"), "length").alias("r")).first()["r"]
+    if row is not None:
+        return row["tokens_within"] + limit * row["docs_over"]
+    row = histogram.agg(F.max(F.col("docs_within") + F.col("docs_over"))).first()  # every document is longer
+    return limit * (row[0] or 0)
