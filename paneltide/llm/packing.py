@@ -6,7 +6,8 @@ partitions with the largest imbalance are merged with opposing order until one i
 fullest window exceeds the capacity, the number of windows rises and the group is dealt again.
 Groups are hashed and of bounded expected size (``group_windows`` windows), so no task grows with the input.
 
-Defined results: a null or empty text is the end id alone; repeated rows are packed each on its own;
+Defined results: a null or empty text is the end id alone; very long texts are encoded whole and cut into
+windows; a null id stays null; repeated rows are packed each on its own; other columns, whatever their names, are ignored;
 ties in length keep the row order within a group; an empty table gives an empty result.
 """
 

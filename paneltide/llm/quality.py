@@ -3,11 +3,13 @@
 Each text's histograms of character classes and of its language's common words are compared, by
 Jensen-Shannon distance, with references that are summed over every document of that language. Short
 texts say little about a distribution, so each comparison has a minimum length below which it passes.
-All counting happens within a row; only per-language sums are shuffled.
+All counting happens within a row; only per-language sums are shuffled. Windows of three words are compared by
+a 64-bit hash within one text, so two of n windows are taken for equal by chance once in 2^65 / n^2 texts.
 
 Defined results: a null text has no words and fails the base rules; a null language, or one of fewer
-than ``min_docs`` documents, is compared with the whole table's character classes and not by words;
-repeated rows are each judged; an empty table gives an empty result.
+than ``min_docs`` documents, is compared with the whole table's character classes and not by words; so are
+languages without a word list, though by their own classes; very long texts are counted whole; a distance
+equal to its limit passes; repeated rows are each judged; other columns, whatever their names, are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
