@@ -52,6 +52,22 @@ def test_encoder_equals_the_library(path, reference):
             assert own.decode(got) == reference.decode(want, skip_special_tokens=False)
 
 
+def test_every_code_point_encodes_as_in_the_library(path, reference):
+    own = bpe.WordBpe(open(path, "rb").read())
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x3100 or 0xA640 <= c < 0xAC00 or 0xD7A4 <= c < 0x20000 or c % 64 == 0)]
+    texts = [f"q{chr(c)}Q {chr(c)}{chr(c)}1" for c in points]
+    for t, want in zip(texts, reference.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(own.encode(t), "<u4").tolist() == want.ids, hex(ord(t[1]))
+
+
+def test_long_words_merge_as_in_the_library(path, reference):
+    own, rnd = bpe.WordBpe(open(path, "rb").read()), random.Random(3)
+    for n in (64, 65, 66, 300, 20_000, 300_000):
+        for alphabet in ("abcdefghijklmnopqrstuvwxyz", "ab", "aé日"):
+            w = "".join(rnd.choices(alphabet, k=n))
+            assert np.frombuffer(own.encode(w), "<u4").tolist() == ids(reference, w)
+
+
 def test_transducer_is_exact_and_shares_suffixes():
     rnd = random.Random(1)
     words = {"".join(rnd.choice("abcd") for _ in range(rnd.randint(1, 7))).encode() for _ in range(3000)}
@@ -89,6 +105,9 @@ def test_frequent_words_are_counted_over_all_rows(spark):
     assert sorted(bpe.frequent_words(docs, most=1)) == ["the"]
     assert sorted(bpe.frequent_words(docs, most=3)) == ["cat", "dog", "the"]
     assert bpe.frequent_words(docs, most=2) == ["the"]  # two words tie at the border
+    many = spark.range(3).selectExpr("id", "array_join(array_repeat(concat('w', char(97 + id)), cast(1500 * (id + 2) as int)), ' ') AS text")
+    assert sorted(bpe.frequent_words(many, most=2)) == ["wb", "wc"]  # bins are split until the border fits
+    assert bpe.frequent_words(docs.limit(0)) == []
 
 
 def test_differencing_is_near_equal():
@@ -153,7 +172,7 @@ def test_packing_odd_rows(odd, path, reference):
 
 def test_histogram_equals_brute_force(spark, odd, path, reference):
     lengths = sorted(len(ids(reference, r.text)) for r in odd.collect())
-    h = token_counts.length_histogram(token_counts.encoded_lengths(odd, path), block=4)
+    h = token_counts.length_histogram(token_counts.encoded_lengths(odd, path), steps=4)
     for r in h.collect():
         n = r.length
         assert r.n_docs == lengths.count(n) and r.docs_over == sum(x > n for x in lengths) and r.tokens_within == sum(x for x in lengths if x <= n)
@@ -172,7 +191,9 @@ def test_op7_totals(spark, reference):
 
 
 def brute_phrases(text, sample):
-    """Greedy longest pieces of ``text`` that occur in ``sample``."""
+    """Greedy longest pieces of ``text`` that occur in ``sample``, both as codes; letters outside the samples never match."""
+    sample = "".join(chr(100 + c) for c in sample)
+    text = "".join(chr(100 + c) if c != langid.OTHER else "\x01" for c in text)
     n = at = 0
     while at < len(text):
         k = 1
@@ -182,20 +203,68 @@ def brute_phrases(text, sample):
     return n
 
 
-def test_cross_parsing_equals_brute_force():
-    samples = {"aa": ["the cat sat on the mat"], "bb": ["der hund lief zum haus"]}
-    model = langid.CrossParser(samples)
-    rnd = random.Random(4)
-    texts = ["".join(rnd.choice("thecatsdrhunl zo") for _ in range(rnd.randint(1, 60))) for _ in range(200)]
-    coded = [model.encode(t) for t in texts]
-    got = model.phrases(coded)
-    for t, row in zip(texts, got, strict=True):
-        flat = " ".join(t.split(" ")) if "  " not in t else None
-        if flat is not None:
-            assert row.tolist() == [brute_phrases(t, " " + samples[k][0]) for k in ("aa", "bb")]
+def brute_predict(model, samples, text, max_chars=16_384):
+    """Language, score and roughness by the greedy parse in plain Python."""
+    if not any(map(str.isalpha, text or "")):
+        return "und", 0.0, 1.0
+    bits, phrases = [], []
+    for lang in sorted(samples):
+        seq = [c for t in samples[lang] for c in (langid.SPACE, *model.encode(t).tolist())][:max_chars]
+        phrases.append(brute_phrases(model.encode(text).tolist(), seq))
+        bits.append(phrases[-1] * np.log2(len(seq)))
+    best = int(np.argmin(bits))
+    x = len(model.encode(text))
+    return sorted(samples)[best], 1 - bits[best] / min(b for i, b in enumerate(bits) if i != best), (phrases[best] - 1) / x if x >= 12 else 0.0
 
 
-def test_characters_beyond_the_table_of_codes():
+def test_cross_parsing_equals_brute_force():
+    """Texts far longer than a stretch, phrases that run through several stretches, and one that is the whole sample."""
+    samples = {"aa": ["the cat sat on the mat " * 40], "bb": ["der hund lief zum haus, ", "über alles"], "cc": ["今日は天気がいいから散歩しましょう" * 3]}
+    model, rnd = langid.CrossParser(samples), random.Random(4)
+    words = ["the cat ", "sat on", " the mat ", "der hund", "lief", " zum ", "haus", "über", "今日は", "天気", "q", "x1", " "]
+    texts = ["".join(rnd.choice(words) for _ in range(n)) for n in (0, 1, 5, 40, 300, 900)] + [samples["aa"][0] * 3, "the cat sat on the mat " * 35, "q" * 2000, "今日は天気" * 150]
+    coded = [model.encode(t) for t in texts]
+    seqs = [[c for t in samples[k] for c in (langid.SPACE, *model.encode(t).tolist())] for k in sorted(samples)]
+    assert model.phrases(coded).tolist() == [[brute_phrases(x.tolist(), seq) for seq in seqs] for x in coded]
+    assert model.predict(["今日は散歩"])[0] == ["cc"]
+
+
+def test_long_labelled_rows_are_learnt(spark):
+    """A language that has long rows only, and samples of very different sizes."""
+    rnd = random.Random(7)
+    fr, en = ("le", "la", "maison", "des", "chien", "pour", "dans"), ("the", "of", "house", "dog", "for", "within", "and")
+    rows = [(i, " ".join(rnd.choice(fr) for _ in range(6000)), "fr", None, None) for i in range(8)] + [(100 + i, " ".join(rnd.choice(en) for _ in range(40)), "en", None, None) for i in range(8)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = {r.doc_id: r.lang_pred for r in langid.identify(docs, langid.train(docs)).collect()}
+    assert got == {r[0]: r[2] for r in rows}
+
+
+def test_op9_equals_brute_force(spark):
+    """The query against the parse in plain Python, texts over 512 characters among them."""
+    docs = queries.table(spark, SF, "documents").where("doc_id % 10 < 3")  # a small fixture, as the plain parse is slow
+    held = "crc32(cast(cast(doc_id as string) as binary)) % 4 = 2"
+    model = langid.train(docs, exclude=held)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    samples = langid.samples_of(docs, exclude=held)
+    assert max(map(len, texts.values())) > 2048
+    for r in langid.identify_held_out(docs).collect():
+        lang, score, _ = brute_predict(model, samples, texts[r.doc_id])
+        assert r.lang_pred == lang and r.score == pytest.approx(score)
+
+
+def test_short_clean_documents_stay(spark):
+    """All held-out rows of a few words stay; letters at random and foreign scripts go."""
+    docs = queries.table(spark, "/root/testdata/sf0.01", "documents")
+    rnd = random.Random(8)
+    short = [(10_000 + r.doc_id, " ".join(r.text.split()[:n]), None, None, None) for r in docs.limit(150).collect() for n in (1, 3, 6)]
+    short = [r for r in short if any(map(str.isalpha, r[1]))]
+    noise = [(-1, "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(300)), None, None, None), (-2, "今日は天気がいいから散歩しましょう", None, None, None), (-3, "12 34", None, None, None), (-4, None, None, None, None)]
+    mixed = docs.unionByName(spark.createDataFrame(short + noise, DOCS))
+    kept = {r.doc_id for r in langid.keep_identified(mixed).collect()}
+    assert not kept & {r[0] for r in noise} and len([r for r in short if r[0] not in kept]) <= 0.01 * len(short)
+
+
+def test_characters_beyond_the_basic_plane():
     model = langid.CrossParser({"aa": ["the cat"], "bb": ["der hund"]})
     assert model.predict([None, "\U000e0101 \U000f0000", "\U00020000"])[0] == ["und", "und", "aa"]  # a variation selector and a private one are no letters
 
@@ -230,7 +299,14 @@ def test_op8_held_out(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and r.predicted == int(r.score >= 0.7) for r in rows)
     caught = [r.predicted for r in held if truth[r.doc_id]]
     clean = [r.predicted for r in held if not truth[r.doc_id]]
-    assert np.mean(caught) > 0.85 and np.mean(clean) < 0.01
+    assert sum(caught) >= 129 and np.mean(clean) < 0.01
+
+
+NEUTRAL = [f"{a} {t} {b}" for a, b in (("the group of", "met today"), ("many", "live in the city"), ("a talk with", "about history")) for g in toxicity.IDENTITY_TERMS for t in g]
+
+
+def logit(model, text):
+    return np.log(model.score(text) / (1 - model.score(text)))
 
 
 def test_swaps_are_regularised():
@@ -242,12 +318,49 @@ def test_swaps_are_regularised():
     gap = {}
     for penalty in (0.0, 50.0):
         m = toxicity.fit([t for t, _ in rows], [y for _, y in rows], penalty=penalty)
-        logit = lambda t: np.log(m.score(t) / (1 - m.score(t)))  # noqa: B023, E731
-        gap[penalty] = abs(logit("muslims walk") - logit("christians walk"))
+        gap[penalty] = abs(logit(m, "muslims walk") - logit(m, "christians walk"))
         assert m.score("you scum") > 0.7 and (penalty == 0 or m.score("muslims walk home") < 0.5)
     assert gap[50.0] < 0.5 * gap[0.0]
 
 
+def test_every_labelled_text_has_twins():
+    assert toxicity.twins("a dog ran", 0)[1:] == [["a", "dog", "ran", "women"], ["a", "dog", "ran", "men"]]
+    assert toxicity.twins("Jews sang", 2)[1:] == [["atheists", "sang"]]
+    assert len({w for t in range(200) for w in toxicity.twins("x", t)[1]}) == 1 + sum(map(len, toxicity.IDENTITY_TERMS))
+
+
+def test_the_querys_own_model_is_regularised(spark):
+    """Swaps move it less than a model without the penalty, on every identity term; neutral mentions stay clean."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = queries.table(spark, sf, "documents"), queries.table(spark, sf, "labels")
+    held = "crc32(cast(cast(doc_id as string) as binary)) % 3 = 1"
+    model, free = (toxicity.train(docs, labels, exclude=held, penalty=p) for p in (5.0, 0.0))
+    assert set(toxicity._TWINS) <= set(model.weights) | set(free.weights)
+    moved = {id(m): [abs(logit(m, f"they say {g[i]} walk") - logit(m, f"they say {g[i - 1]} walk")) for g in toxicity.IDENTITY_TERMS for i in range(len(g))] for m in (model, free)}
+    assert np.mean(moved[id(model)]) < 0.05 * np.mean(moved[id(free)]) and max(moved[id(model)]) < 0.1
+    assert max(model.score(t) for t in NEUTRAL) < 0.2
+
+
+def brute_score(model, text):
+    """The logistic of the bias and of the weights of the text's distinct words and stems."""
+    return 1 / (1 + np.exp(-(model.bias + sum(model.weights.get(f, 0.0) for f in toxicity.features(text)))))
+
+
+def test_op8_equals_brute_force(spark):
+    docs, labels = queries.table(spark, SF, "documents"), queries.table(spark, SF, "labels")
+    model = toxicity.train(docs, labels, exclude="crc32(cast(cast(doc_id as string) as binary)) % 3 = 1")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in queries.op8_toxicity(spark, SF).collect():
+        assert r.score == pytest.approx(brute_score(model, texts[r.doc_id]))
+
+
+def test_long_and_repeated_labelled_rows_are_learnt(spark):
+    rows = [(i, "scum " + f"w{i} " * 30_000, None, None, None) for i in range(6)] * 2 + [(10 + i, "kind " + f"v{i} " * 30_000, None, None, None) for i in range(6)]
+    labels = spark.createDataFrame([(i, 1, int(i < 6)) for i in [*range(6), *range(10, 16)]], "doc_id long, quality int, toxic int")
+    model = toxicity.train(spark.createDataFrame(rows, DOCS), labels, max_total=1_000_000)
+    assert model.score("scum") > 0.5 > model.score("kind")
+
+
 def test_toxicity_odd_rows(spark, odd):
     labels = spark.createDataFrame([(3, 1, 1), (3, 1, 0), (4, 0, 0), (None, 1, 1), (5, 1, None)], "doc_id long, quality int, toxic int")
     got = toxicity.score_held_out(odd, labels).collect()
