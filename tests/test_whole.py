@@ -1,10 +1,8 @@
 """The operators over whole tables: no lead range, no modulo filter."""
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__
-from paneltide.llm import ann, html_extract
 from paneltide.operators import dims
 from paneltide.plans import adapters, catalogue
 
@@ -45,18 +43,3 @@ def test_left_join_on_the_whole_nation_table(spark):
 @pytest.mark.parametrize("name", sorted(n for n in catalogue.SQL if n.endswith("_all")))
 def test_whole_queries_have_sql_without_the_cut(name):
     assert "BETWEEN 1 AND 120" not in catalogue.SQL[name] and "BETWEEN 1 AND 400" not in catalogue.SQL[name] and "n_nationkey % 3" not in catalogue.SQL[name] and catalogue.SQL[name] != catalogue.SQL[name.removesuffix("_all")]
-
-
-def test_repeated_rows_dont_hide_other_neighbours(spark):
-    rows = [(50, [1.0, 2.0])] * 6 + [(99, [1.0, 2.0]), (1, [2.0, -1.0])]
-    got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("id") == 50).orderBy("rank").collect()
-    assert [(r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in got] == [(50, 1, 99, 1.0), (50, 2, 1, 0.0)]
-
-
-def test_pages_without_article_keep_split_bodies_and_headings():
-    long, short = (" ".join(["One sentence, with commas, and more."] * n) for n in (23, 2))
-    menu = "<div class='menu'>Home</div>"
-    split = f"<html><body>{menu}<div id='content'><div>{long}</div><div>{short}</div></div></body></html>"
-    assert html_extract.main_text(split) == f"{long}\n{short}"
-    headed = f"<html><body>{menu}<div id='content'><h1>Title</h1><div><p>{long}</p><p>{short}</p></div></div></body></html>"
-    assert html_extract.main_text(headed) == f"Title\n{long}\n{short}"
