@@ -355,8 +355,8 @@ def test_op8_equals_brute_force(spark):
 
 
 def test_long_and_repeated_labelled_rows_are_learnt(spark):
-    rows = [(i, "scum " + f"w{i} " * 30_000, None, None, None) for i in range(6)] * 2 + [(10 + i, "kind " + f"v{i} " * 30_000, None, None, None) for i in range(6)]
-    labels = spark.createDataFrame([(i, 1, int(i < 6)) for i in [*range(6), *range(10, 16)]], "doc_id long, quality int, toxic int")
+    rows = [(i, "scum " + f"w{i} " * 30_000, None, None, None) for i in range(9)] * 2 + [(10 + i, "kind " + f"v{i} " * 30_000, None, None, None) for i in range(9)]
+    labels = spark.createDataFrame([(i, 1, int(i < 9)) for i in [*range(9), *range(10, 19)]], "doc_id long, quality int, toxic int")
     model = toxicity.train(spark.createDataFrame(rows, DOCS), labels, max_total=1_000_000)
     assert model.score("scum") > 0.5 > model.score("kind")
 
