@@ -22,10 +22,27 @@ def reverse_cdf(totals: DataFrame, by: str, ties: Sequence[str]) -> DataFrame:
     return totals.withColumn("reverse_cum_share", F.sum(by).over(run) / F.sum(by).over(W.partitionBy()))
 
 
+def _placed(totals: DataFrame, by: str) -> DataFrame:
+    """Distinct values with the number of keys that hold them, hold less, and all: the one-task window sees distinct values only."""
+    counts = totals.groupBy(by).agg(F.count("*").alias("_n"))
+    before = W.orderBy(by).rowsBetween(W.unboundedPreceding, -1)
+    return counts.withColumn("_less", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumn("_all", F.sum("_n").over(W.partitionBy()))
+
+
+def _percent(less: str, total: str) -> Column:
+    return F.coalesce(F.try_divide(F.col(less), F.col(total) - 1), F.lit(0.0))
+
+
+def cumulative_distribution(totals: DataFrame, by: str) -> DataFrame:
+    """Share of keys up to each key's value (``cume``) and percent rank (``pct``)."""
+    placed = _placed(totals, by).select(F.col(by).alias("_by"), ((F.col("_less") + F.col("_n")) / F.col("_all")).alias("cume"), _percent("_less", "_all").alias("pct"))
+    return totals.join(placed, F.col(by).eqNullSafe(F.col("_by"))).drop("_by")
+
+
 def log_histogram(totals: DataFrame, by: str) -> DataFrame:
     """Bins of log10 to one decimal: keys per bin, greatest percent rank, and the next bin's."""
-    ranked = totals.where(F.col(by) > 0).withColumn("pct", F.percent_rank().over(W.orderBy(by))).withColumn("log_bin", F.round(F.log10(by), 1))
-    bins = ranked.groupBy("log_bin").agg(F.count("*").alias("keys"), F.max("pct").alias("cdf"))
+    ranked = _placed(totals.where(F.col(by) > 0), by).withColumn("pct", _percent("_less", "_all")).withColumn("log_bin", F.round(F.log10(by), 1))
+    bins = ranked.groupBy("log_bin").agg(F.sum("_n").alias("keys"), F.max("pct").alias("cdf"))
     return bins.withColumn("next_cdf", F.coalesce(F.lead("cdf").over(W.orderBy("log_bin")), F.lit(1.0))).withColumn("bin_value", F.pow(F.lit(10.0), F.col("log_bin")))
 
 

@@ -19,11 +19,24 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: str, ties: Sequenc
 
 
 def value_ranks(df: DataFrame, keys: Sequence[str], value: str, search: str, most: int = 3, approx: bool = False) -> DataFrame:
-    """Dense rank of the value up to ``most``, with whole-group counts of searches and rows."""
-    group = W.partitionBy(*keys)
-    distinct = F.approx_count_distinct(search).over(group) if approx else F.size(F.collect_set(search).over(group)).cast("long")
-    ranked = df.withColumn("value_rank", F.dense_rank().over(group.orderBy(value))).withColumn("group_searches", distinct).withColumn("group_rows", F.count("*").over(group))
-    return ranked.where(F.col("value_rank") <= most)
+    """Dense rank of the value up to ``most``, with whole-group counts of searches and rows.
+
+    Ranks are found on distinct values, of which each task hands on ``most`` per group, and counts by partial
+    aggregation; rows then meet both by key, so no task gathers a hot group. Null values rank first.
+    """
+    named = [f"_k{i}" for i in range(len(keys))]
+    distinct = df.select(*(F.col(k).alias(n) for k, n in zip(keys, named, strict=True)), F.col(value).alias("_value")).distinct()
+    ranks = distinct.withColumn("value_rank", F.row_number().over(W.partitionBy(*named).orderBy("_value"))).where(F.col("value_rank") <= most)
+    same = F.col(value).eqNullSafe(F.col("_value"))
+    for k, n in zip(keys, named, strict=True):
+        same = same & F.col(k).eqNullSafe(F.col(n))
+    kept = df.join(ranks, same).drop(*named, "_value")
+    searches = F.approx_count_distinct(search) if approx else F.count_distinct(search)
+    totals = df.groupBy(*(F.col(k).alias(n) for k, n in zip(keys, named, strict=True))).agg(searches.alias("group_searches"), F.count("*").alias("group_rows"))
+    here = F.lit(True)
+    for k, n in zip(keys, named, strict=True):
+        here = here & F.col(k).eqNullSafe(F.col(n))
+    return kept.join(totals, here).drop(*named)
 
 
 def rank_panel(df: DataFrame, keys: Sequence[str], value: str, carrier: str) -> DataFrame:

@@ -34,6 +34,12 @@ def expected_days(lead: Column, first_lead: int, last_lead: int, num_days: int)
     return F.when(lead < first_lead + num_days, lead - first_lead + 1).when(lead > last_lead - num_days, last_lead - lead + 1).otherwise(F.lit(num_days))
 
 
+def lead_grid(df: DataFrame, keys: Sequence[str], lead: str, first: int, last: int) -> DataFrame:
+    """Observations per key and lead time, 0 where there are none."""
+    grid = df.select(*keys).distinct().withColumn(lead, F.explode(F.sequence(F.lit(first), F.lit(last))))
+    return densify(grid, df.groupBy(*keys, lead).agg(F.count("*").alias("observations")), [*keys, lead], ["observations"])
+
+
 def rolling(df: DataFrame, keys: Sequence[str], order: str, value: str, window: int, whole_only: bool = True) -> DataFrame:
     """Sum and mean over the last ``window`` rows; rows with an incomplete window are dropped if ``whole_only``."""
     w = W.partitionBy(*keys).orderBy(order)
@@ -50,6 +56,7 @@ def gap_stats(df: DataFrame, keys: Sequence[str], order: str, flag: str) -> Data
     return df.select(*keys).distinct().join(gaps, list(keys), "left").fillna(0, subset=["num_gaps", "avg_gap", "max_gap"])
 
 
-def expanding_flags(df: DataFrame, keys: Sequence[str], order: str, flag: str) -> DataFrame:
-    """Per row the history of flags so far, for short series."""
-    return df.withColumn("history", F.collect_list(flag).over(W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, 0)))
+def expanding_counts(df: DataFrame, keys: Sequence[str], order: str, flag: str) -> DataFrame:
+    """Per row how many rows there were so far and how many had the flag set: what an ever longer list would be kept for, in constant space."""
+    w = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
+    return df.withColumn("rows_so_far", F.count("*").over(w)).withColumn("set_so_far", F.sum(flag).over(w))

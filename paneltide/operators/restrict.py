@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -13,19 +14,37 @@ def within_days(df: DataFrame, lead: str, stay: str, lead_range: tuple[int, int]
     return df.where(F.col(lead).between(a, b + slack) & (F.col(stay).between(c, d + slack) | F.col(stay).isNull()))
 
 
-def fresh(df: DataFrame, day: str, today: Column, stale_after: int) -> DataFrame:
-    """Rows observed in the last ``stale_after`` days; 0 keeps all."""
-    return df if stale_after == 0 else df.where(F.col(day) >= F.date_sub(today, stale_after))
+def with_group(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
+    """``df`` with aggregates of each row's group beside it: partial aggregation and a join by key, so a hot group's rows aren't gathered and sorted in one task. Null keys are a group."""
+    side = df.groupBy(*(F.col(k).alias(f"_key_{k}") for k in keys)).agg(*aggs)
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys))
+    return df.join(side, same).drop(*(f"_key_{k}" for k in keys))
+
+
+def fresh(df: DataFrame, day: str, today: Column, stale_after: int, whole_days: bool = False) -> DataFrame:
+    """Rows observed in the last ``stale_after`` days; 0 keeps all. ``whole_days``: up to yesterday, as today is still changing."""
+    recent = df if stale_after == 0 else df.where(F.col(day) >= F.date_sub(today, stale_after))
+    return recent.where(F.col(day) <= F.date_sub(today, 1)) if whole_days else recent
+
+
+def sold_at(df: DataFrame, place: str, places: Sequence[str], currency: str | None = None, wanted: str | None = None) -> DataFrame:
+    """Rows of the listed points of sale and, if stated, one currency."""
+    rows = df.where(F.col(place).isin(list(places)))
+    return rows if currency is None else rows.where(F.col(currency) == wanted)
+
+
+def not_flagged(df: DataFrame, flag: str) -> DataFrame:
+    """Rows whose boolean flag is false; an unknown one is dropped too."""
+    return df.where(~F.col(flag))
 
 
 def ratio_filter(df: DataFrame, keys: Sequence[str], value: str, most: float, center: str = "mean", counts: str | None = None, least_count: int = 0) -> DataFrame:
-    """Value over its group's mean or median under ``most``.
+    """Value over its group's mean, median or approximate median under ``most``.
 
     With ``least_count``, only rows that are over it and also counted fewer than ``least_count`` times go.
     """
-    w = W.partitionBy(*keys)
-    middle = F.avg(value).over(w) if center == "mean" else F.percentile(value, F.lit(0.5)).over(w)
-    out = df.withColumn("ratio", F.try_divide(F.col(value), middle))
+    middle = {"mean": F.avg(value), "median": F.percentile(value, F.lit(0.5)), "approx_median": F.percentile_approx(value, F.lit(0.5), F.lit(10_000))}[center]
+    out = with_group(df, keys, middle.alias("_middle")).withColumn("ratio", F.try_divide(F.col(value), F.col("_middle"))).drop("_middle")
     if least_count == 0:
         return out.where(F.col("ratio") < most)
     return out.where(~((F.col("ratio") >= most) & (F.col(counts) < least_count)))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ..functions import arrays, codec, dates
 from ..operators import dims, distribution, errors, features, lowest, panel, restrict, trips
-from ..sources import readers
+from ..sources import readers, sinks
 from . import lookups
 from .adapters import ALL_DAILY_SQL, DAILY_SQL, OFFERS_SQL, USER_DAYS_SQL, daily, offers, table, user_days
 
@@ -19,30 +20,18 @@ KEYS = ", ".join(KEY)
 HOLIDAYS = ("1995-07-04", "1995-11-23", "1995-12-25", "1996-01-01", "1996-07-04", "1996-11-28", "1996-12-25")
 HOLIDAY_SQL = ", ".join(f"DATE '{d}'" for d in HOLIDAYS)
 FIRST, LAST = "min(day)", "max(day)"
-NEAR = "WHERE lead BETWEEN 1 AND 120"  # the range of DAILY_SQL
-YEAR = "WHERE lead BETWEEN 1 AND 400"  # the range of _SERIES
 
 
-def query(sql: str | None = None, base: str = "", ints: tuple[str, ...] = (), cut: str = "") -> Callable:
-    """Registers a query. ``ints``: integer columns that can be null, shown as -1 on both sides.
+def query(sql: str | None = None, base: str = "", ints: tuple[str, ...] = ()) -> Callable:
+    """Registers a query. ``ints``: integer columns that can be null, shown as doubles, which hold nulls alike in both engines."""
 
-    ``cut``: a clause of the SQL that leaves rows out. The query is registered once more, as NAME_all, without it;
-    its function gets None as third argument then.
-    """
-
-    def put(name, f, sql, base):
-        QUERIES[name] = shown = (lambda spark, d: f(spark, d).withColumns({c: F.coalesce(F.col(c), F.lit(-1)) for c in ints})) if ints else f
+    def register(f):
+        name = f.__name__
+        QUERIES[name] = (lambda spark, d: f(spark, d).withColumns({c: F.col(c).cast("double") for c in ints})) if ints else f
         if sql:
-            body = f"SELECT * REPLACE ({', '.join(f'coalesce({c}, -1) AS {c}' for c in ints)}) FROM ({sql})" if ints else sql
+            body = f"SELECT * REPLACE ({', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in ints)}) FROM ({sql})" if ints else sql
             SQL[name] = (f"WITH {base}\n" if base else "") + body
-        return shown
-
-    def register(f):
-        if cut:
-            if cut not in base + sql:
-                raise ValueError(f"{f.__name__}: no {cut} in its SQL")
-            put(f"{f.__name__}_all", lambda spark, d: f(spark, d, None), sql.replace(cut, ""), base.replace(cut, ""))
-        return put(f.__name__, f, sql, base)
+        return QUERIES[name]
 
     return register
 
@@ -59,9 +48,9 @@ def daily_lowest_fare(spark, d):
     return daily(spark, d)
 
 
-@query(f"SELECT {KEYS} FROM daily QUALIFY row_number() OVER (PARTITION BY market, out_date, stay ORDER BY shop_date DESC, pos, currency, min_value) = 1", DAILY_SQL, ints=("stay",), cut=NEAR)
-def latest_per_key(spark, d, most_lead=120):
-    return lowest.latest_per_key(daily(spark, d, most_lead), ["market", "out_date", "stay"], "shop_date", ["pos", "currency", "min_value"]).select(*KEY)
+@query(f"SELECT {KEYS} FROM daily QUALIFY row_number() OVER (PARTITION BY market, out_date, stay ORDER BY shop_date DESC, pos, currency, min_value) = 1", ALL_DAILY_SQL, ints=("stay",))
+def latest_per_key(spark, d):
+    return lowest.latest_per_key(daily(spark, d), ["market", "out_date", "stay"], "shop_date", ["pos", "currency", "min_value"]).select(*KEY)
 
 
 _RANKS = f"""{OFFERS_SQL},
@@ -181,11 +170,9 @@ def geo_enrich_filter(spark, d):
     return dims.geo_enrich(offers(spark, d), _places(spark, d), "n_name", "region", "origin", "destination", "ASIA").select("search_id", "line", "origin", "destination", "origin_region", "destination_region")
 
 
-@query(f"SELECT search_id, line, origin, destination, a.region AS origin_region, b.region AS destination_region FROM offers LEFT JOIN {_GEO.format(w='WHERE n_nationkey % 3 <> 0')} a ON origin = a.k LEFT JOIN {_GEO.format(w='WHERE n_nationkey % 3 <> 0')} b ON destination = b.k WHERE coalesce(a.region = 'ASIA', false) OR coalesce(b.region = 'ASIA', false)", OFFERS_SQL, cut="WHERE n_nationkey % 3 <> 0")
-def geo_enrich_left(spark, d, modulo=3):
-    places = _places(spark, d)
-    some = places if modulo is None else places.where(F.col("n_nationkey") % modulo != 0)
-    return dims.geo_enrich(offers(spark, d), some, "n_name", "region", "origin", "destination", "ASIA", "left").select("search_id", "line", "origin", "destination", "origin_region", "destination_region")
+@query(f"SELECT search_id, line, origin, destination, a.region AS origin_region, b.region AS destination_region FROM offers LEFT JOIN {_GEO.format(w='')} a ON origin = a.k LEFT JOIN {_GEO.format(w='')} b ON destination = b.k WHERE coalesce(a.region = 'ASIA', false) OR coalesce(b.region = 'ASIA', false)", OFFERS_SQL)
+def geo_enrich_left(spark, d):
+    return dims.geo_enrich(offers(spark, d), _places(spark, d), "n_name", "region", "origin", "destination", "ASIA", "left").select("search_id", "line", "origin", "destination", "origin_region", "destination_region")
 
 
 @query("SELECT search_id, line, market, pos, fare FROM offers WHERE market IN (SELECT market FROM offers GROUP BY market ORDER BY count(*) DESC, market LIMIT 14)", OFFERS_SQL)
@@ -216,17 +203,34 @@ def dtd_los_filter(spark, d):
     return restrict.within_days(daily(spark, d), "lead", "stay", (1, 60), (3, 21), slack=1).select(*KEY)
 
 
-@query(f"SELECT {KEYS} FROM daily WHERE shop_date >= DATE '1996-06-30' - 365", DAILY_SQL, ints=("stay",), cut=NEAR)
-def staleness_filter(spark, d, most_lead=120):
-    return restrict.fresh(daily(spark, d, most_lead), "shop_date", F.lit("1996-06-30").cast("date"), 365).select(*KEY)
+@query(f"SELECT {KEYS} FROM daily WHERE shop_date >= DATE '1996-06-30' - 365", ALL_DAILY_SQL, ints=("stay",))
+def staleness_filter(spark, d):
+    return restrict.fresh(daily(spark, d), "shop_date", F.lit("1996-06-30").cast("date"), 365).select(*KEY)
 
 
 _RATIO = "SELECT *, min_value / {f} OVER (PARTITION BY market) AS ratio FROM daily"
 
 
-@query(f"SELECT {KEYS}, round(ratio, 6) AS ratio FROM ({_RATIO.format(f='avg(min_value)')}) WHERE ratio < 1.5", DAILY_SQL, ints=("stay",), cut=NEAR)
-def ratio_mean_filter(spark, d, most_lead=120):
-    return restrict.ratio_filter(daily(spark, d, most_lead), ["market"], "min_value", 1.5).select(*KEY, r6("ratio").alias("ratio"))
+@query(f"SELECT {KEYS}, round(ratio, 6) AS ratio FROM ({_RATIO.format(f='avg(min_value)')}) WHERE ratio < 1.5", ALL_DAILY_SQL, ints=("stay",))
+def ratio_mean_filter(spark, d):
+    return restrict.ratio_filter(daily(spark, d), ["market"], "min_value", 1.5).select(*KEY, r6("ratio").alias("ratio"))
+
+
+@query(f"SELECT {KEYS} FROM daily WHERE shop_date BETWEEN DATE '1998-01-01' - 700 AND DATE '1998-01-01' - 1", ALL_DAILY_SQL, ints=("stay",))
+def staleness_window(spark, d):
+    """The look-up's window: from a number of days ago up to yesterday, as today is still changing."""
+    return restrict.fresh(daily(spark, d), "shop_date", F.lit("1998-01-01").cast("date"), 700, whole_days=True).select(*KEY)
+
+
+@query(f"SELECT {KEYS} FROM daily WHERE pos IN ('ASIA', 'EUROPE') AND currency = '1-URGENT'", ALL_DAILY_SQL, ints=("stay",))
+def pos_currency_filter(spark, d):
+    return restrict.sold_at(daily(spark, d), "pos", ["ASIA", "EUROPE"], "currency", "1-URGENT").select(*KEY)
+
+
+@query("SELECT search_id, line, fare, refused FROM (SELECT *, CASE WHEN l_returnflag = 'R' THEN l_tax > 0.04 WHEN l_returnflag = 'A' THEN false END AS refused FROM offers) WHERE NOT refused", OFFERS_SQL)
+def not_flagged(spark, d):
+    flag = F.when(F.col("l_returnflag") == "R", F.col("l_tax") > 0.04).when(F.col("l_returnflag") == "A", F.lit(False))
+    return restrict.not_flagged(offers(spark, d).withColumn("refused", flag), "refused").select("search_id", "line", "fare", "refused")
 
 
 @query(f"SELECT {KEYS}, round(ratio, 6) AS ratio FROM ({_RATIO.format(f='avg(min_value)')}) WHERE NOT (ratio >= 1.1 AND solution_counts < 2)", ALL_DAILY_SQL, ints=("stay",))
@@ -234,19 +238,19 @@ def ratio_mean_count_filter(spark, d):
     return restrict.ratio_filter(daily(spark, d), ["market"], "min_value", 1.1, "mean", "solution_counts", 2).select(*KEY, r6("ratio").alias("ratio"))
 
 
-@query(f"SELECT {KEYS}, round(ratio, 6) AS ratio FROM ({_RATIO.format(f='quantile_cont(min_value, 0.5)')}) WHERE ratio < 1.4", DAILY_SQL, ints=("stay",), cut=NEAR)
-def ratio_median_filter(spark, d, most_lead=120):
-    return restrict.ratio_filter(daily(spark, d, most_lead), ["market"], "min_value", 1.4, "median").select(*KEY, r6("ratio").alias("ratio"))
+@query(f"SELECT {KEYS}, round(ratio, 6) AS ratio FROM ({_RATIO.format(f='quantile_cont(min_value, 0.5)')}) WHERE ratio < 1.4", ALL_DAILY_SQL, ints=("stay",))
+def ratio_median_filter(spark, d):
+    return restrict.ratio_filter(daily(spark, d), ["market"], "min_value", 1.4, "median").select(*KEY, r6("ratio").alias("ratio"))
 
 
-@query(f"SELECT {KEYS} FROM (SELECT *, lag(min_value) OVER (PARTITION BY market ORDER BY shop_date, out_date, pos, currency, stay NULLS FIRST, min_value) AS p FROM daily) WHERE p IS NULL OR min_value / p <= 1.2", DAILY_SQL, ints=("stay",), cut=NEAR)
-def prev_val_ratio_filter(spark, d, most_lead=120):
-    return restrict.previous_ratio_filter(daily(spark, d, most_lead), ["market"], ["shop_date", "out_date", "pos", "currency", F.asc_nulls_first("stay"), "min_value"], "min_value", 1.2).select(*KEY)
+@query(f"SELECT {KEYS} FROM (SELECT *, lag(min_value) OVER (PARTITION BY market ORDER BY shop_date, out_date, pos, currency, stay NULLS FIRST, min_value) AS p FROM daily) WHERE p IS NULL OR min_value / p <= 1.2", ALL_DAILY_SQL, ints=("stay",))
+def prev_val_ratio_filter(spark, d):
+    return restrict.previous_ratio_filter(daily(spark, d), ["market"], ["shop_date", "out_date", "pos", "currency", F.asc_nulls_first("stay"), "min_value"], "min_value", 1.2).select(*KEY)
 
 
-@query(f"SELECT {KEYS} FROM daily WHERE market IN (SELECT market FROM daily GROUP BY market HAVING stddev_samp(min_value) / avg(min_value) < 0.6)", DAILY_SQL, ints=("stay",), cut=NEAR)
-def rsd_filter(spark, d, most_lead=120):
-    return restrict.low_spread(daily(spark, d, most_lead), ["market"], "min_value", 0.6).select(*KEY)
+@query(f"SELECT {KEYS} FROM daily WHERE market IN (SELECT market FROM daily GROUP BY market HAVING stddev_samp(min_value) / avg(min_value) < 0.6)", ALL_DAILY_SQL, ints=("stay",))
+def rsd_filter(spark, d):
+    return restrict.low_spread(daily(spark, d), ["market"], "min_value", 0.6).select(*KEY)
 
 
 @query(f"SELECT {KEYS} FROM daily WHERE market IN (SELECT market FROM daily GROUP BY market HAVING count(DISTINCT (isodow(shop_date), isodow(out_date))) = 49)", ALL_DAILY_SQL, ints=("stay",))
@@ -258,9 +262,9 @@ def dow_combo_filter(spark, d):
 _VOLUME = "(SELECT market, sum(search_counts)::BIGINT AS volume, row_number() OVER (ORDER BY sum(search_counts) DESC, market) AS volume_rank FROM daily GROUP BY market)"
 
 
-@query(f"SELECT {KEYS}, CAST(volume_rank AS INTEGER) AS volume_rank FROM daily JOIN {_VOLUME} USING (market) WHERE volume_rank <= 25", DAILY_SQL, ints=("stay",), cut=NEAR)
-def rank_filter(spark, d, most_lead=120):
-    return restrict.top_by_volume(daily(spark, d, most_lead), ["market"], "search_counts", 25).select(*KEY, "volume_rank")
+@query(f"SELECT {KEYS}, CAST(volume_rank AS INTEGER) AS volume_rank FROM daily JOIN {_VOLUME} USING (market) WHERE volume_rank <= 25", ALL_DAILY_SQL, ints=("stay",))
+def rank_filter(spark, d):
+    return restrict.top_by_volume(daily(spark, d), ["market"], "search_counts", 25).select(*KEY, "volume_rank")
 
 
 @query(f"SELECT {KEYS} FROM daily JOIN (SELECT market, quantile_cont(min_value, 0.05) AS lo, quantile_cont(min_value, 0.9) AS hi FROM daily GROUP BY market) USING (market) WHERE min_value >= lo AND NOT (min_value > hi AND solution_counts <= 1)", ALL_DAILY_SQL, ints=("stay",))
@@ -271,68 +275,74 @@ def percentile_clip(spark, d):
 @query("""
 SELECT pos, currency, origin, destination, out_date, stay, shop_date, min_value FROM (
   SELECT *, min_value / avg(min_value) OVER (PARTITION BY market) AS ratio FROM daily WHERE shop_date >= DATE '1998-01-01' - 1500) WHERE ratio < 3
-QUALIFY row_number() OVER (PARTITION BY market, out_date, stay ORDER BY shop_date DESC, pos, currency, min_value) = 1""", DAILY_SQL, ints=("stay",), cut=NEAR)
-def nightly_lookup(spark, d, most_lead=120):
-    return lookups.nightly_lookup(daily(spark, d, most_lead), F.lit("1998-01-01").cast("date"), lookups.LookupConfig(stale_after=1500, ratio_mean=3.0))
+QUALIFY row_number() OVER (PARTITION BY market, out_date, stay ORDER BY shop_date DESC, pos, currency, min_value) = 1""", ALL_DAILY_SQL, ints=("stay",))
+def nightly_lookup(spark, d):
+    return lookups.nightly_lookup(daily(spark, d), F.lit("1998-01-01").cast("date"), lookups.LookupConfig(stale_after=1500, ratio_mean=3.0))
 
 
 @query(f"""
 SELECT market, pos, currency, out_date, stay, shop_date, min_value FROM (
   SELECT *, min_value / avg(min_value) OVER (PARTITION BY market) AS ratio FROM daily LEFT JOIN {_GEO.format(w='')} a ON origin = a.k LEFT JOIN {_GEO.format(w='')} b ON destination = b.k
   WHERE 'EUROPE' IN (a.region, b.region) AND lead BETWEEN 1 AND 90 AND stay BETWEEN 1 AND 30) WHERE ratio < 2.5
-QUALIFY row_number() OVER (PARTITION BY market, pos, out_date, stay ORDER BY shop_date DESC, currency, min_value) = 1""", DAILY_SQL)
+QUALIFY row_number() OVER (PARTITION BY market, pos, out_date, stay ORDER BY shop_date DESC, currency, min_value) = 1""", ALL_DAILY_SQL)
 def summary_lookup(spark, d):
     return lookups.summary_lookup(daily(spark, d), _places(spark, d), "n_name", "region", lookups.LookupConfig(ratio_mean=2.5, home="EUROPE"), (1, 90), (1, 30))
 
 
 # --- features
 
-_SERIES = f"{OFFERS_SQL},\nseries AS (SELECT market, out_date, shop_date, min(fare) AS fare FROM offers WHERE lead BETWEEN 1 AND 400 GROUP BY ALL)"
+_SERIES = f"{OFFERS_SQL},\nseries AS (SELECT market, out_date, shop_date, min(fare) AS fare FROM offers GROUP BY ALL)"
 
 
-def _series(spark, d, most_lead=None):
-    """Lowest values of all offers, or of those made 1 to ``most_lead`` days ahead."""
-    rows = offers(spark, d)
-    return (rows if most_lead is None else rows.where(F.col("lead").between(1, most_lead))).groupBy("market", "out_date", "shop_date").agg(F.min("fare").alias("fare"))
+def _series(spark, d):
+    """Lowest values of all offers per market, service day and observation day."""
+    return offers(spark, d).groupBy("market", "out_date", "shop_date").agg(F.min("fare").alias("fare"))
 
 
 _AXES = {"shop": (["market"], "shop_date"), "dept": (["market", "shop_date"], "out_date")}
+_BOTH = {"shop": (["market", "out_date"], "shop_date"), "dept": (["market", "shop_date"], "out_date")}
 
 
 @query("""
-SELECT market, out_date, shop_date, fare, lag(fare) OVER d AS dept_prev_1, lag(fare, 2) OVER d AS dept_prev_2, lead(fare) OVER d AS dept_next_1,
+SELECT market, out_date, shop_date, fare, lag(fare) OVER s AS shop_prev_1, lag(fare, 2) OVER s AS shop_prev_2, lead(fare) OVER s AS shop_next_1,
+       CAST(date_diff('day', lag(shop_date) OVER s, shop_date) AS INTEGER) AS shop_gap,
+       lag(fare) OVER d AS dept_prev_1, lag(fare, 2) OVER d AS dept_prev_2, lead(fare) OVER d AS dept_next_1,
        CAST(date_diff('day', lag(out_date) OVER d, out_date) AS INTEGER) AS dept_gap
-FROM series WINDOW d AS (PARTITION BY market, shop_date ORDER BY out_date)""", _SERIES, ints=("dept_gap",), cut=YEAR)
-def shifted_features(spark, d, most_lead=400):
-    return features.shifted(_series(spark, d, most_lead), "fare", {"dept": _AXES["dept"]}, [1, 2], [1])
+FROM series WINDOW s AS (PARTITION BY market, out_date ORDER BY shop_date), d AS (PARTITION BY market, shop_date ORDER BY out_date)""", _SERIES, ints=("shop_gap", "dept_gap"))
+def shifted_features(spark, d):
+    return features.shifted(_series(spark, d), "fare", _BOTH, [1, 2], [1])
 
 
 _ONE = f"{_SERIES},\none AS (SELECT market, shop_date, min(fare) AS fare, min(out_date) AS out_date FROM series GROUP BY ALL)"
 
 
-def _one(spark, d, most_lead=None):
-    return _series(spark, d, most_lead).groupBy("market", "shop_date").agg(F.min("fare").alias("fare"), F.min("out_date").alias("out_date"))
+def _one(spark, d):
+    return _series(spark, d).groupBy("market", "shop_date").agg(F.min("fare").alias("fare"), F.min("out_date").alias("out_date"))
 
 
-@query("SELECT market, shop_date, fare, CAST(date_diff('day', lag(shop_date) OVER w, shop_date) AS INTEGER) AS shop_gap, lag(fare) OVER w AS shop_prev_1 FROM one WINDOW w AS (PARTITION BY market ORDER BY shop_date)", _ONE, ints=("shop_gap",), cut=YEAR)
-def prev_shop_gap(spark, d, most_lead=400):
-    return features.shifted(_one(spark, d, most_lead).drop("out_date"), "fare", {"shop": _AXES["shop"]}, [1])
+@query("SELECT market, shop_date, fare, CAST(date_diff('day', lag(shop_date) OVER w, shop_date) AS INTEGER) AS shop_gap, lag(fare) OVER w AS shop_prev_1 FROM one WINDOW w AS (PARTITION BY market ORDER BY shop_date)", _ONE, ints=("shop_gap",))
+def prev_shop_gap(spark, d):
+    return features.shifted(_one(spark, d).drop("out_date"), "fare", {"shop": _AXES["shop"]}, [1])
 
 
-@query("SELECT market, shop_date, fare, round(avg(fare) OVER (PARTITION BY market ORDER BY shop_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 3e-8, 6) AS encoded FROM one", _ONE, cut=YEAR)
-def target_encode(spark, d, most_lead=400):
-    rows = features.target_encode(_one(spark, d, most_lead).drop("out_date"), ["market"], "shop_date", "fare")
-    return rows.withColumn("encoded", r6(F.col("encoded") + 3e-8))  # keeps exact halves off the rounding border
+@query("""
+SELECT market, lead, shop_date, cents, avg(cents) OVER (PARTITION BY market, lead ORDER BY shop_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS encoded
+FROM (SELECT market, lead, shop_date, CAST(round(100 * min(fare)) AS BIGINT) AS cents FROM offers GROUP BY ALL)""", OFFERS_SQL)
+def target_encode(spark, d):
+    """Expanding mean per market and lead days, in whole cents so that sums are exact."""
+    least = offers(spark, d).groupBy("market", "lead", "shop_date").agg(F.round(100 * F.min("fare")).cast("long").alias("cents"))
+    return features.target_encode(least, ["market", "lead"], "shop_date", "cents")
 
 
-@query("SELECT market, shop_date, fare, round(avg(fare) OVER w, 6) AS trail_mean, round(stddev_samp(fare) OVER w, 4) AS trail_std FROM one WINDOW w AS (PARTITION BY market ORDER BY shop_date ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING)", _ONE, cut=YEAR)
-def trailing_rows(spark, d, most_lead=400):
-    return features.trailing_rows(_one(spark, d, most_lead).drop("out_date"), ["market"], "shop_date", "fare").withColumn("trail_mean", r6("trail_mean")).withColumn("trail_std", F.round("trail_std", 4))
+@query("SELECT market, shop_date, fare, round(avg(fare) OVER w, 6) AS trail_mean, round(stddev_samp(fare) OVER w, 4) AS trail_std FROM one WINDOW w AS (PARTITION BY market ORDER BY shop_date ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING)", _ONE)
+def trailing_rows(spark, d):
+    return features.trailing_rows(_one(spark, d).drop("out_date"), ["market"], "shop_date", "fare").withColumn("trail_mean", r6("trail_mean")).withColumn("trail_std", F.round("trail_std", 4))
 
 
-@query("SELECT market, shop_date, fare, round(avg(fare) OVER (PARTITION BY market ORDER BY shop_date RANGE BETWEEN INTERVAL 60 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING), 6) AS trail_days_mean FROM one", _ONE, cut=YEAR)
-def trailing_range(spark, d, most_lead=400):
-    return features.trailing_days(_one(spark, d, most_lead).drop("out_date"), ["market"], "shop_date", "fare", 60).withColumn("trail_days_mean", r6("trail_days_mean"))
+@query("SELECT market, shop_date, CAST(isodow(shop_date) - 1 AS INTEGER) AS dow, fare, round(avg(fare) OVER (PARTITION BY market, isodow(shop_date) ORDER BY shop_date RANGE BETWEEN INTERVAL 60 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING), 6) AS trail_days_mean FROM one", _ONE)
+def trailing_range(spark, d):
+    rows = _one(spark, d).select("market", "shop_date", dates.weekday(F.col("shop_date")).alias("dow"), "fare")
+    return features.trailing_days(rows, ["market", "dow"], "shop_date", "fare", 60).withColumn("trail_days_mean", r6("trail_days_mean"))
 
 
 _EST = """
@@ -342,31 +352,31 @@ SELECT market, shop_date, fare, round(coalesce(p + change, trail), 6) AS estimat
     FROM one WINDOW w AS (PARTITION BY market ORDER BY shop_date)))"""
 
 
-def _estimated(spark, d, most_lead=None):
+def _estimated(spark, d):
     w = W.partitionBy("market").orderBy("shop_date")
-    rows = features.trailing_rows(features.shifted(_one(spark, d, most_lead).drop("out_date"), "fare", {"shop": _AXES["shop"]}, [1]), ["market"], "shop_date", "fare")
+    rows = features.trailing_rows(features.shifted(_one(spark, d).drop("out_date"), "fare", {"shop": _AXES["shop"]}, [1]), ["market"], "shop_date", "fare")
     rows = rows.withColumn("change", F.lag(F.col("fare") - F.col("shop_prev_1")).over(w))
     return features.estimate_from_shift(rows, "shop_prev_1", "change", "trail_mean").select("market", "shop_date", "fare", "estimate")
 
 
-@query(_EST, _ONE, cut=YEAR)
-def est_fare_from_neighbors(spark, d, most_lead=400):
-    return _estimated(spark, d, most_lead).withColumn("estimate", r6("estimate"))
+@query(_EST, _ONE)
+def est_fare_from_neighbors(spark, d):
+    return _estimated(spark, d).withColumn("estimate", r6("estimate"))
 
 
 @query("""
 SELECT market, shop_date, fare, round(coalesce(CASE WHEN p IS NULL AND n IS NULL THEN NULL WHEN p IS NULL THEN n WHEN n IS NULL THEN p ELSE (p + n) / 2 END, trail), 6) AS filled FROM (
   SELECT *, lag(fare) OVER w AS p, lead(fare) OVER w AS n, avg(fare) OVER (PARTITION BY market ORDER BY shop_date ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS trail FROM one WINDOW w AS (PARTITION BY market ORDER BY shop_date))
-WHERE p IS NOT NULL OR n IS NOT NULL OR trail IS NOT NULL""", _ONE, cut=YEAR)
-def impute_chain(spark, d, most_lead=400):
-    rows = features.trailing_rows(features.shifted(_one(spark, d, most_lead).drop("out_date"), "fare", {"shop": _AXES["shop"]}, [1], [1]), ["market"], "shop_date", "fare")
+WHERE p IS NOT NULL OR n IS NOT NULL OR trail IS NOT NULL""", _ONE)
+def impute_chain(spark, d):
+    rows = features.trailing_rows(features.shifted(_one(spark, d).drop("out_date"), "fare", {"shop": _AXES["shop"]}, [1], [1]), ["market"], "shop_date", "fare")
     return features.impute(rows, "filled", features.row_mean("shop_prev_1", "shop_next_1"), F.col("trail_mean")).select("market", "shop_date", "fare", r6("filled").alias("filled"))
 
 
-@query(f"SELECT market, out_date, shop_date, CAST(out_date IN ({HOLIDAY_SQL}) AS INTEGER) AS holiday, CAST(isodow(out_date) - 1 AS INTEGER) AS dow, strftime(out_date, '%a') AS dow_name FROM series", _SERIES, cut=YEAR)
-def holiday_flags(spark, d, most_lead=400):
+@query(f"SELECT market, out_date, shop_date, CAST(out_date IN ({HOLIDAY_SQL}) AS INTEGER) AS holiday, CAST(isodow(out_date) - 1 AS INTEGER) AS dow, strftime(out_date, '%a') AS dow_name FROM series", _SERIES)
+def holiday_flags(spark, d):
     o = F.col("out_date")
-    return _series(spark, d, most_lead).select("market", "out_date", "shop_date", dates.in_dates(o, HOLIDAYS).alias("holiday"), dates.weekday(o).alias("dow"), F.date_format(o, "E").alias("dow_name"))
+    return _series(spark, d).select("market", "out_date", "shop_date", dates.in_dates(o, HOLIDAYS).alias("holiday"), dates.weekday(o).alias("dow"), F.date_format(o, "E").alias("dow_name"))
 
 
 _OFF = f"CAST(isodow({{x}}) >= 6 OR {{x}} IN ({HOLIDAY_SQL}) AS INTEGER)"
@@ -425,6 +435,11 @@ def gap_stats_array(spark, d):
     return hist.select("user", "days_seen", arrays.run_stats(F.transform("h", lambda x: x["seen"]))["num_gaps"].alias("num_gaps"))
 
 
+@query("SELECT user, day, hits, seen, count(*) OVER w AS rows_so_far, CAST(sum(seen) OVER w AS BIGINT) AS set_so_far FROM dense WINDOW w AS (PARTITION BY user ORDER BY day ROWS UNBOUNDED PRECEDING)", _GRID)
+def expanding_counts(spark, d):
+    return panel.expanding_counts(_dense(spark, d), ["user"], "day", "seen")
+
+
 @query("SELECT user, day, hits, rolling_sum, round(rolling_mean, 6) AS rolling_mean FROM (SELECT user, day, hits, sum(hits) OVER w::BIGINT AS rolling_sum, avg(hits) OVER w AS rolling_mean, row_number() OVER (PARTITION BY user ORDER BY day) AS n FROM dense WINDOW w AS (PARTITION BY user ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)) WHERE n >= 7".replace("sum(hits) OVER w::BIGINT", "CAST(sum(hits) OVER w AS BIGINT)"), _GRID)
 def rolling_coverage(spark, d):
     return panel.rolling(_dense(spark, d), ["user"], "day", "hits", 7).withColumn("rolling_mean", r6("rolling_mean")).drop("seen")
@@ -446,6 +461,13 @@ def coverage_expected(spark, d):
     return seen.withColumn("coverage", r6(F.try_divide("days_seen", "expected")))
 
 
+@query("SELECT pos, CAST(g.lead AS INTEGER) AS lead, coalesce(n, 0) AS observations FROM (SELECT DISTINCT pos FROM offers) CROSS JOIN (SELECT unnest(range(1, 121)) AS lead) g LEFT JOIN (SELECT pos AS p, lead AS l, count(*) AS n FROM daily GROUP BY ALL) ON p = pos AND l = g.lead", ALL_DAILY_SQL)
+def coverage_lead_grid(spark, d):
+    """Every lead of 1 to 120 days at every point of sale, 0 where nothing was observed."""
+    rows = daily(spark, d)
+    return panel.lead_grid(rows, ["pos"], "lead", 1, 120).select("pos", "lead", "observations")
+
+
 @query("""
 SELECT pos, lead, round(mean_coverage, 6) AS mean_coverage, counts, round(avg(mean_coverage) OVER (PARTITION BY pos ORDER BY lead RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS running_coverage FROM (
   SELECT pos, lead, avg(c) AS mean_coverage, CAST(sum(n) AS BIGINT) AS counts FROM (SELECT pos, lead, stay, count(DISTINCT shop_date) / 365.0 AS c, sum(search_counts) AS n FROM daily WHERE stay BETWEEN 1 AND 14 GROUP BY ALL) GROUP BY ALL)""", DAILY_SQL)
@@ -499,6 +521,11 @@ def log_histogram_cdf(spark, d):
     return h.select("log_bin", "keys", *(r6(c).alias(c) for c in ("cdf", "next_cdf", "bin_value")))
 
 
+@query("SELECT market, searches, round(cume_dist() OVER (ORDER BY searches), 6) AS cume, round(percent_rank() OVER (ORDER BY searches), 6) AS pct FROM totals", _TOTALS)
+def cumulative_distribution(spark, d):
+    return distribution.cumulative_distribution(_totals(spark, d), "searches").select("market", "searches", r6("cume").alias("cume"), r6("pct").alias("pct"))
+
+
 _SPLITS = (0.0, 10_000.0, 20_000.0, 40_000.0, 80_000.0, 200_000.0)
 
 
@@ -540,9 +567,9 @@ def multi_distinct_count(spark, d):
     return distribution.search_counts(offers(spark, d), ["market", "stay", "out_date"])
 
 
-@query("SELECT market, count(DISTINCT shop_date) AS days, CAST(sum(search_counts) AS BIGINT) AS searches FROM daily GROUP BY market ORDER BY searches DESC, market LIMIT 50", DAILY_SQL, cut=NEAR)
-def top_markets_by_days(spark, d, most_lead=120):
-    return daily(spark, d, most_lead).groupBy("market").agg(F.count_distinct("shop_date").alias("days"), F.sum("search_counts").alias("searches")).orderBy(F.desc("searches"), "market").limit(50)
+@query("SELECT market, count(DISTINCT shop_date) AS days, CAST(sum(search_counts) AS BIGINT) AS searches FROM daily GROUP BY market ORDER BY searches DESC, market LIMIT 50", ALL_DAILY_SQL)
+def top_markets_by_days(spark, d):
+    return daily(spark, d).groupBy("market").agg(F.count_distinct("shop_date").alias("days"), F.sum("search_counts").alias("searches")).orderBy(F.desc("searches"), "market").limit(50)
 
 
 # --- errors
@@ -552,37 +579,37 @@ _STATS = "count(abs_pct_err) AS n, round(avg(abs_pct_err), 6) AS mape, round(std
 _ROUNDED = ("mape", "std", "least", "most", "median")
 
 
-def _errors(spark, d, most_lead=None):
-    return errors.with_errors(_estimated(spark, d, most_lead).where("estimate is not null"), "estimate", "fare")
+def _errors(spark, d):
+    return errors.with_errors(_estimated(spark, d).where("estimate is not null"), "estimate", "fare")
 
 
-@query(f"SELECT {_STATS}, count(DISTINCT market) AS markets FROM errors", _ERRORS, cut=YEAR)
-def error_stats(spark, d, most_lead=400):
-    return errors.error_stats(_errors(spark, d, most_lead), (), "market").withColumns({c: r6(c) for c in _ROUNDED})
+@query(f"SELECT {_STATS}, count(DISTINCT market) AS markets FROM errors", _ERRORS)
+def error_stats(spark, d):
+    return errors.error_stats(_errors(spark, d), (), "market").withColumns({c: r6(c) for c in _ROUNDED})
 
 
-@query(f"SELECT market, {_STATS} FROM errors GROUP BY market", _ERRORS, cut=YEAR)
-def error_by_segment(spark, d, most_lead=400):
-    return errors.error_stats(_errors(spark, d, most_lead), ["market"]).withColumns({c: r6(c) for c in _ROUNDED})
+@query(f"SELECT market, {_STATS} FROM errors GROUP BY market", _ERRORS)
+def error_by_segment(spark, d):
+    return errors.error_stats(_errors(spark, d), ["market"]).withColumns({c: r6(c) for c in _ROUNDED})
 
 
-@query("SELECT market, round(avg(CASE WHEN abs_pct_err <= 25 THEN 1.0 ELSE 0.0 END), 6) AS share_within, count(abs_pct_err) AS n FROM errors GROUP BY market", _ERRORS, cut=YEAR)
-def pct_within_threshold(spark, d, most_lead=400):
-    return errors.within(_errors(spark, d, most_lead), ["market"], 25).withColumn("share_within", r6("share_within"))
+@query("SELECT market, round(avg(CASE WHEN abs_pct_err <= 25 THEN 1.0 ELSE 0.0 END), 6) AS share_within, count(abs_pct_err) AS n FROM errors GROUP BY market", _ERRORS)
+def pct_within_threshold(spark, d):
+    return errors.within(_errors(spark, d), ["market"], 25).withColumn("share_within", r6("share_within"))
 
 
-@query("SELECT round(1 - sum(power(estimate - fare, 2)) / (var_pop(fare) * count(fare)), 6) AS r2, round(avg(abs(estimate - fare)), 4) AS mae, round(quantile_cont(abs(estimate - fare), 0.5), 4) AS mdae, round(avg(abs_pct_err), 6) AS mape FROM errors", _ERRORS, cut=YEAR)
-def regression_metrics(spark, d, most_lead=400):
-    return errors.regression_metrics(_errors(spark, d, most_lead), "estimate", "fare").select(r6("r2").alias("r2"), F.round("mae", 4).alias("mae"), F.round("mdae", 4).alias("mdae"), r6("mape").alias("mape"))
+@query("SELECT round(1 - sum(power(estimate - fare, 2)) / (var_pop(fare) * count(fare)), 6) AS r2, round(avg(abs(estimate - fare)), 4) AS mae, round(quantile_cont(abs(estimate - fare), 0.5), 4) AS mdae, round(avg(abs_pct_err), 6) AS mape FROM errors", _ERRORS)
+def regression_metrics(spark, d):
+    return errors.regression_metrics(_errors(spark, d), "estimate", "fare").select(r6("r2").alias("r2"), F.round("mae", 4).alias("mae"), F.round("mdae", 4).alias("mdae"), r6("mape").alias("mape"))
 
 
 @query("""
 SELECT g.ratio, CAST(g.ranks AS INTEGER) AS ranks, count(e.abs_pct_err) AS n, round(avg(e.abs_pct_err), 6) AS mape
 FROM (SELECT unnest([1.0, 1.5, 2.0])::DOUBLE AS ratio) a(ratio) CROSS JOIN (SELECT unnest([10, 100, 1000]) AS ranks) b CROSS JOIN LATERAL (SELECT a.ratio, b.ranks) g
 LEFT JOIN (SELECT abs_pct_err, fare / avg(fare) OVER (PARTITION BY market) AS r, k FROM errors JOIN (SELECT market, row_number() OVER (ORDER BY count(*) DESC, market) AS k FROM errors GROUP BY market) USING (market)) e ON e.r < g.ratio AND e.k <= g.ranks
-GROUP BY ALL""", _ERRORS, cut=YEAR)
-def restriction_grid(spark, d, most_lead=400):
-    rows = _errors(spark, d, most_lead).withColumn("one", F.lit(1)).withColumn("ratio", F.try_divide(F.col("fare"), F.avg("fare").over(W.partitionBy("market"))))
+GROUP BY ALL""", _ERRORS)
+def restriction_grid(spark, d):
+    rows = restrict.with_group(_errors(spark, d).withColumn("one", F.lit(1)), ["market"], F.avg("fare").alias("_mean")).withColumn("ratio", F.try_divide("fare", "_mean"))
     ranks = restrict.volume_ranks(rows, ["market"], "one").drop("volume")
     return errors.restriction_grid(rows.join(ranks, "market"), [1.0, 1.5, 2.0], [10, 100, 1000]).withColumn("mape", r6("mape"))
 
@@ -593,16 +620,16 @@ def corr_features(spark, d):
     return offers(spark, d).groupBy("pos").agg(*(F.round(F.corr(a, b), 6).alias(f"{a}_{b}") for a, b in pairs))
 
 
-@query("SELECT market, shop_date, fare, round((fare - avg(fare) OVER w) / nullif(stddev_samp(fare) OVER w, 0), 6) AS z, round(percent_rank() OVER (PARTITION BY market ORDER BY fare), 6) AS pct FROM one WINDOW w AS (PARTITION BY market)", _ONE, cut=YEAR)
-def zscore(spark, d, most_lead=400):
+@query("SELECT market, shop_date, fare, round((fare - avg(fare) OVER w) / nullif(stddev_samp(fare) OVER w, 0), 6) AS z, round(percent_rank() OVER (PARTITION BY market ORDER BY fare), 6) AS pct FROM one WINDOW w AS (PARTITION BY market)", _ONE)
+def zscore(spark, d):
     w = W.partitionBy("market")
     z = F.try_divide(F.col("fare") - F.avg("fare").over(w), F.stddev("fare").over(w))
-    return _one(spark, d, most_lead).select("market", "shop_date", "fare", r6(z).alias("z"), r6(F.percent_rank().over(w.orderBy("fare"))).alias("pct"))
+    return _one(spark, d).select("market", "shop_date", "fare", r6(z).alias("z"), r6(F.percent_rank().over(w.orderBy("fare"))).alias("pct"))
 
 
-@query("SELECT market, shop_date, fare, prev, CAST(abs(fare - prev) <= 1e-8 + 0.01 * abs(prev) AS INTEGER) AS unchanged FROM (SELECT *, lag(fare) OVER (PARTITION BY market ORDER BY shop_date) AS prev FROM one) WHERE prev IS NOT NULL", _ONE, cut=YEAR)
-def unchanged_values(spark, d, most_lead=400):
-    rows = features.shifted(_one(spark, d, most_lead), "fare", {"shop": _AXES["shop"]}, [1]).withColumnRenamed("shop_prev_1", "prev").where("prev is not null")
+@query("SELECT market, shop_date, fare, prev, CAST(abs(fare - prev) <= 1e-8 + 0.01 * abs(prev) AS INTEGER) AS unchanged FROM (SELECT *, lag(fare) OVER (PARTITION BY market ORDER BY shop_date) AS prev FROM one) WHERE prev IS NOT NULL", _ONE)
+def unchanged_values(spark, d):
+    rows = features.shifted(_one(spark, d), "fare", {"shop": _AXES["shop"]}, [1]).withColumnRenamed("shop_prev_1", "prev").where("prev is not null")
     return rows.select("market", "shop_date", "fare", "prev", arrays.is_close(F.col("fare"), F.col("prev")).cast("int").alias("unchanged"))
 
 
@@ -633,14 +660,106 @@ def model_linear(spark, d):
 
 @query()
 def model_forest(spark, d):
-    return _mape(spark, d, "forest", numTrees=20)
+    return _mape(spark, d, "forest")
 
 
 @query()
 def model_boosted(spark, d):
-    return _mape(spark, d, "boosted", maxIter=10)
+    return _mape(spark, d, "boosted")
 
 
 @query()
 def model_linear_pca(spark, d):
     return _mape(spark, d, "linear", scale="minmax", pca=3)
+
+
+@query()
+def model_per_market(spark, d):
+    """A least-squares fit of its own for every market, all in one grouped aggregate."""
+    from ..models import regression
+
+    train, test = regression.split(_features(spark, d), ["market", "shop_date"])
+    scored = regression.predict_per_group(test, regression.fit_per_group(train, ["market"], _NUMERIC, "fare"), ["market"], _NUMERIC)
+    return errors.error_stats(errors.with_errors(scored, "prediction", "fare"), ["market"])
+
+
+@query(f"SELECT market, round(regr_slope(fare, lead), 6) AS slope, round(regr_intercept(fare, lead), 4) AS intercept, count(*) AS n FROM offers GROUP BY market HAVING count(*) >= 3", OFFERS_SQL)
+def market_trend(spark, d):
+    """The per-group fit with one feature, which SQL can express."""
+    from ..models import regression
+
+    fitted = regression.fit_per_group(offers(spark, d), ["market"], ["lead"], "fare", ridge=0.0, least_rows=3)
+    return fitted.select("market", F.round(F.get("weights", F.lit(1)), 6).alias("slope"), F.round(F.get("weights", F.lit(0)), 4).alias("intercept"), "n")
+
+
+@query("SELECT market, out_date, shop_date, fare FROM series WHERE shop_date >= DATE '1993-01-01' AND out_date - shop_date <= 120 AND out_date NOT IN (" + HOLIDAY_SQL + ")", _SERIES)
+def model_rows(spark, d):
+    """Rows that a model may learn from: after a clip date, within a lead, no holidays, nothing missing."""
+    from ..models import regression
+
+    rows = _series(spark, d).withColumn("lead", F.datediff("out_date", "shop_date"))
+    return regression.prepare(rows, "shop_date", "1993-01-01", "lead", 120, "out_date", HOLIDAYS).drop("lead")
+
+
+# --- sources and sinks: written to the shared folder, read back
+
+
+def _scratch(spark, name):
+    return f"{readers.scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("SELECT o_orderkey, o_totalprice, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1995-03-01' AND DATE '1995-05-31'")
+def source_days(spark, d):
+    """Months written as day partitions, one of them twice; days read back by partition."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_totalprice", F.col("o_orderdate").cast("date").cast("string").alias("day")).where(F.col("day").between("1995-02-01", "1995-06-30"))
+    path = _scratch(spark, "days")
+    sinks.write_days(o, path, "day")
+    sinks.write_days(o.where(F.col("day").startswith("1995-04")), path, "day")
+    return readers.read_days(spark, path, "1995-03-01", "1995-05-31").select("o_orderkey", "o_totalprice", F.col("day").cast("string").alias("day"))
+
+
+@query("SELECT event_id, value, CAST(hour(ts) AS INTEGER) AS hour FROM events WHERE CAST(ts AS DATE) = (SELECT CAST(max(ts) AS DATE) FROM events) AND hour(ts) BETWEEN 6 AND 19")
+def source_hours(spark, d):
+    """Year, month, day and hour partitions; hours of the last day read by predicate."""
+    e = table(spark, d, "events").select("event_id", "value", "ts")
+    path, (_, last) = _scratch(spark, "hours"), readers.bounds(e, F.col("ts").cast("date"))
+    sinks.write_hours(e, path, "ts")
+    return readers.read_hours(spark, path, str(last), 6, 19).select("event_id", "value", F.col("hour").cast("int").alias("hour"))
+
+
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer UNION ALL SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal < 0")
+def sink_append(spark, d):
+    c = table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal")
+    path = _scratch(spark, "append")
+    sinks.append(c, path)
+    sinks.append(c.where("c_acctbal < 0"), path)
+    return spark.read.parquet(path)
+
+
+@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def source_csv_headerless(spark, d):
+    path = _scratch(spark, "csv")
+    sinks.write_single_csv(table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey"), path, header=False)
+    return readers.read_dim(spark, path, "n_nationkey int, n_name string, n_regionkey int", header=False)
+
+
+@query("SELECT s_suppkey, s_name, s_acctbal FROM supplier")
+def sink_csv_capped(spark, d):
+    path = _scratch(spark, "capped")
+    sinks.write_capped_csv(table(spark, d, "supplier").select("s_suppkey", "s_name", "s_acctbal"), path, 100)
+    return readers.read_dim(spark, path, "s_suppkey long, s_name string, s_acctbal double")
+
+
+@query("SELECT r_name AS value FROM region")
+def source_list(spark, d):
+    path = _scratch(spark, "list")
+    lines = table(spark, d, "region").select("r_name").unionByName(spark.sql("SELECT * FROM VALUES ('# regions'), (''), ('#x') AS t(r_name)"))
+    lines.coalesce(1).write.text(path)
+    return readers.read_list(spark, path)
+
+
+@query("SELECT count(*) AS rows, min(l_quantity) AS least FROM lineitem")
+def sink_metrics(spark, d):
+    path = _scratch(spark, "metrics")
+    sinks.write_metrics(table(spark, d, "lineitem").agg(F.count("*").alias("rows"), F.min("l_quantity").alias("least")), path)
+    return spark.read.schema("rows long, least double").json(path)
