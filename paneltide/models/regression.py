@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import PCA, MinMaxScaler, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
@@ -18,6 +19,54 @@ def split(df: DataFrame, keys: Sequence[str], test_share: float = 0.2) -> tuple[
     return df.where(~h), df.where(h)
 
 
+def prepare(df: DataFrame, day: str, first_day: str, lead: str, most_lead: int, service_day: str, holidays: Sequence[str] = ()) -> DataFrame:
+    """Rows from ``first_day`` on, up to ``most_lead`` days ahead, not for a holiday, without missing values."""
+    rows = df.where((F.col(day) >= F.lit(first_day).cast("date")) & (F.col(lead) <= most_lead))
+    return (rows.where(~F.col(service_day).isin([F.lit(h).cast("date") for h in holidays])) if holidays else rows).dropna()
+
+
+def fit_per_group(df: DataFrame, keys: Sequence[str], features: Sequence[str], label: str, ridge: float = 1e-6, least_rows: int = 2) -> DataFrame:
+    """Per group: weights (intercept first) of a least-squares fit, and its number of rows n.
+
+    The sums of products are one partial aggregation over shifted columns, whatever a group's size; only they
+    reach the solver, one small system a group. ``ridge`` is relative to each feature's spread. Groups of
+    fewer than ``least_rows`` rows, or without a solution, are left out.
+    """
+    columns = [*features, label]
+    known = df.dropna(subset=columns)
+    n, y = len(features), len(features)
+    aggs = [F.count("*").alias("n"), *(F.avg(c).alias(f"m{i}") for i, c in enumerate(columns))]
+    aggs += [F.covar_pop(columns[i], columns[j]).alias(f"c{i}_{j}") for i in range(n) for j in range(i, n + 1)]
+    sums = known.groupBy(*keys).agg(*aggs).where(F.col("n") >= least_rows)
+
+    def solve(batches):
+        for pdf in batches:
+            out = []
+            for r in pdf.to_dict("records"):
+                a = np.array([[r[f"c{min(i, j)}_{max(i, j)}"] for j in range(n)] for i in range(n)])
+                b = np.array([r[f"c{i}_{y}"] for i in range(n)])
+                scale = np.sqrt(np.maximum(np.diag(a), 0))
+                scale[scale == 0] = 1
+                try:
+                    w = np.linalg.solve(a / np.outer(scale, scale) + ridge * np.eye(n), b / scale) / scale
+                except np.linalg.LinAlgError:
+                    w = np.full(n, np.nan)
+                out.append([r[f"m{y}"] - float(w @ np.array([r[f"m{i}"] for i in range(n)])), *w.tolist()])
+            yield pdf[[*keys, "n"]].assign(weights=out)
+
+    kinds = dict(known.dtypes)
+    fitted = sums.mapInPandas(solve, ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), "n long", "weights array<double>"]))
+    return fitted.where(~F.exists("weights", F.isnan))
+
+
+def predict_per_group(df: DataFrame, fitted: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
+    """Rows of groups with a fit, with ``prediction``; null where a feature is missing."""
+    value = F.get("weights", F.lit(0))
+    for i, c in enumerate(features):
+        value = value + F.get("weights", F.lit(i + 1)) * F.col(c)
+    return df.join(fitted.select(*keys, "weights"), list(keys)).withColumn("prediction", value).drop("weights")
+
+
 def regressor(kind: str, label: str, **options: object):
     """'linear', 'forest' or 'boosted' with the defaults that the published results used."""
     if kind == "linear":
