@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -13,6 +14,30 @@ def read_days(spark: SparkSession, root: str, first: str, last: str, day_col: st
     return reader.parquet(root).where(F.col(day_col).cast("string").between(first, last))
 
 
+def read_hours(spark: SparkSession, root: str, day: str, first: int, last: int) -> DataFrame:
+    """Hours ``first`` to ``last`` of a day of a table partitioned by year, month, day and hour: one read, pruned by predicates."""
+    year, month, number = (int(x) for x in day.split("-"))
+    at = (F.col("year") == year) & (F.col("month") == month) & (F.col("day") == number)
+    return spark.read.parquet(root).where(at & F.col("hour").between(first, last))
+
+
+def read_glob(spark: SparkSession, pattern: str, recursive: bool = False) -> DataFrame:
+    """Files that a path pattern matches, or all files below it."""
+    return spark.read.option("recursiveFileLookup", str(recursive).lower()).parquet(pattern)
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir``, or in local mode a temporary one."""
+    conf = spark.sparkContext.getConf()
+    named = conf.get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir names no shared folder")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="paneltide-scratch-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
 def read_existing(spark: SparkSession, paths: Iterable[str]) -> DataFrame | None:
     """Union of the paths that exist; None if none does. Only a missing path is forgiven."""
     from pyspark.errors import AnalysisException
@@ -46,9 +71,9 @@ def read_list(spark: SparkSession, path: str, name: str = "value") -> DataFrame:
     return lines.where((F.col(name) != "") & ~F.col(name).startswith("#"))
 
 
-def read_dim(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A CSV dimension with header, by an explicit schema (no inference pass)."""
-    return spark.read.option("header", "true").schema(schema).csv(path)
+def read_dim(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:
+    """A CSV dimension, with or without header, by an explicit schema (no inference pass)."""
+    return spark.read.option("header", str(header).lower()).schema(schema).csv(path)
 
 
 def source_file(df: DataFrame, name: str = "source_file") -> DataFrame:

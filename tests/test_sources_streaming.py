@@ -62,10 +62,41 @@ def test_daily_lowest_stream(spark, stream, tmp_path):
 
 
 def test_latest_table_stream(spark, stream, tmp_path):
-    incremental.maintain_latest(stream, str(tmp_path / "latest"), ["k"], "ts", str(tmp_path / "ck2")).awaitTermination(120)
-    got = spark.read.parquet(str(tmp_path / "latest/v=0"))
-    assert {r.k: r.v for r in got.collect()} == {"a": 1.0, "b": 4.0} and got.where(F.col("bucket").isNull()).count() == 0
-
-
-def test_trailing_mean_stream(stream):
-    assert incremental.trailing_mean(stream, "ts", ["k"], "v").isStreaming
+    path = str(tmp_path / "latest")
+    incremental.maintain_latest(stream, path, ["k"], "ts", str(tmp_path / "ck2")).awaitTermination(120)
+    assert {r.k: r.v for r in incremental.read_latest(spark, path).collect()} == {"a": 1.0, "b": 4.0}
+    before = {p.name: sorted(x.name for x in p.glob("version=*")) for p in (tmp_path / "latest").glob("bucket=*")}
+    for day, value in ((10, 7.0), (11, 8.0), (12, 9.0)):
+        spark.createDataFrame([(dt.datetime(2024, 1, day), "a", value)], "ts timestamp, k string, v double").write.mode("append").parquet(str(tmp_path / "in"))
+        incremental.maintain_latest(stream, path, ["k"], "ts", str(tmp_path / "ck2")).awaitTermination(120)
+        assert {r.k: r.v for r in incremental.read_latest(spark, path).collect()} == {"a": value, "b": 4.0}
+    after = {p.name: sorted(x.name for x in p.glob("version=*")) for p in (tmp_path / "latest").glob("bucket=*")}
+    assert sum(before[b] != after[b] for b in after) == 1 and max(map(len, after.values())) == 2  # one bucket touched, old versions gone
+
+
+def test_trailing_mean_stream(spark, stream, tmp_path):
+    q = incremental.trailing_mean(stream, "ts", ["k"], "v").writeStream.outputMode("append").format("parquet").option("checkpointLocation", str(tmp_path / "ck3")).trigger(availableNow=True).start(str(tmp_path / "means"))
+    q.awaitTermination(120)
+    got = {(str(r.day), r.k): r.mean_value for r in spark.read.parquet(str(tmp_path / "means")).collect()}
+    assert got[("2024-01-02", "a")] == 4.0 and got[("2024-01-08", "b")] == 4.0
+
+
+def test_globs_corrupt_files_and_file_names(spark, tmp_path):
+    for k in (1, 2):
+        spark.createDataFrame([(k,)], "id int").coalesce(1).write.parquet(str(tmp_path / f"t/x={k}"))
+    assert readers.read_glob(spark, str(tmp_path / "t/*")).count() == readers.read_glob(spark, str(tmp_path / "t"), True).count() == 2
+    named = readers.source_file(spark.read.parquet(str(tmp_path / "t")))
+    assert all(f"x={r.x}" in r.source_file for r in named.collect())
+    (tmp_path / "t/x=3").mkdir()
+    (tmp_path / "t/x=3/part-0.parquet").write_bytes(b"no parquet at all")
+    assert readers.read_days(spark, str(tmp_path / "t"), "1", "3", "x", tolerant=True).count() == 2
+    spark.createDataFrame([(4, 5)], "id int, more int").write.parquet(str(tmp_path / "m/x=1"))
+    spark.createDataFrame([(4,)], "id int").write.parquet(str(tmp_path / "m/x=2"))
+    assert "more" in readers.read_days(spark, str(tmp_path / "m"), "1", "2", "x", merge_schema=True).columns
+
+
+def test_hours_prune(spark, tmp_path):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, d, h), h) for d in (1, 2) for h in range(24)], "ts timestamp, n int")
+    sinks.write_hours(df, str(tmp_path / "h"), "ts")
+    got = readers.read_hours(spark, str(tmp_path / "h"), "2024-01-02", 6, 8)
+    assert sorted(r.n for r in got.collect()) == [6, 7, 8] and "PartitionFilters: [isnotnull(year" in got._jdf.queryExecution().executedPlan().toString()
