@@ -215,8 +215,8 @@ def samples_of(docs: DataFrame, per_language: int = 64, id_col: str = "doc_id",
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & (F.length(text_col) > 0) & ~F.expr(exclude))
     order = W.partitionBy("lang").orderBy("h", "id")
     chosen = (
-        labelled.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.xxhash64(id_col).alias("h")).distinct()
-        .withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_language).select("lang", "id").distinct()
+        labelled.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.xxhash64(id_col).alias("h"))
+        .withColumn("r", F.dense_rank().over(order)).where(F.col("r") <= per_language).select("lang", "id").distinct()
     )
     ids = sorted({r["id"] for r in chosen.collect()})
     slice_, most = 1024, 8192
