@@ -20,7 +20,7 @@ of the output's name is replaced, any other stays.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -56,14 +56,11 @@ def swapped(words: list[str], by: int) -> list[str]:
     return [_TWINS[w][0][(_TWINS[w][1] + by) % len(_TWINS[w][0])] if w in _TWINS else w for w in words]
 
 
-def twins(text: str, turn: int) -> list[list[str]]:
-    """The text's words and those of its twins: its identity terms swapped, or else with a mention and with that mention swapped."""
-    words = _WORD.findall(text.lower())
-    if any(w in _TWINS for w in words):
-        return [words, swapped(words, 1 + turn % 3)]
+def mention(turn: int) -> tuple[str, str]:
+    """The identity term that the twin of a text without any mentions, and the one that it is swapped for."""
     group = IDENTITY_TERMS[turn % len(IDENTITY_TERMS)]
     term = group[turn // len(IDENTITY_TERMS) % len(group)]
-    return [words, [*words, term], swapped([*words, term], 1 + turn % 3)]
+    return term, swapped([term], 1 + turn % 3)[0]
 
 
 class Model:
@@ -100,7 +97,7 @@ def fit(texts: list[str], labels: list[int], n_features: int = 2048, least_z: fl
     seen: dict[str, int] = {}  # feature -> number; texts are held as arrays of numbers
     by_word: dict[str, list[int]] = {}
 
-    def numbered(words: list[str]) -> np.ndarray:
+    def numbered(words: Iterable[str]) -> np.ndarray:
         own: set[int] = set()
         for w in set(words):
             if w not in by_word:
@@ -109,19 +106,22 @@ def fit(texts: list[str], labels: list[int], n_features: int = 2048, least_z: fl
         return np.fromiter(sorted(own), np.int32, len(own))
 
     # texts first, so that what only twins hold doesn't count as evidence of a label; turns run through each label
-    turn, made = {0: 0, 1: 0}, []
-    for text, label in zip(texts, labels, strict=True):
-        made.append(twins(text, turn[label]))
+    turn, turns, rows, named = {0: 0, 1: 0}, [], [], []
+    for i, (text, label) in enumerate(zip(texts, labels, strict=True)):
+        words = set(_WORD.findall(text.lower()))
+        rows.append(numbered(words))
+        if not words.isdisjoint(_TWINS):
+            named.append(i)
+        turns.append(turn[label])
         turn[label] += 1
-    rows = [numbered(own[0]) for own in made]
     n_own = len(seen)
     count = [np.bincount(np.concatenate([r for r, own in zip(rows, labels, strict=True) if own == label]), minlength=n_own) for label in (1, 0)]
     # smoothed log odds of a feature between the classes; kept where it stands ``least_z`` standard errors from 0
     a, b = count[0] + 0.5, count[1] + 0.5
     odds = np.log(a / (pos + 1 - a)) - np.log(b / (neg + 1 - b))
     z = np.where(a + b >= 4, np.abs(odds) / np.sqrt(1 / a + 1 / b + 1 / (pos + 1 - a) + 1 / (neg + 1 - b)), 0)
-    others = [[numbered(words) for words in own[1:]] for own in made]
-    del made
+    others = {i: numbered(swapped(_WORD.findall(texts[i].lower()), 1 + turns[i] % 3)) for i in named}
+    mentioned = {w: numbered([w]) for w in _TWINS}
     all_names = np.array([*seen], dtype=object)
     chosen = [i for i in np.argsort(-z, kind="stable")[: 4 * n_features].tolist() if z[i] >= least_z]
     chosen = sorted(chosen, key=lambda i: (-z[i], all_names[i]))[:n_features]
@@ -139,18 +139,22 @@ def fit(texts: list[str], labels: list[int], n_features: int = 2048, least_z: fl
     x = np.zeros((len(rows), len(names)), np.float32)
     # changes touch few columns, so twins are kept as (pair, column, value) against their texts, then against each other
     of: list[int] = []
-    against_text, against_twin = [], []
-    for i, (own, more) in enumerate(zip(rows, others, strict=True)):
+    against_text, against_twin = [], []  # (columns gone, columns come)
+    for i, own in enumerate(rows):
         mine = placed(own)
         x[i, mine] = scale[mine]  # evidence as the unit: rare features start small
-        more = [placed(r) for r in more]
-        of += [i] * len(more)
-        against_text += [(mine, r) for r in more]
-        against_twin += [(more[0], more[1])] if len(more) == 2 else []
+        if i in others:
+            new = placed(others[i])
+            of.append(i)
+            against_text.append((np.setdiff1d(mine, new, True), np.setdiff1d(new, mine, True)))
+        else:
+            first, second = (np.setdiff1d(placed(mentioned[w]), mine, True) for w in mention(turns[i]))
+            of += [i, i]
+            against_text += [(first[:0], first), (first[:0], second)]
+            against_twin.append((np.setdiff1d(first, second, True), np.setdiff1d(second, first, True)))
     del rows, others
     pair, column, value = [], [], []
-    for k, (old, new) in enumerate(against_text + against_twin):
-        gone, come = np.setdiff1d(old, new, True), np.setdiff1d(new, old, True)
+    for k, (gone, come) in enumerate(against_text + against_twin):
         pair.append(np.full(len(gone) + len(come), k))
         column.append(np.concatenate([gone, come]))
         value.append(np.concatenate([-scale[gone], scale[come]]))
