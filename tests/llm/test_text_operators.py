@@ -324,9 +324,9 @@ def test_swaps_are_regularised():
 
 
 def test_every_labelled_text_has_twins():
-    assert toxicity.twins("a dog ran", 0)[1:] == [["a", "dog", "ran", "women"], ["a", "dog", "ran", "men"]]
-    assert toxicity.twins("Jews sang", 2)[1:] == [["atheists", "sang"]]
-    assert len({w for t in range(200) for w in toxicity.twins("x", t)[1]}) == 1 + sum(map(len, toxicity.IDENTITY_TERMS))
+    assert toxicity.mention(0) == ("women", "men") and toxicity.swapped(["jews", "sang"], 3) == ["atheists", "sang"]
+    assert {toxicity.mention(t)[0] for t in range(200)} == set(toxicity._TWINS)
+    assert all(toxicity._TWINS[a][0] == toxicity._TWINS[b][0] and a != b for a, b in map(toxicity.mention, range(200)))
 
 
 def test_the_querys_own_model_is_regularised(spark):
