@@ -1,4 +1,4 @@
-"""The ten operators as queries over the driver's tables, and DuckDB SQL for those that SQL can express."""
+"""The operators as queries over the driver's tables, and DuckDB SQL for those that SQL can express."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, html_extract, langid, ngram_join, packing, quality, token_counts, toxicity, url_filter
+from . import ann, bpe, html_extract, langid, merkle, ngram_join, packing, quality, token_counts, toxicity, url_filter
 from .common import table
 
 
@@ -59,6 +59,10 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
 def _rules_sql() -> str:
     """VALUES rows of the rules."""
     return ", ".join(f"('{h + p}', '{h}', '{p}', '{v}')" for v, h, p in url_filter.RULES)
@@ -127,7 +131,7 @@ FROM d
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_nearest_neighbours, op2_url_filter, op3_quality_rules, op4_html_extraction, op5_bpe_round_trip, op6_packing, op7_token_counts, op8_toxicity, op9_language_id, op10_ngram_jaccard_join)
+    own = (op1_nearest_neighbours, op2_url_filter, op3_quality_rules, op4_html_extraction, op5_bpe_round_trip, op6_packing, op7_token_counts, op8_toxicity, op9_language_id, op10_ngram_jaccard_join, op11_merkle_manifest)
     return {f.__name__: f for f in own}
 
 
