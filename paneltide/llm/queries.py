@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, html_extract, langid, merkle, ngram_join, packing, quality, token_counts, toxicity, url_filter
+from . import ann, bpe, html_extract, langid, merkle, minhash_dedup, ngram_join, packing, prefix_trie, quality, token_counts, toxicity, url_filter
 from .common import table
 
 
@@ -63,6 +63,14 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(table(spark, sf_dir, "documents"))
 
 
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.groups(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.shared_starts(table(spark, sf_dir, "conversations"))
+
+
 def _rules_sql() -> str:
     """VALUES rows of the rules."""
     return ", ".join(f"('{h + p}', '{h}', '{p}', '{v}')" for v, h, p in url_filter.RULES)
@@ -131,7 +139,10 @@ FROM d
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_nearest_neighbours, op2_url_filter, op3_quality_rules, op4_html_extraction, op5_bpe_round_trip, op6_packing, op7_token_counts, op8_toxicity, op9_language_id, op10_ngram_jaccard_join, op11_merkle_manifest)
+    own = (
+        op1_nearest_neighbours, op2_url_filter, op3_quality_rules, op4_html_extraction, op5_bpe_round_trip, op6_packing, op7_token_counts, op8_toxicity, op9_language_id, op10_ngram_jaccard_join,
+        op11_merkle_manifest, op12_minhash_dedup, op13_prefix_trie,
+    )
     return {f.__name__: f for f in own}
 
 
