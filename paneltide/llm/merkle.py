@@ -22,6 +22,7 @@ proof of an only row is empty.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterator, Sequence
 from itertools import groupby
 
@@ -34,7 +35,7 @@ from .common import crc_mod, cut
 STEPS = "array<struct<left string, right string>>"
 _STEPS = pa.list_(pa.struct([("left", pa.string()), ("right", pa.string())]))
 #: Levels that a round of the frontier climbs.
-ROUND = 5
+ROUND = 3
 
 
 def leaf_digest(*columns: Column | str) -> Column:
@@ -125,20 +126,23 @@ def _in_batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 5000) -> I
     yield _batches(held, schema)
 
 
-def fold_leaves(leaves: DataFrame, arity: int, height: int) -> DataFrame:
-    """The nodes that each partition of ``ranged`` leaves (k, digest, _part) can't take further."""
+def fold_leaves(leaves: DataFrame, arity: int, height: int) -> tuple[DataFrame, int]:
+    """The nodes that each partition of ``ranged`` leaves (k, digest, _part) can't take further, and the level at which their first groups meet, a few partitions each."""
     sizes = leaves.groupBy("_part", "k").agg(F.count("*").alias("own"))
     of_key = W.partitionBy("k")
     sizes = sizes.withColumn("n", F.sum("own").over(of_key)).withColumn("before", F.coalesce(F.sum("own").over(of_key.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
     spans: dict[int, dict[str, tuple[int, int]]] = {}
+    largest = 1
     for r in sizes.where("n > own").collect():  # keys that lie in several partitions: two a partition at most
         spans.setdefault(r["_part"], {})[r["k"]] = (r["before"], r["n"])
+        largest = max(largest, r["own"])
+    local = max(1, min(height, math.ceil(math.log(largest, arity))))
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> Iterator[tuple]:
             for (part, k), rows in groupby(_rows(batches), key=lambda r: r[:2]):
                 begin, n = spans.get(part, {}).get(k, (0, None))
-                p, at = Partials(arity, height), begin
+                p, at = Partials(arity, local), begin
                 for _, _, digest in rows:
                     p.arrive(0, at, digest, None)
                     at += 1
@@ -148,7 +152,7 @@ def fold_leaves(leaves: DataFrame, arity: int, height: int) -> DataFrame:
 
         return _in_batches(out(), _NODE)
 
-    return leaves.select("_part", "k", "digest").mapInArrow(fold, NODE)
+    return leaves.select("_part", "k", "digest").mapInArrow(fold, NODE), local + 2
 
 
 def _grouped(nodes: DataFrame, arity: int, to: int) -> DataFrame:
@@ -219,10 +223,11 @@ def grow(leaves: DataFrame, carried: Sequence[str], above: Callable[[DataFrame],
     ``above`` takes the trees' tops (k, digest) and gives (k, steps, subroot, root): the way on from them.
     """
     rows = ranged(leaves.withColumn("o", F.struct("o", "digest", F.monotonically_increasing_id().alias("row"))), ["k", "o"])
-    levels, made = [], [cut(fold_leaves(rows, arity, height))]
+    nodes, to = fold_leaves(rows, arity, height)
+    levels, made = [], [cut(nodes)]
     largest = made[0].where("not top").agg(F.max("n")).first()[0]
     while largest and (not levels or nodes_at(largest, levels[-1], arity) > 1):
-        levels.append((levels[-1] if levels else height) + ROUND)
+        levels.append(levels[-1] + ROUND if levels else to)
         made.append(cut(climb(made[-1].where("not top"), arity, levels[-1])))
     tops = made[0].where("top")
     for m in made[1:]:

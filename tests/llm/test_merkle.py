@@ -71,7 +71,7 @@ def test_op11_equals_brute_force(spark, sf):
 @pytest.mark.parametrize(("arity", "height", "parts"), [(3, 1, 7), (3, 2, 5), (2, 1, 9), (5, 3, 3), (3, 8, 4)])
 def test_trees_of_any_height_over_many_partitions(spark, arity, height, parts):
     """One source holds two thirds of all rows; several rounds of the frontier are needed."""
-    rows = [(i, "hot" if i % 3 else f"s{i % 40}", "en", i, f"text {i}\nend") for i in range(1500)]
+    rows = [(i, "hot" if i % 3 else f"s{i % 40}", "en", i, f"text {i}\nend") for i in range(1500)] + [(i, "full and one", "en", i, "t") for i in range(3**6 + 1)] + [(i, "two to the ninth and one", "en", i, "t") for i in range(2**9 + 1)]
     spark.conf.set("spark.sql.shuffle.partitions", parts)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
