@@ -15,6 +15,20 @@ def aligned_unnest(df: DataFrame, arrays: Sequence[str], names: Sequence[str]) -
     return rows.dropna(subset=list(names))
 
 
+def strip_count(c: Column) -> Column:
+    """A type code without the number behind it: ADT1 is ADT."""
+    return F.regexp_extract(c, r"^(.*?)[0-9]*$", 1)
+
+
+def amounts_of_type(df: DataFrame, requested: str, answered: str, amounts: str, kind: str, require_request: bool = True) -> DataFrame:
+    """One row per position at which ``kind`` was answered (and, unless ``require_request`` is off, asked for), with columns requested, answered, amount and whether both types differ."""
+    rows = aligned_unnest(df, [requested, answered, amounts], ["requested", "answered", "amount"])
+    asked = strip_count(F.col("requested"))
+    rows = rows.where(F.col("answered") == kind)
+    rows = rows.where(F.col("requested").startswith(kind)) if require_request else rows
+    return rows.withColumn("differs", asked != F.col("answered"))
+
+
 def only(arr: Column, value: str) -> Column:
     """Every element is ``value``; true for an empty array, null for a null one."""
     return F.size(F.array_remove(arr, value)) == 0

@@ -77,3 +77,23 @@ def subset_summary(df: DataFrame, subsets: Mapping[str, Column], search: str) ->
 def search_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct column combinations, without rows that hold a null and with them."""
     return df.agg(F.count_distinct(*columns).alias("searches_non_null"), F.count_distinct(F.struct(*columns)).alias("searches"))
+
+
+def correlations(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """Every pair of columns (a before b as listed): Pearson correlation and number of rows that know both, all in one partial aggregate; null where either doesn't vary."""
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
+    aggs = []
+    for i, (a, b) in enumerate(pairs):
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        x, y = F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
+        aggs += [F.covar_pop(x, y).alias(f"_c{i}"), F.stddev_pop(x).alias(f"_x{i}"), F.stddev_pop(y).alias(f"_y{i}"), F.count(x).alias(f"_n{i}")]
+    spread = lambda i: F.col(f"_x{i}") * F.col(f"_y{i}")
+    rows = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.when(spread(i) > 0, F.col(f"_c{i}") / spread(i)).alias("corr"), F.col(f"_n{i}").alias("n")) for i, (a, b) in enumerate(pairs)]
+    return df.groupBy(*keys).agg(*aggs).select(*keys, F.explode(F.array(*rows)).alias("e")).select(*keys, "e.*")
+
+
+def matrix(pairs: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """Correlations as a matrix: one row per column, one column per column; 1 on the diagonal where a column varies with any other."""
+    both = pairs.select(*keys, "a", "b", "corr").unionByName(pairs.select(*keys, F.col("b").alias("a"), F.col("a").alias("b"), "corr"))
+    known = both.where("corr is not null").select(*keys, "a", F.col("a").alias("b"), F.lit(1.0).alias("corr")).distinct()
+    return both.unionByName(known).groupBy(*keys, F.col("a").alias("column")).pivot("b", list(columns)).agg(F.max("corr"))

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from . import ranks
+
 
 def with_errors(df: DataFrame, predicted: str, actual: str) -> DataFrame:
     err = F.col(predicted) - F.col(actual)
@@ -13,11 +15,15 @@ def with_errors(df: DataFrame, predicted: str, actual: str) -> DataFrame:
 
 
 def error_stats(df: DataFrame, keys: Sequence[str] = (), market: str | None = None, approx: bool = False) -> DataFrame:
-    """Count, mean, deviation, extremes and median of the percentage error, in one aggregate."""
+    """Count, mean, deviation, extremes and median of the percentage error; the median is exact by selection over range partitions, or approximate."""
     x = F.col("abs_pct_err")
-    median = F.percentile_approx(x, F.lit(0.5), F.lit(100)) if approx else F.percentile(x, F.lit(0.5))
-    aggs = [F.count(x).alias("n"), F.avg(x).alias("mape"), F.stddev(x).alias("std"), F.min(x).alias("least"), F.max(x).alias("most"), median.alias("median")]
-    return df.groupBy(*keys).agg(*aggs, *([F.count_distinct(market).alias("markets")] if market else []))
+    aggs = [F.count(x).alias("n"), F.avg(x).alias("mape"), F.stddev(x).alias("std"), F.min(x).alias("least"), F.max(x).alias("most")]
+    distinct = [F.count_distinct(market).alias("markets")] if market else []
+    if approx:
+        return df.groupBy(*keys).agg(*aggs, F.percentile_approx(x, F.lit(0.5), F.lit(100)).alias("median"), *distinct)
+    rows = ranks.kept(df.select(*dict.fromkeys([*keys, *([market] if market else []), "abs_pct_err"])))
+    out = ranks.with_quantiles(rows.groupBy(*keys).agg(*aggs, *distinct), rows, "abs_pct_err", {"median": 0.5}, keys)
+    return out.select(*keys, "n", "mape", "std", "least", "most", "median", *(["markets"] if market else []))
 
 
 def within(df: DataFrame, keys: Sequence[str], pct: float) -> DataFrame:
@@ -26,12 +32,13 @@ def within(df: DataFrame, keys: Sequence[str], pct: float) -> DataFrame:
 
 
 def regression_metrics(df: DataFrame, predicted: str, actual: str) -> DataFrame:
-    """R2, MAE, median absolute error and MAPE in one pass."""
+    """R2, MAE, median absolute error (exact, by selection over range partitions) and MAPE."""
     p, a = F.col(predicted), F.col(actual)
-    return df.agg(
-        (1 - F.try_divide(F.sum((p - a) ** 2), F.var_pop(a) * F.count(a))).alias("r2"), F.avg(F.abs(p - a)).alias("mae"),
-        F.percentile(F.abs(p - a), F.lit(0.5)).alias("mdae"), F.avg(F.try_divide(100 * F.abs(p - a), a)).alias("mape"),
+    rows = ranks.kept(df.select(p.alias(predicted), a.alias(actual), F.abs(p - a).alias("_off")))
+    whole = rows.agg(
+        (1 - F.try_divide(F.sum((p - a) ** 2), F.var_pop(a) * F.count(a))).alias("r2"), F.avg(F.abs(p - a)).alias("mae"), F.avg(F.try_divide(100 * F.abs(p - a), a)).alias("mape")
     )
+    return ranks.with_quantiles(whole, rows, "_off", {"mdae": 0.5}).select("r2", "mae", "mdae", "mape")
 
 
 def restriction_grid(df: DataFrame, ratios: Sequence[float], ranks: Sequence[int]) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 
@@ -37,6 +40,51 @@ def trailing_days(df: DataFrame, keys: Sequence[str], day: str, value: str, days
     return df.withColumn("trail_days_mean", F.avg(value).over(W.partitionBy(*keys).orderBy(seconds).rangeBetween(-days, -1)))
 
 
+def trailing_days_median(df: DataFrame, keys: Sequence[str], day: str, value: str, days: int, block_days: int = 256, name: str = "trail_days_median") -> DataFrame:
+    """Median over the ``days`` calendar days before this row's day; same-day rows stay out, null where there is none.
+
+    A key's values are counted per day and dealt to blocks of days, each with the days before it that it needs; a
+    sorted array is slid over a block's days, so a day's values are merged in once and out once. The days' medians
+    then meet the rows by key and day. A hot key is spread over its blocks.
+    """
+    named = [f"_k{i}" for i in range(len(keys))]
+    number = F.unix_date(day)
+    counts = df.where(F.col(day).isNotNull()).groupBy(*(F.col(k).alias(n) for k, n in zip(keys, named, strict=True)), number.alias("_day"), F.col(value).cast("double").alias("_value")).agg(F.count("*").alias("_n"))
+    own, last = F.floor(F.col("_day") / block_days).cast("long"), F.floor((F.col("_day") + days) / block_days).cast("long")
+    dealt = counts.withColumn("_block", F.explode(F.sequence(own, last)))
+    kinds = dict(counts.dtypes)
+
+    def slide(pdf: pd.DataFrame) -> pd.DataFrame:
+        block = pdf["_block"].iloc[0]
+        number, x, n = (pdf[c].to_numpy() for c in ("_day", "_value", "_n"))
+        at, known = np.unique(number), ~np.isnan(x)
+        order = np.lexsort((x[known], number[known]))
+        values, of_day = np.repeat(x[known][order], n[known][order]), np.repeat(number[known][order], n[known][order])
+        seen = np.unique(of_day)
+        per_day = dict(zip(seen.tolist(), np.split(values, np.searchsorted(of_day, seen)[1:]), strict=True)) if len(seen) else {}
+        held, inside, waiting, out = np.empty(0), deque(), deque(seen.tolist()), []
+        wanted = at[at // block_days == block].tolist()
+        for d in wanted:
+            while waiting and waiting[0] < d:
+                e = waiting.popleft()
+                held = np.insert(held, np.searchsorted(held, per_day[e]), per_day[e])
+                inside.append(e)
+            while inside and inside[0] < d - days:
+                gone = per_day[inside.popleft()]
+                ties = np.arange(len(gone)) - np.searchsorted(gone, gone)  # the n-th of equal values goes with the n-th held
+                held = np.delete(held, np.searchsorted(held, gone) + ties)
+            half = len(held) // 2
+            out.append(None if not len(held) else float(held[half]) if len(held) % 2 else float(held[half - 1] + held[half]) / 2)
+        key = {c: pd.Series([pdf[c].iloc[0]] * len(wanted), dtype=object) for c in named}
+        return pd.DataFrame({**key, "_day": wanted, "_median": pd.array(out, dtype="Float64")})
+
+    found = dealt.groupBy(*named, "_block").applyInPandas(slide, "".join(f"{n} {kinds[n]}, " for n in named) + "_day int, _median double")
+    same = number == F.col("_day")
+    for k, n in zip(keys, named, strict=True):
+        same = same & F.col(k).eqNullSafe(F.col(n))
+    return df.join(found, same, "left").drop(*named, "_day").withColumnRenamed("_median", name)
+
+
 def estimate_from_shift(df: DataFrame, prev: str, prev_change: str, trail: str) -> DataFrame:
     """Neighbour's value plus its last change, else the trailing mean."""
     return df.withColumn("estimate", F.coalesce(F.col(prev) + F.col(prev_change), F.col(trail)))

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from . import ranks
+
 
 def lowest_per_group(df: DataFrame, keys: Sequence[str], search: str, value: str) -> DataFrame:
     """Distinct searches, rows and least value per group."""
@@ -21,22 +23,24 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: str, ties: Sequenc
 def value_ranks(df: DataFrame, keys: Sequence[str], value: str, search: str, most: int = 3, approx: bool = False) -> DataFrame:
     """Dense rank of the value up to ``most``, with whole-group counts of searches and rows.
 
-    Ranks are found on distinct values, of which each task hands on ``most`` per group, and counts by partial
-    aggregation; rows then meet both by key, so no task gathers a hot group. Null values rank first.
+    The rows are computed once and kept. Ranks are found on distinct values, of which each task hands on
+    ``most`` per group, and counts by partial aggregation; ranks take the counts along and meet the rows by key, so
+    no task gathers a hot group. Null values rank first.
     """
+    df = ranks.kept(df)
     named = [f"_k{i}" for i in range(len(keys))]
     distinct = df.select(*(F.col(k).alias(n) for k, n in zip(keys, named, strict=True)), F.col(value).alias("_value")).distinct()
-    ranks = distinct.withColumn("value_rank", F.row_number().over(W.partitionBy(*named).orderBy("_value"))).where(F.col("value_rank") <= most)
+    ranked = distinct.withColumn("value_rank", F.row_number().over(W.partitionBy(*named).orderBy("_value"))).where(F.col("value_rank") <= most)
     same = F.col(value).eqNullSafe(F.col("_value"))
     for k, n in zip(keys, named, strict=True):
         same = same & F.col(k).eqNullSafe(F.col(n))
-    kept = df.join(ranks, same).drop(*named, "_value")
     searches = F.approx_count_distinct(search) if approx else F.count_distinct(search)
-    totals = df.groupBy(*(F.col(k).alias(n) for k, n in zip(keys, named, strict=True))).agg(searches.alias("group_searches"), F.count("*").alias("group_rows"))
+    totals = df.groupBy(*(F.col(k).alias(f"_t{i}") for i, k in enumerate(keys))).agg(searches.alias("group_searches"), F.count("*").alias("group_rows"))
     here = F.lit(True)
-    for k, n in zip(keys, named, strict=True):
-        here = here & F.col(k).eqNullSafe(F.col(n))
-    return kept.join(totals, here).drop(*named)
+    for i, n in enumerate(named):
+        here = here & F.col(n).eqNullSafe(F.col(f"_t{i}"))
+    whole = ranked.join(totals, here).drop(*(f"_t{i}" for i in range(len(keys))))  # ``most`` rows a group
+    return df.join(whole, same).drop(*named, "_value")
 
 
 def rank_panel(df: DataFrame, keys: Sequence[str], value: str, carrier: str) -> DataFrame:

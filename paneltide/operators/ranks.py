@@ -19,10 +19,15 @@ KINDS: dict[str, tuple[Callable, Callable, Callable, Callable]] = {
 }
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared folder, for those who read it several times."""
+    readers.scratch_folder(df.sparkSession)
+    return df.checkpoint()
+
+
 def ranged(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     """``df`` in range partitions by ``order``, sorted in each, with the partition's number ``_part``; kept in the shared folder, so that the borders are the same for whoever reads it."""
-    readers.scratch_folder(df.sparkSession)
-    return df.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint().withColumn("_part", F.spark_partition_id())
+    return kept(df.repartitionByRange(*order).sortWithinPartitions(*order)).withColumn("_part", F.spark_partition_id())
 
 
 def _both(join: Callable, a: Column, b: Column) -> Column:
@@ -79,6 +84,29 @@ def placed(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
     return up_to.join(whole, same).drop(*(f"_key{i}" for i in range(len(keys))))
 
 
+def quantiles(df: DataFrame, value: str, probabilities: Mapping[str, float], keys: Sequence[str] = ()) -> DataFrame:
+    """Exact quantiles (name -> probability) with interpolation, per key: the values at the wanted places are picked from ``placed``, so no task holds a key's values. Keys without values are left out; without keys there is one row at any rate."""
+    spots = placed(df, value, keys)
+    at = lambda place: F.max(F.when((F.col("less") <= place) & (place < F.col("less") + F.col("n")), F.col(value).cast("double")))
+    aggs, picks = [F.max("total").alias("_total")], []
+    for i, (name, q) in enumerate(probabilities.items()):
+        place = F.lit(float(q)) * (F.col("total") - 1)
+        aggs += [at(F.floor(place)).alias(f"_lo{i}"), at(F.ceil(place)).alias(f"_hi{i}")]
+        share = F.lit(float(q)) * (F.col("_total") - 1)
+        picks.append((F.col(f"_lo{i}") + (share - F.floor(share)) * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(name))
+    return spots.groupBy(*keys).agg(*aggs).select(*keys, *picks)
+
+
+def with_quantiles(groups: DataFrame, df: DataFrame, value: str, probabilities: Mapping[str, float], keys: Sequence[str] = ()) -> DataFrame:
+    """``groups`` (a row per key) with quantiles of ``df`` beside it; null for keys without values."""
+    found = quantiles(df, value, probabilities, keys)
+    if not keys:
+        return groups.crossJoin(F.broadcast(found))  # one row
+    named = [f"_key{i}" for i in range(len(keys))]
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, named, strict=True)))
+    return groups.join(found.select(*(F.col(k).alias(n) for k, n in zip(keys, named, strict=True)), *probabilities), same, "left").drop(*named)
+
+
 def score_against(df: DataFrame, value: str, sample: DataFrame, sample_value: str, keys: Sequence[str] = ()) -> DataFrame:
     """``df`` with the percentile of each row's value among the sample (of its key): share of the sample below it (``strict``), up to it (``weak``), and their mean (``score``), times 100.
 

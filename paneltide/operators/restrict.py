@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from . import ranks
+
 
 def within_days(df: DataFrame, lead: str, stay: str, lead_range: tuple[int, int], stay_range: tuple[int, int], slack: int = 0) -> DataFrame:
     """Lead days in range, and stay in range or missing; ``slack`` widens the upper ends for shifted features."""
@@ -43,11 +45,21 @@ def ratio_filter(df: DataFrame, keys: Sequence[str], value: str, most: float, ce
 
     With ``least_count``, only rows that are over it and also counted fewer than ``least_count`` times go.
     """
-    middle = {"mean": F.avg(value), "median": F.percentile(value, F.lit(0.5)), "approx_median": F.percentile_approx(value, F.lit(0.5), F.lit(10_000))}[center]
-    out = with_group(df, keys, middle.alias("_middle")).withColumn("ratio", F.try_divide(F.col(value), F.col("_middle"))).drop("_middle")
+    if center == "median":
+        df = ranks.kept(df)
+        joined = ranks.with_quantiles(df, df, value, {"_middle": 0.5}, keys)
+    else:
+        middle = {"mean": F.avg(value), "approx_median": F.percentile_approx(value, F.lit(0.5), F.lit(10_000))}[center]
+        joined = with_group(df, keys, middle.alias("_middle"))
+    out = joined.withColumn("ratio", F.try_divide(F.col(value), F.col("_middle"))).drop("_middle")
+    return keep_below(out, most, counts, least_count)
+
+
+def keep_below(df: DataFrame, most: float, counts: str | None = None, least_count: int = 0) -> DataFrame:
+    """Rows with a ``ratio`` under ``most``; with ``least_count``, a row over it goes only if it was counted fewer times."""
     if least_count == 0:
-        return out.where(F.col("ratio") < most)
-    return out.where(~((F.col("ratio") >= most) & (F.col(counts) < least_count)))
+        return df.where(F.col("ratio") < most)
+    return df.where(~((F.col("ratio") >= most) & (F.col(counts) < least_count)))
 
 
 def previous_ratio_filter(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, most: float) -> DataFrame:
@@ -84,5 +96,6 @@ def top_by_volume(df: DataFrame, keys: Sequence[str], volume: str, most: int) ->
 
 def percentile_clip(df: DataFrame, keys: Sequence[str], value: str, low: float, high: float, counts: str, most_count: int) -> DataFrame:
     """Rows at or above the low percentile; rows above the high one go only if counted ``most_count`` times or fewer."""
-    bounds = df.groupBy(*keys).agg(F.percentile(value, F.lit(low)).alias("_lo"), F.percentile(value, F.lit(high)).alias("_hi"))
+    df = ranks.kept(df)
+    bounds = ranks.quantiles(df, value, {"_lo": low, "_hi": high}, keys)
     return df.join(bounds, list(keys)).where((F.col(value) >= F.col("_lo")) & ~((F.col(value) > F.col("_hi")) & (F.col(counts) <= most_count))).drop("_lo", "_hi")

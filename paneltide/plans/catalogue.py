@@ -399,10 +399,12 @@ def int_dates(spark, d):
 
 
 @query("""
-SELECT service_day, stay, CAST(service_day - lead AS DATE) AS seen_day FROM (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-02-15', INTERVAL 1 DAY)) AS DATE) AS service_day),
-       (SELECT unnest([3, 7, 14]) AS stay), (SELECT unnest(range(1, 31))::INTEGER AS lead)""")
+SELECT service_day, stay, CAST(service_day - lead AS DATE) AS seen_day FROM (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS service_day FROM user_days),
+       (SELECT unnest([3, 7, 14]) AS stay), (SELECT unnest(range(1, 31))::INTEGER AS lead)""", USER_DAYS_SQL)
 def date_grid(spark, d):
-    return panel.date_grid(spark, "2024-01-01", "2024-02-15", [3, 7, 14], 30)
+    """The grid over the days that the events span."""
+    first, last = readers.bounds(user_days(spark, d), "day")
+    return panel.date_grid(spark, str(first), str(last), [3, 7, 14], 30)
 
 
 _GRID = f"""{USER_DAYS_SQL},

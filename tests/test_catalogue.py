@@ -19,7 +19,7 @@ def test_models_predict(spark, name):
 
     rows = catalogue.QUERIES[name](spark, SF).collect()
     _, test = regression.split(catalogue._features(spark, SF), ["market", "shop_date"])
-    assert sum(r.n for r in rows) >= (0.9 if name == "model_per_market" else 1) * test.count() > 0
+    assert sum(r.n for r in rows) >= (0.9 if name in ("model_per_market", "model_elastic_net") else 1) * test.count() > 0
     own = sorted(r.median for r in rows)
     assert 0 < own[len(own) // 2] < 150 and all(r.least <= r.median <= r.most for r in rows)
 
@@ -37,7 +37,7 @@ def test_filters_reach_the_scan(spark):
 
 def test_no_python_in_plans(spark):
     for name in catalogue.SQL:
-        if name == "market_trend":  # its small systems are solved by numpy
+        if name in ("market_trend", "elastic_net_slopes", "cv_block_folds", "cv_masked_folds", "trailing_median"):  # small systems are solved, and sorted days slid over, by numpy
             continue
         plan = catalogue.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Pandas" not in plan, name

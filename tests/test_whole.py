@@ -41,7 +41,7 @@ def test_left_join_on_the_whole_nation_table(spark):
 
 
 #: Queries of which a lead range is the subject.
-BY_LEAD = {"coverage_dtd_los", "coverage_oneway", "coverage_expected", "coverage_pos_summary", "coverage_pivot", "dtd_los_filter", "summary_lookup", "subset_summary", "coverage_lead_grid", "model_rows"}
+BY_LEAD = {"coverage_dtd_los", "coverage_oneway", "coverage_expected", "coverage_pos_summary", "coverage_pivot", "dtd_los_filter", "summary_lookup", "subset_summary", "coverage_lead_grid", "coverage_adjusted", "model_rows"}
 
 
 @pytest.mark.parametrize("name", sorted(set(catalogue.SQL) - BY_LEAD))
