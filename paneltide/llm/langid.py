@@ -123,6 +123,18 @@ class CrossParser:
                 if c != OTHER:
                     self.first[k, c] = starts[k] + t
         self.first = self.first.ravel()
+        #: roughness (further phrases per character) up to which a language explains a long text
+        self.limits = np.full(len(self.languages), 1.0)
+
+    def fit_limits(self, held: dict[str, list[str]], quantile: float = 0.9, least_chars: int = 256) -> None:
+        """Limits halfway between what unseen text of each language needs and a phrase per character; without such text a language takes the most lenient limit of the others."""
+        known = {}
+        for lang in self.languages:
+            coded = [x for x in map(self.encode, held.get(lang, [])) if len(x) >= least_chars]
+            if coded:
+                own = self.phrases(coded)[:, self.languages.index(lang)]
+                known[lang] = (1 + np.quantile((own - 1) / [len(x) for x in coded], quantile)) / 2
+        self.limits = np.array([known.get(lang, max(known.values(), default=1.0)) for lang in self.languages])
 
     def encode(self, text: str) -> np.ndarray:
         c = self.codes[np.frombuffer(text.lower().encode("utf-32-le", "replace"), "<u4")]
@@ -187,7 +199,7 @@ class CrossParser:
         return out
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
-        """Languages, scores (share of bits saved against the next best), and further phrases per character."""
+        """Languages, scores (share of bits saved against the next best), and by how much further phrases per character exceed the language's limit, plus two deviations of a text of that length."""
         spoken = [any(map(str.isalpha, t or "")) for t in texts]
         coded = [self.encode(t) if s else np.empty(0, np.int32) for t, s in zip(texts, spoken, strict=True)]
         counts = self.phrases(coded)
@@ -203,14 +215,17 @@ class CrossParser:
             rest = np.delete(bits, best)
             langs.append(self.languages[best])
             scores.append(float(1 - bits[best] / rest.min()) if len(rest) else 1.0)
-            rough.append(float((n[best] - 1) / len(x)) if len(x) >= 12 else 0.0)  # a shorter text says little
+            limit = self.limits[best]
+            rough.append(float((n[best] - 1) / len(x) - limit - 2 * np.sqrt(limit * (1 - limit) / len(x))))
         return langs, scores, rough
 
 
-def samples_of(docs: DataFrame, per_language: int = 64, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", exclude: str = "false") -> dict[str, list[str]]:
-    """Per language, slices of 1024 characters of the texts of the ``per_language`` labelled ids of least hash, in turn.
+def slices_of(docs: DataFrame, per_language: int = 64, size: int = 1024, per_text: int = 8, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", exclude: str = "false") -> dict[str, list[list[str]]]:
+    """Per language the ``per_language`` labelled ids of least hash, each as up to ``per_text`` slices of ``size`` characters.
 
-    No text is too long or too short to be sampled. Ids are chosen first, so texts aren't sorted or moved.
+    Slices are spread over the whole text, its end included, and begin at a place that the id's hash picks, so
+    that what all texts begin with doesn't fill the sample. No text is too long or too short to be sampled. Ids
+    are chosen first, so texts aren't sorted or moved.
     """
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & (F.length(text_col) > 0) & ~F.expr(exclude))
     order = W.partitionBy("lang").orderBy("h", "id")
@@ -219,27 +234,43 @@ def samples_of(docs: DataFrame, per_language: int = 64, id_col: str = "doc_id",
         .withColumn("r", F.dense_rank().over(order)).where(F.col("r") <= per_language).select("lang", "id").distinct()
     )
     ids = sorted({r["id"] for r in chosen.collect()})
-    slice_, most = 1024, 8192
+    n = F.least(F.lit(per_text), F.ceil(F.length(text_col) / size)).cast("int")
+    begin = lambda i: F.when(n > 1, F.floor(i * (F.length(text_col) - size) / F.greatest(n - 1, F.lit(1)))).otherwise(0).cast("int") + 1
+    cut_up = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(F.col(text_col), begin(i), F.lit(size)))
     rows = (
         labelled.where(F.col(id_col).isin(ids)).groupBy(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"))
-        .agg(F.min(F.substring(text_col, 1, most)).alias("text")).withColumn("h", F.xxhash64("id")).collect() if ids else []
+        .agg(F.min(cut_up).alias("slices")).withColumn("h", F.xxhash64("id")).collect() if ids else []
     )
-    samples: dict[str, list[str]] = {}
-    own: dict[str, list[str]] = {}
+    out: dict[str, list[list[str]]] = {}
     for r in sorted(rows, key=lambda r: (r["lang"], r["h"], r["id"])):
-        own.setdefault(r["lang"], []).append(r["text"])
-    for lang, texts in own.items():
-        samples[lang] = [t[a : a + slice_] for a in range(0, most, slice_) for t in texts if len(t) > a]
-    return samples
+        first = r["h"] % len(r["slices"])
+        out.setdefault(r["lang"], []).append(r["slices"][first:] + r["slices"][:first])
+    return out
+
+
+def samples_of(docs: DataFrame, per_language: int = 64, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", exclude: str = "false") -> dict[str, list[str]]:
+    """What languages are learnt from: of each sampled text but every fourth a slice, then a second one, and so on."""
+    return {lang: in_turn(learnt(texts)) for lang, texts in slices_of(docs, per_language, id_col=id_col, text_col=text_col, lang_col=lang_col, exclude=exclude).items()}
+
+
+def learnt(texts: list[list[str]]) -> list[list[str]]:
+    return [t for k, t in enumerate(texts) if k % 4 != 3]
+
+
+def in_turn(texts: list[list[str]]) -> list[str]:
+    return [t[j] for j in range(max(map(len, texts), default=0)) for t in texts if j < len(t)]
 
 
 def train(docs: DataFrame, per_language: int = 64, max_chars: int = 16_384, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", exclude: str = "false") -> CrossParser:
-    """Fit on a bounded sample: ``max_chars`` characters of each language's slices."""
-    return CrossParser(samples_of(docs, per_language, id_col, text_col, lang_col, exclude), max_chars)
+    """Fit on a bounded sample: ``max_chars`` characters of each language's slices; every fourth text is kept to fit the language's limit."""
+    sliced = slices_of(docs, per_language, id_col=id_col, text_col=text_col, lang_col=lang_col, exclude=exclude)
+    model = CrossParser({lang: in_turn(learnt(texts)) for lang, texts in sliced.items()}, max_chars)
+    model.fit_limits({lang: in_turn(texts[3::4]) for lang, texts in sliced.items()})
+    return model
 
 
 def identify(docs: DataFrame, model: CrossParser, text_col: str = "text", out: Sequence[str] = ("lang_pred", "score")) -> DataFrame:
-    """``docs`` with more columns: predicted language, score (share of bits saved against the next best) and, if three are named, further phrases per character.
+    """``docs`` with more columns: predicted language, score (share of bits saved against the next best) and, if three are named, how far the text is beyond its language's limit.
 
     Columns of ``docs`` that already have these names are replaced.
     """
@@ -263,13 +294,14 @@ def identify_held_out(docs: DataFrame) -> DataFrame:
     return identify(docs.select("doc_id", F.expr(held).alias("held_out"), "text"), train(docs, exclude=held)).select("doc_id", "held_out", "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, most_rough: float = 0.55) -> DataFrame:
+def keep_identified(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` that some language explains; the columns stay as they are.
 
-    Texts without letters go, and those that the best language can only parse into pieces that are on average
-    shorter than 1 / ``most_rough`` characters, the first piece not counted. Close seconds don't matter, and
-    letters in texts of fewer than 12 characters are taken as they are.
+    Texts without letters go, and those that the best language can only parse into far shorter pieces than text
+    of that language outside its sample: beyond halfway to single characters, and by more than two deviations for
+    the text's length. So dense scripts and short texts, of which little can be said, stay; close seconds don't
+    matter.
     """
-    lang, score, rough = (unused(docs, n) for n in ("lang_pred", "lang_score", "lang_rough"))
-    found = identify(docs, train(docs), out=(lang, score, rough))
-    return found.where((F.col(lang) != "und") & (F.col(rough) <= most_rough)).drop(lang, score, rough)
+    lang, score, excess = (unused(docs, n) for n in ("lang_pred", "lang_score", "lang_excess"))
+    found = identify(docs, train(docs), out=(lang, score, excess))
+    return found.where((F.col(lang) != "und") & (F.col(excess) <= 0)).drop(lang, score, excess)
