@@ -3,12 +3,13 @@
 A page is read once, in linear time, into text nodes: one per block of text, with its root-to-leaf path of
 block tags. Per path, text length and punctuation are aggregated over the page; both ratios per node and the
 path's share of text are fused into its score, link text counting for nothing and paths that the markup marks as menu,
-advert, comments and the like for nothing either (the only use of markup hints). Scores are smoothed over
+advert, comments and the like for nothing either (the only use of markup hints; a hint on what holds nearly all of
+the page's text says nothing, and class names count as whole: ``has-sidebar`` or ``alert-fatigue`` are no hints). Scores are smoothed over
 the containers of the tree: a node takes over the mean score of the text that stands directly in its
 container or in one around it, and a heading the score of what follows it there. Nodes whose smoothed score
 reaches a share of the page's mean are the content; nothing else selects or drops a node.
 
-Inline tags are transparent; text of one block is one line. Nesting beyond ``DEEPEST`` open blocks is read flat.
+Inline tags are transparent; text of one block is one line. Nesting is read to any depth.
 
 Defined results: null or empty html gives an empty text of 0 characters; malformed, unclosed or
 mis-nested tags are read leniently (a tag without an end drops the rest, as in browsers); very long or deep
@@ -51,12 +52,30 @@ _MARKS = frozenset(
     "cookie cookies consent gdpr notice notices alert warning comment comments disqus reply replies share sharing social related recommended breadcrumb breadcrumbs "
     "newsletter subscribe subscription signup login popup modal overlay widget toolbar pagination pager masthead topbar copyright".split()
 )
+#: Words that class names of such parts also hold; a name with any other word (``has``, ``policy``) is no hint.
+_PLAIN = frozenset(
+    "site page main global top bottom left right upper lower primary secondary inner outer box block bar list item items links link buttons button icons icon wrapper wrap container "
+    "content area section group panel row column col header heading title body form nav text slot unit zone message messages pane region menu view desktop mobile".split()
+)
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
 _INSIDE = re.compile(r"[^>\"']*")
 _NAMED = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 _WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _PUNCT = re.compile(r"[,.;:!?…。，、；：！？¿¡]")
-DEEPEST = 256
+#: Open blocks among which an element is looked for that a new one of its kind ends.
+NEAR = 256
+#: Share of the page's plain text beyond which a hint says nothing.
+WHOLE = 0.9
+
+
+def _names(value: str, inside_article: bool) -> bool:
+    """Whether a class or id names what isn't article text: a word that does, and none that isn't plain beside it."""
+    for name in value.split():
+        words = {w.lower() for w in _WORDS.findall(name)}
+        hints = words & _MARKS or words & {"header"} and not inside_article
+        if hints and words <= _MARKS | _PLAIN:
+            return True
+    return False
 
 
 def _marked(tag: str, attributes: str, inside_article: bool) -> bool:
@@ -69,8 +88,7 @@ def _marked(tag: str, attributes: str, inside_article: bool) -> bool:
         if name == "role" and value.lower() in _ROLES:
             return True
         if name in ("class", "id") and tag not in ("html", "body", "main", "article"):
-            words = {w.lower() for w in _WORDS.findall(value)}
-            if words & _MARKS or ("header" in words and not inside_article):
+            if _names(value, inside_article):
                 return True
     return False
 
@@ -160,11 +178,12 @@ class Page:
     """Text nodes and block elements of a page; elements are numbered in page order, so parents come first."""
 
     def __init__(self, page: str):
-        self.nodes: list[Node] = []
+        read: list[tuple[int, int, str]] = []  # element, plain characters, text
+        hinted = [False]
         #: per element: parent, tag, path, marked, nearest group (itself or around it)
         self.parent, self.tag, self.path, self.marked, self.group = [0], [""], [0], [False], [0]
         self.paths: dict[tuple[int, str, bool], int] = {}
-        stack, open_, flat = [0], Counter(), Counter()
+        stack, open_ = [0], Counter()
         parts: list[tuple[str, bool]] = []
         links = articles = 0
 
@@ -175,8 +194,7 @@ class Page:
             if text:
                 linked = sum(len(t) for t, a in parts if a)
                 plain = len(text) if not linked else max(0, len(text) - len(" ".join(entities.unescape("".join(t for t, a in parts if a)).split())))
-                e = stack[-1]
-                self.nodes.append(Node(self.path[e], e, self.tag[e] in _HEADINGS, plain, text))
+                read.append((stack[-1], plain, text))
             parts.clear()
 
         def pop_to(i: int) -> None:
@@ -197,9 +215,7 @@ class Page:
                 continue
             flush()
             if closing:
-                if flat[tag]:
-                    flat[tag] -= 1
-                elif open_[tag]:
+                if open_[tag]:
                     i = len(stack) - 1
                     while self.tag[stack[i]] != tag:
                         i -= 1
@@ -208,7 +224,7 @@ class Page:
             if self.tag[stack[-1]] == "p":
                 pop_to(len(stack) - 1)
             if tag in _ENDS and any(open_[t] for t in _ENDS[tag]):
-                for i in range(len(stack) - 1, 0, -1):
+                for i in range(len(stack) - 1, max(0, len(stack) - 1 - NEAR), -1):
                     own = self.tag[stack[i]]
                     if own in _ENDS[tag]:
                         pop_to(i)
@@ -218,21 +234,27 @@ class Page:
                         break
             if tag in _VOID:
                 continue
-            if len(stack) > DEEPEST:
-                flat[tag] += 1
-                continue
             up = stack[-1]
-            marked = self.marked[up] or _marked(tag, attributes, articles > 0)
+            hinted.append(_marked(tag, attributes, articles > 0))
             stack.append(len(self.tag))
             open_[tag] += 1
             articles += tag in ("article", "main")
             self.parent.append(up)
             self.tag.append(tag)
-            self.path.append(self.paths.setdefault((self.path[up], tag, marked), len(self.paths) + 1))
-            self.marked.append(marked)
             self.group.append(stack[-1] if tag in _GROUPS else self.group[up])
         flush()
 
+        held = [0] * len(self.tag)  # plain characters below each element
+        for e, plain, _ in read:
+            held[e] += plain
+        for e in range(len(held) - 1, 0, -1):
+            held[self.parent[e]] += held[e]
+        for e in range(1, len(held)):
+            up = self.parent[e]
+            self.marked.append(self.marked[up] or hinted[e] and (held[e] <= WHOLE * held[0] or held[e] == 0))
+            self.path.append(self.paths.setdefault((self.path[up], self.tag[e], self.marked[e]), len(self.paths) + 1))
+        self.nodes = [Node(self.path[e], e, self.tag[e] in _HEADINGS, plain, text) for e, plain, text in read]
+
 
 def path_scores(page: Page) -> np.ndarray:
     """Fused tag-path ratio of each node: mean length by mean punctuation of its path by the root of its share of text; 0 where it's marked."""
