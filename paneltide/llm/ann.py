@@ -7,7 +7,8 @@ to a list already chosen than to the vector. Centroids are searched, for vectors
 a beam over an in-memory neighbour graph with a layer of entry points above it. A query scans the lists
 whose centroids lie within a distance ratio of its nearest one; that ratio is fitted on the sample so that
 the lists hold a target share of true neighbours. Lists are stored and scanned in blocks, and both sides of
-a popular list are split, so that no task grows with the input.
+a popular list are split, so that no task grows with the input. Queries that found fewer than ``k`` others scan
+eight times more lists at any distance, and so on, in the end all.
 
 Equal rows (id and vector) are indexed once. Of identical vectors only the ``k`` + 1 of least id can be among
 the ``k`` nearest of any query, so the rest are left out before indexing; this changes no result.
@@ -151,10 +152,13 @@ class Index:
         row, j = np.nonzero(taken)
         return row, ids[row, j]
 
-    def probed(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, list) pairs: the lists that each query scans, those within ``ratio`` of its nearest centroid's distance."""
-        ids, d2 = self.graph.search(q, self.probes)
-        row, j = np.nonzero(np.sqrt(d2) <= self.ratio * np.sqrt(d2[:, :1]) + 1e-12)
+    def probed(self, q: np.ndarray, wider: int = 1) -> tuple[np.ndarray, np.ndarray]:
+        """(row, list) pairs: the lists that each query scans, those within ``ratio`` of its nearest centroid's distance. With ``wider``, so many times more lists, at any distance."""
+        most = len(self.graph.centroids)
+        if wider * self.probes >= most and wider > 1:
+            return np.repeat(np.arange(len(q)), most), np.tile(np.arange(most), len(q))
+        ids, d2 = self.graph.search(q, min(most, wider * self.probes))
+        row, j = np.nonzero(np.sqrt(d2) <= (self.ratio if wider == 1 else np.inf) * np.sqrt(d2[:, :1]) + 1e-12)
         return row, ids[row, j]
 
 
@@ -238,20 +242,18 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
     index = fit(unit(np.stack([*sample]).astype(np.float64)), number, list_size, k=k)
     shared = spark.sparkContext.broadcast(index)  # bounded: most_lists x (dim + links) numbers
 
-    def assign(find: str):
+    def assign(find: str, *options: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for whole in batches:
                 for at in range(0, whole.num_rows, 1024):
                     batch = whole.slice(at, 1024)
-                    row, to = getattr(shared.value, find)(unit(_matrix(batch.column(1), dim)))
+                    row, to = getattr(shared.value, find)(unit(_matrix(batch.column(1), dim)), *options)
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(row_ := pa.array(row)), batch.column(1).take(row_), pa.array(to, pa.int32())], ["id", "v", "list"])
 
         return run
 
     shape = f"id long, v array<{kind}>, list int"
     posted = kept.mapInArrow(assign("lists"), shape)
-    asked = rows.where(is_query).mapInArrow(assign("probed"), shape)
-
     def blocks(pairs: DataFrame, name: str) -> DataFrame:
         """Rows of about ``block`` members of a list: list, number of the block, ids, flat vectors."""
         pairs = cut(pairs)
@@ -259,10 +261,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
         placed = pairs.join(sizes, "list").withColumn("part", F.pmod(F.xxhash64("id", "v"), F.col("parts")).cast("int"))
         return placed.groupBy("list", "part").agg(F.first("parts").alias(f"{name}_parts"), F.collect_list(F.struct("id", "v")).alias(name)).withColumnRenamed("part", f"{name}_part")
 
-    lists, wanted = blocks(posted, "post"), blocks(asked, "ask")
-    copies = wanted.groupBy("list").agg(F.first("ask_parts").alias("ask_parts"))
-    spread = lists.join(copies, "list").withColumn("ask_part", F.explode(F.sequence(F.lit(0), F.col("ask_parts") - 1))).drop("ask_parts")
-    pairs = spread.join(wanted.drop("ask_parts"), ["list", "ask_part"]).select("ask", "post")
+    lists = blocks(posted, "post")
+
+    def met(asked: DataFrame) -> DataFrame:
+        """Blocks of queries beside the blocks of the lists that they scan."""
+        wanted = blocks(asked, "ask")
+        copies = wanted.groupBy("list").agg(F.first("ask_parts").alias("ask_parts"))
+        spread = lists.join(copies, "list").withColumn("ask_part", F.explode(F.sequence(F.lit(0), F.col("ask_parts") - 1))).drop("ask_parts")
+        return spread.join(wanted.drop("ask_parts"), ["list", "ask_part"]).select("ask", "post")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best, fresh, waiting = Best(k), [], 0
@@ -285,6 +291,23 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
         best.add(fresh)
         yield best.emptied()
 
-    found = pairs.mapInArrow(scan, "query_id long, vec_id long, score double").distinct()
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+
+    def nearest(queries: DataFrame, wider: int) -> DataFrame:
+        found = met(queries.mapInArrow(assign("probed", wider), shape)).mapInArrow(scan, "query_id long, vec_id long, score double").distinct()
+        return cut(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score"))
+
+    # queries whose lists held too few others scan more lists, in the end all
+    queries, wider, whole = rows.where(is_query), 1, False
+    others = min(k, kept.select("id").distinct().limit(k + 1).count() - 1)
+    out = nearest(queries, wider)
+    while others > 0 and not whole:
+        full = out.groupBy(F.col("query_id").alias("id")).agg(F.count("*").alias("n")).where(F.col("n") >= others).select("id")
+        short = queries.join(full, "id", "left_anti")
+        if short.isEmpty():
+            break
+        wider *= 8
+        whole = wider * index.probes >= len(index.graph.centroids)
+        more = nearest(short, wider)
+        out = out.join(more.select("query_id").distinct(), "query_id", "left_anti").select(*more.columns).unionByName(more)
+    return out
