@@ -176,21 +176,29 @@ def compile_lexicon(entries: dict[bytes, bytes]) -> bytes:
     return b"".join([head, *arrays, offset.tobytes(), *ids, bytes(finals), bytes(labels)])
 
 
+#: Characters of the longest word or run that is cached.
+_KEPT = 128
+
+
 class _Cache(dict):
-    """Two generations of at most ``limit`` entries each: what was used since the last change of generation stays."""
+    """Two generations of at most ``limit`` entries, and ``limit`` * 256 bytes, each: what was used since the last change of generation stays. Words of over ``_KEPT`` characters are made anew each time, which costs no more than making them once did."""
 
     def __init__(self, make, limit: int):
         super().__init__()
-        self.make, self.limit, self.old = make, limit, {}
+        self.make, self.limit, self.old, self.bytes = make, limit, {}, 0
 
     def __missing__(self, word):
+        if len(word) > _KEPT:
+            return self.make(word)
         out = self.old.get(word)
         if out is None:
             out = self.make(word)
-        if len(self) >= self.limit:
-            self.old = dict(self)
+        size = 200 + 2 * len(word) + len(out)  # with the objects' own
+        if len(self) >= self.limit or self.bytes + size > 256 * self.limit:
+            self.old, self.bytes = dict(self), 0
             self.clear()
         self[word] = out
+        self.bytes += size
         return out
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .bpe import encoder
-from .common import cut
+from .common import cut, pieces
 
 
 def differencing(sizes: np.ndarray, windows: int) -> np.ndarray:
@@ -90,9 +90,9 @@ def piece_table(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, pos, step = encoder(shared.value), 0, 4 * capacity
-        for batch in batches:
+        for batch, texts in pieces(batches, "text", 1_000_000):
             out: list[tuple] = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc, text in zip(batch.column(0).to_pylist(), texts, strict=True):
                 ids = bpe.encode(text) + end
                 for at in range(0, len(ids), step):
                     piece = ids[at : at + step]
@@ -108,7 +108,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int
     found = cut(piece_table(docs, tokenizer_path, capacity, end_id, id_col, text_col))
     total = found.agg(F.sum("length")).first()[0] or 0
     groups = max(1, round(total / (group_windows * capacity)))
-    grouped = found.withColumn("part", F.pmod(F.xxhash64("doc", "pos", "ids_crc32"), F.lit(groups)))
+    grouped = found.withColumn("part", F.pmod(F.xxhash64("doc", "pos", "start", "ids_crc32"), F.lit(groups)))
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc", "pos", "start"], kind="stable", ignore_index=True)

@@ -5,7 +5,7 @@ totals, quantiles and truncated totals for every context limit without the docum
 levels (blocks of lengths, then within a block), so no task holds all distinct lengths. Blocks widen with the
 length (a step of a logarithm), as long documents differ in length more than short ones do.
 
-Defined results: a null text has length 0; very long texts are encoded whole; rows of equal length are one
+Defined results: a null or empty text has length 0; very long texts are encoded whole; rows of equal length are one
 row of the histogram; repeated rows count each; other columns, whatever their names, are ignored; an empty
 table gives no rows.
 """
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .bpe import encoder
-from .common import cut
+from .common import cut, pieces
 
 
 def encoded_lengths(docs: DataFrame, tokenizer_path: str, text_col: str = "text") -> DataFrame:
@@ -28,8 +28,8 @@ def encoded_lengths(docs: DataFrame, tokenizer_path: str, text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(shared.value)
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([len(bpe.encode(t)) // 4 for t in batch.column(0).to_pylist()], pa.int64())], ["length"])
+        for _, texts in pieces(batches, "text", 1_000_000):
+            yield pa.RecordBatch.from_arrays([pa.array([len(bpe.encode(t)) // 4 for t in texts], pa.int64())], ["length"])
 
     return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "length long")
 
