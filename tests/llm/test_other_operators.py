@@ -1,6 +1,7 @@
 """Nearest neighbours, URL filter, quality rules, extraction, n-gram join, pipeline."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -374,7 +375,7 @@ def test_pipeline_equals_brute_force(spark):
     model = langid.train(docs)
     samples = langid.samples_of(docs)
     judged = {i: brute_predict(model, samples, r.text) for i, r in rows.items()}
-    kept = {i for i, (a, _, rough) in judged.items() if a != "und" and rough <= 0.55}
+    kept = {i for i, (a, _, excess) in judged.items() if a != "und" and excess <= 0}
     one = corpus_pipeline.language_stage(spark, docs, SF)
     assert {r.doc_id for r in one.collect()} == kept and one.columns == docs.columns
     toxic = toxicity.train(one, queries.table(spark, SF, "labels"))
@@ -429,3 +430,71 @@ def test_hot_texts_are_dealt_to_many_tasks(spark):
     rows = [(7, "a b c d e f", None, None, None)] * 300 + [(i, "a b c d e f", None, None, None) for i in range(300)] + [(None, "a b c d e f", None, None, None)]
     found = ngram_join.join(spark.createDataFrame(rows, DOCS)).collect()
     assert len(found) == 601 and {(r.class_id, r.n_links) for r in found} == {(None, 600)}
+
+
+ARTICLE = "".join(f"<p>Sentence {i} of the article, which goes on for a while, as articles do, and ends here.</p>" for i in range(8))
+
+
+@pytest.mark.parametrize("wrap", ['<div class="site has-sidebar">%s</div>', '<div class="post no-comments">%s</div>', '<div class="social-policy-essay">%s</div>', '<form id="aspnetForm">%s</form>', '<div class="notice">%s</div>', '<div class="post"><div id="social-policy">%s</div></div>'])
+def test_names_and_hints_around_the_whole_page_say_nothing(wrap):
+    page = "<body>" + wrap % ('<nav><a href="x">Home</a> <a href="y">News</a></nav>' + ARTICLE) + "</body>"
+    assert html_extract.main_text(page) == re.sub("</p><p>", "\n", ARTICLE)[3:-4]
+
+
+def test_hints_still_hold_for_parts():
+    """Whole names of parts that aren't article text, and plain words beside them."""
+    for name in ("sidebar", "site-footer", "main-nav", "cookie-notice", "comments-list", "share-buttons"):
+        page = f'<body><article>{ARTICLE}</article><div class="{name}"><p>Other words, in a sentence of their own, that is long, too.</p></div></body>'
+        assert html_extract.main_text(page) == re.sub("</p><p>", "\n", ARTICLE)[3:-4], name
+    page = f'<article>{ARTICLE}<p class="alert-fatigue">About alert fatigue, a subject of its own, there is more.</p></article>'
+    assert html_extract.main_text(page).endswith("there is more.")
+
+
+@pytest.mark.parametrize("depth", [10, 300, 5000])
+def test_a_menu_at_any_depth_goes(depth):
+    page = f"<body><article>{ARTICLE}</article>" + "<div>" * depth + "<nav><p>Menu words here, that are many, and long, in a menu of text.</p></nav>" + "</div>" * depth + "</body>"
+    assert html_extract.main_text(page) == re.sub("</p><p>", "\n", ARTICLE)[3:-4]
+    page = "<body>" + "<div>" * depth + f"<article>{ARTICLE}</article>" + "</div>" * depth + "</body>"
+    assert html_extract.main_text(page) == re.sub("</p><p>", "\n", ARTICLE)[3:-4]
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    took = []
+    for n in (20_000, 80_000):
+        began = time.perf_counter()
+        for page in ("<center>" * n + "<li>x" * n, "<div><ul><li>" * n + "text, here.", "<b><div class=nav>" * n):
+            html_extract.main_text(page)
+        took.append(time.perf_counter() - began)
+    assert took[1] < 10 * took[0]
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_every_query_is_answered_in_full(spark, seed):
+    """Clusters of Zipf sizes: near lists hold too few vectors for some queries, which then scan more."""
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(200, 16))
+    share = 1 / np.arange(1, 201)
+    own = rng.choice(200, 8000, p=share / share.sum())
+    x = (centres[own] + 0.05 * rng.normal(size=(8000, 16))).astype(np.float32)
+    ids = np.arange(8000)
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<float>")
+    got = ann.search(df, F.col("id") % 20 == 0, list_size=32).toPandas()
+    assert (got.groupby("query_id").size() == 5).all() and got.query_id.nunique() == 400
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hits = 0
+    for q, part in got.groupby("query_id"):
+        s = u @ u[q]
+        s[q] = -1
+        hits += len(set(np.argsort(-s)[:5].tolist()) & set(part.vec_id))
+    assert hits / 2000 >= 0.9
+
+
+def test_lists_of_fewer_vectors_than_asked_for(spark):
+    """Pairs of vectors far from all others: the nearest list has one other vector."""
+    rng = np.random.default_rng(1)
+    pairs = np.repeat(rng.normal(size=(300, 8)), 2, axis=0) + 1e-4 * rng.normal(size=(600, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(pairs)], "vec_id long, embedding array<double>")
+    got = ann.search(df, F.col("id") % 10 == 0, list_size=2).toPandas()
+    assert got.query_id.nunique() == 60 and (got.groupby("query_id").size() == 5).all()

@@ -204,7 +204,7 @@ def brute_phrases(text, sample):
 
 
 def brute_predict(model, samples, text, max_chars=16_384):
-    """Language, score and roughness by the greedy parse in plain Python."""
+    """Language, score and excess over the language's limit by the greedy parse in plain Python."""
     if not any(map(str.isalpha, text or "")):
         return "und", 0.0, 1.0
     bits, phrases = [], []
@@ -214,7 +214,8 @@ def brute_predict(model, samples, text, max_chars=16_384):
         bits.append(phrases[-1] * np.log2(len(seq)))
     best = int(np.argmin(bits))
     x = len(model.encode(text))
-    return sorted(samples)[best], 1 - bits[best] / min(b for i, b in enumerate(bits) if i != best), (phrases[best] - 1) / x if x >= 12 else 0.0
+    limit = float(model.limits[best])
+    return sorted(samples)[best], 1 - bits[best] / min(b for i, b in enumerate(bits) if i != best), (phrases[best] - 1) / x - limit - 2 * (limit * (1 - limit) / x) ** 0.5
 
 
 def test_cross_parsing_equals_brute_force():
@@ -264,6 +265,46 @@ def test_short_clean_documents_stay(spark):
     assert not kept & {r[0] for r in noise} and len([r for r in short if r[0] not in kept]) <= 0.01 * len(short)
 
 
+def test_what_follows_a_common_head_is_learnt(spark):
+    """199 documents of one language begin with 8300 characters of another language's licence; text of their own words alone is known and stays."""
+    docs = queries.table(spark, "/root/testdata/sf0.01", "documents")
+    english = " ".join(r.text for r in docs.where("lang = 'en' and length(text) > 3000").orderBy("doc_id").limit(3).collect())[:8300]
+    rnd = random.Random(12)
+    vocabulary = ["".join(rnd.choice("aeiouqxzkvw") for _ in range(rnd.randint(3, 8))) for _ in range(400)]
+    own = lambda n: " ".join(rnd.choice(vocabulary) for _ in range(n))
+    rows = [(10**6 + i, english + " " + own(900), "xx", None, None) for i in range(199)]
+    alone = [(2 * 10**6 + i, own(300), None, None, None) for i in range(20)]
+    mixed = docs.unionByName(spark.createDataFrame(rows + alone, DOCS))
+    model = langid.train(mixed)
+    assert {r.lang_pred for r in langid.identify(spark.createDataFrame(alone, DOCS), model).collect()} == {"xx"}
+    kept = {r.doc_id for r in langid.keep_identified(mixed).collect()}
+    assert {r[0] for r in rows + alone} <= kept
+
+
+@pytest.mark.parametrize("words", [5_000, 20_000])
+def test_dense_scripts_stay_and_noise_goes(spark, words):
+    """Whether a document is clean is known from how it was made: a script without spaces, words of 1 to 3 of its letters."""
+    rnd = random.Random(words)
+    letters = [chr(0x4E00 + i) for i in range(120)]
+    vocabulary = ["".join(rnd.choice(letters) for _ in range(rnd.randint(1, 3))) for _ in range(words)]
+    clean = lambda n: "".join(rnd.choice(vocabulary) for _ in range(n))
+    docs = queries.table(spark, "/root/testdata/sf0.01", "documents")
+    rows = [(10**6 + i, clean(800), "zz", None, None) for i in range(80)] + [(2 * 10**6 + i, clean(n), None, None, None) for n in (3, 10, 40, 500) for i in range(n, n + 10)]
+    rows = [(d + k * 1000, *r) for k, (d, *r) in enumerate(rows)]
+    noise = [(-1 - i, "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n)), None, None, None) for i, n in enumerate((150, 300, 1000, 5000))]
+    mixed = docs.unionByName(spark.createDataFrame(rows + noise, DOCS))
+    kept = {r.doc_id for r in langid.keep_identified(mixed).collect()}
+    assert {r[0] for r in rows} <= kept and not kept & {r[0] for r in noise}
+
+
+def test_roughness_has_no_step_in_length():
+    """The limit falls slowly as texts get longer, and never below the language's own."""
+    model = langid.CrossParser({"en": ["the cat sat on the mat and the dog ran"]})
+    model.limits = np.array([0.6])
+    slack = [model.predict(["q" * n])[2][0] - (n - 1) / n for n in range(5, 400)]
+    assert all(a < b < -0.6 for a, b in zip(slack, slack[1:])) and max(b - a for a, b in zip(slack, slack[1:])) < 0.05
+
+
 def test_characters_beyond_the_basic_plane():
     model = langid.CrossParser({"aa": ["the cat"], "bb": ["der hund"]})
     assert model.predict([None, "\U000e0101 \U000f0000", "\U00020000"])[0] == ["und", "und", "aa"]  # a variation selector and a private one are no letters
@@ -370,3 +411,33 @@ def test_toxicity_odd_rows(spark, odd):
     assert toxicity.keep_civil(odd, labels).columns == odd.columns and toxicity.keep_civil(odd.limit(0), labels).count() == 0
     assert toxicity.score(odd.withColumnRenamed("n_chars", "score"), toxicity.fit([], [])).columns.count("score") == 1
     assert list(itertools.islice(toxicity.features(None), 1)) == []
+
+
+def test_caches_are_bounded_by_bytes():
+    """20,000 runs of 1,000 letters, and as many of 100, keep little; what they are encoded to doesn't change."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    model = bpe.WordBpe(open(path, "rb").read(), cache=5_000)
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(n)) for n in [1000] * 500 + [100] * 20_000 + [5] * 20_000]
+    for t in texts:
+        model.encode(t)
+    for cache in (model.words, model.runs):
+        assert all(len(k) <= 128 for k in [*cache, *cache.old]) and sum(len(k) + len(v) for c in (cache, cache.old) for k, v in c.items()) <= 2 * 256 * 5_000
+    reference = Tokenizer.from_file(path)
+    for t in [*texts[:5], *texts[600:640], *texts[-40:]]:
+        assert np.frombuffer(model.encode(t), "<u4").tolist() == reference.encode(t, add_special_tokens=False).ids
+
+
+def test_equal_pieces_of_a_document_are_spread(spark):
+    """A document of one word, over and over: its pieces go to many groups of windows."""
+    docs = spark.createDataFrame([(1, "the " * 60_000, "en", "s", 1), (2, "a b c", "en", "s", 1)], DOCS)
+    rows = packing.pack(docs, queries.tokenizer_path(), capacity=64, group_windows=8).collect()
+    tokens = sum(r.length for r in rows)
+    assert len({r.sequence_id >> 32 for r in rows}) >= 0.8 * tokens / (8 * 64)
+    by = {}
+    for r in rows:
+        by.setdefault(r.sequence_id >> 32, []).append(r)
+    assert max(map(len, by.values())) < 40
