@@ -68,6 +68,19 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], totals: Ma
     return out.select(*df.columns, *totals)
 
 
+def previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
+    """Per row the value of the row before it of its key; null for a key's first. A partition's first row takes it from the last partition that holds its key."""
+    rows = ranged(df, [*keys, *order])
+    w = W.partitionBy("_part", *keys).orderBy(*order)
+    own = rows.withColumn(name, F.lag(value).over(w)).withColumn("_opens", F.row_number().over(w) == 1)
+    named = [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]
+    lasts = rows.groupBy(F.col("_part").alias("_at"), *named).agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_last"))
+    before = W.partitionBy(*(f"_key{i}" for i in range(len(keys)))).orderBy("_at")
+    carried = lasts.withColumn("_carried", F.lag("_last").over(before)).where("_carried is not null").drop("_last")
+    out = own.join(F.broadcast(carried), _same(keys), "left")  # a row a partition
+    return out.withColumn(name, F.when(F.col("_opens"), F.col("_carried.v")).otherwise(F.col(name))).select(*df.columns, name)
+
+
 def row_numbers(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), name: str = "row_number") -> DataFrame:
     """Row numbers from 1, over the whole table or per key."""
     return running(df.withColumn("_one", F.lit(1)), keys, order, {name: ("count", "_one")}).drop("_one")

@@ -63,8 +63,8 @@ def keep_below(df: DataFrame, most: float, counts: str | None = None, least_coun
 
 
 def previous_ratio_filter(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, most: float) -> DataFrame:
-    """Value over the previous observed value at most ``most``; a group's first row stays."""
-    out = df.withColumn("prev_value", F.lag(value).over(W.partitionBy(*keys).orderBy(*order)))
+    """Value over the previous observed value at most ``most``; a group's first row stays. Rows are ordered over range partitions, so a hot group isn't sorted in one task."""
+    out = ranks.previous(df, keys, order, value, "prev_value")
     return out.where(F.col("prev_value").isNull() | (F.try_divide(F.col(value), F.col("prev_value")) <= most))
 
 

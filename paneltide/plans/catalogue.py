@@ -245,7 +245,7 @@ def ratio_median_filter(spark, d):
 
 @query(f"SELECT {KEYS} FROM (SELECT *, lag(min_value) OVER (PARTITION BY market ORDER BY shop_date, out_date, pos, currency, stay NULLS FIRST, min_value) AS p FROM daily) WHERE p IS NULL OR min_value / p <= 1.2", ALL_DAILY_SQL, ints=("stay",))
 def prev_val_ratio_filter(spark, d):
-    return restrict.previous_ratio_filter(daily(spark, d), ["market"], ["shop_date", "out_date", "pos", "currency", F.asc_nulls_first("stay"), "min_value"], "min_value", 1.2).select(*KEY)
+    return restrict.previous_ratio_filter(daily(spark, d), ["market"], ["shop_date", "out_date", "pos", "currency", "stay", "min_value"], "min_value", 1.2).select(*KEY)
 
 
 @query(f"SELECT {KEYS} FROM daily WHERE market IN (SELECT market FROM daily GROUP BY market HAVING stddev_samp(min_value) / avg(min_value) < 0.6)", ALL_DAILY_SQL, ints=("stay",))

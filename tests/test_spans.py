@@ -147,6 +147,25 @@ def test_ranks_without_a_one_task_window(spark):
     assert "SinglePartition" not in plan
 
 
+@pytest.mark.parametrize("parts", [2, 9])
+def test_previous_values_cross_partitions(spark, parts):
+    rnd = np.random.default_rng(parts)
+    rows = [(int(i), "hot" if i % 3 else [None, "a", "b", "c"][i % 4], int(rnd.integers(0, 40)) if i % 17 else None, float(i) if i % 5 else None) for i in range(800)]
+    want, last = [], {}
+    for r in sorted(rows, key=lambda r: (r[2] is not None, r[2] or 0, r[0])):
+        want.append((r[0], last.get(r[1])))
+        last[r[1]] = r[3]
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = ranks.previous(spark.createDataFrame(rows, "id int, k string, v int, x double"), ["k"], ["v", "id"], "x", "before")
+        same(got.select("id", "before"), want)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got.columns == ["id", "k", "v", "x", "before"]
+
+
 def test_ranks_of_odd_rows(spark):
     df = spark.createDataFrame([(1, None), (2, 5.0), (3, 5.0), (4, None), (5, 9.0)], "id int, x double")
     same(ranks.placed(df, "x"), [(5.0, 2, 0, 3), (9.0, 1, 2, 3)])
