@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
@@ -20,14 +21,21 @@ KINDS: dict[str, tuple[Callable, Callable, Callable, Callable]] = {
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared folder, for those who read it several times."""
-    readers.scratch_folder(df.sparkSession)
-    return df.checkpoint()
+    """``df`` computed once and kept in the shared folder as Parquet, for those who read it several times: whoever reads it scans his columns only."""
+    path = f"{readers.scratch_folder(df.sparkSession)}/kept-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ranged(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     """``df`` in range partitions by ``order``, sorted in each, with the partition's number ``_part``; kept in the shared folder, so that the borders are the same for whoever reads it."""
-    return kept(df.repartitionByRange(*order).sortWithinPartitions(*order)).withColumn("_part", F.spark_partition_id())
+    readers.scratch_folder(df.sparkSession)
+    return df.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint().withColumn("_part", F.spark_partition_id())
+
+
+def numbered(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """``ranged`` for those who sort for themselves: rows with their partition's number are kept as Parquet, unsorted and in fewer bytes, and are read in any layout."""
+    return kept(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
 
 
 def _both(join: Callable, a: Column, b: Column) -> Column:
@@ -39,7 +47,7 @@ def _same(keys: Sequence[str]) -> Column:
 
 
 def before_parts(df: DataFrame, keys: Sequence[str], totals: Mapping[str, tuple[str, str]]) -> DataFrame:
-    """Per partition, and key that began in an earlier one (one a partition at most): totals of the earlier partitions. ``df``: from ``ranged``, by the keys first."""
+    """Per partition, and key that began in an earlier one (one a partition at most): totals of the earlier partitions. ``df``: from ``ranged`` or ``numbered``, by the keys first."""
     named = [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]
     parts = df.groupBy(F.col("_part").alias("_at"), *named).agg(*(KINDS[kind][0](c).alias(f"_b_{n}") for n, (kind, c) in totals.items()))
     if keys:
@@ -60,7 +68,7 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], totals: Ma
 
     The order should be total: rows that it doesn't tell apart are put in any order. Null keys are a key.
     """
-    rows = ranged(df, [*keys, *order])
+    rows = numbered(df, [*keys, *order])
     w = W.partitionBy("_part", *keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     own = rows.withColumns({n: KINDS[kind][0](c).over(w) for n, (kind, c) in totals.items()})
     joined = own.join(F.broadcast(before_parts(rows, keys, totals)), _same(keys), "left")  # a row a partition
@@ -70,7 +78,7 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], totals: Ma
 
 def previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
     """Per row the value of the row before it of its key; null for a key's first. A partition's first row takes it from the last partition that holds its key."""
-    rows = ranged(df, [*keys, *order])
+    rows = numbered(df, [*keys, *order])
     w = W.partitionBy("_part", *keys).orderBy(*order)
     own = rows.withColumn(name, F.lag(value).over(w)).withColumn("_opens", F.row_number().over(w) == 1)
     named = [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]

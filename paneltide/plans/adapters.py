@@ -13,26 +13,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _market():
+    return F.concat_ws("-", "origin", "destination").alias("market")
+
+
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One priced offer per order line: ends of the trip, point of sale, observation and service dates, price."""
+    """One priced offer per order line: ends of the trip, point of sale, observation and service dates, price.
+
+    Customers meet the orders, not their lines, and suppliers the lines, before both meet by order: lines are shuffled once, in
+    narrow columns, and lie by order afterwards. Names are looked up last.
+    """
     line, order, supplier, customer, nation, region = (table(spark, sf_dir, n) for n in ("lineitem", "orders", "supplier", "customer", "nation", "region"))
-    home = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("c_custkey", F.col("n_name").alias("destination"), F.col("r_name").alias("pos"))
-    away = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.col("n_name").alias("origin"))
-    joined = line.join(order, F.col("l_orderkey") == F.col("o_orderkey")).join(away, F.col("l_suppkey") == F.col("s_suppkey")).join(home, F.col("o_custkey") == F.col("c_custkey"))
-    out_date, shop_date = F.col("l_shipdate").cast("date"), F.col("o_orderdate").cast("date")
+    asked = order.select("o_orderkey", "o_custkey", "o_orderpriority", F.col("o_orderdate").cast("date").alias("shop_date"))
+    asked = asked.join(customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")).drop("o_custkey", "c_custkey")
+    returns = F.col("l_returnflag") != "N"
+    priced = line.select(
+        "l_orderkey", "l_linenumber", "l_suppkey", F.col("l_shipdate").cast("date").alias("out_date"), F.when(returns, F.col("l_quantity").cast("int")).alias("stay"),
+        F.when(returns, 1).otherwise(0).alias("round_trip"), "l_extendedprice", F.concat(F.lit("C"), (F.col("l_suppkey") % 7).cast("string")).alias("carrier"), "l_returnflag", "l_linestatus", "l_tax", "l_discount", "l_partkey",
+    )
+    priced = priced.join(supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")).drop("l_suppkey", "s_suppkey")
+    away = nation.select(F.col("n_nationkey").alias("_away"), F.col("n_name").alias("origin"))
+    home = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("_home"), F.col("n_name").alias("destination"), F.col("r_name").alias("pos"))
+    joined = priced.join(asked, F.col("l_orderkey") == F.col("o_orderkey")).join(away, F.col("s_nationkey") == F.col("_away")).join(home, F.col("c_nationkey") == F.col("_home"))
     return joined.select(
-        F.col("l_orderkey").alias("search_id"), F.col("l_linenumber").alias("line"), "origin", "destination", F.concat_ws("-", "origin", "destination").alias("market"), "pos",
-        F.col("o_orderpriority").alias("currency"), shop_date.alias("shop_date"), out_date.alias("out_date"),
-        F.when(F.col("l_returnflag") != "N", F.col("l_quantity").cast("int")).alias("stay"), F.datediff(out_date, shop_date).alias("lead"),
-        F.when(F.col("l_returnflag") != "N", 1).otherwise(0).alias("round_trip"), F.col("l_extendedprice").alias("fare"),
-        F.concat(F.lit("C"), (F.col("l_suppkey") % 7).cast("string")).alias("carrier"), "l_returnflag", "l_linestatus", "l_tax", "l_discount", "l_partkey",
+        F.col("l_orderkey").alias("search_id"), F.col("l_linenumber").alias("line"), "origin", "destination", _market(), "pos",
+        F.col("o_orderpriority").alias("currency"), "shop_date", "out_date", "stay", F.datediff("out_date", "shop_date").alias("lead"),
+        "round_trip", F.col("l_extendedprice").alias("fare"), "carrier", "l_returnflag", "l_linestatus", "l_tax", "l_discount", "l_partkey",
     )
 
 
 def daily(spark: SparkSession, sf_dir: str, most_lead: int | None = None) -> DataFrame:
-    """Daily lowest values of all offers, or of those made 1 to ``most_lead`` days ahead."""
+    """Daily lowest values of all offers, or of those made 1 to ``most_lead`` days ahead. Markets and leads follow from the other keys, so they aren't shuffled."""
     rows = offers(spark, sf_dir)
-    return lowest_per_group(rows if most_lead is None else rows.where(F.col("lead").between(1, most_lead)), DAILY_KEYS, "search_id", "fare")
+    own = [k for k in DAILY_KEYS if k not in ("market", "lead")]
+    least = lowest_per_group(rows if most_lead is None else rows.where(F.col("lead").between(1, most_lead)), own, "search_id", "fare")
+    return least.select("*", _market(), F.datediff("out_date", "shop_date").alias("lead")).select(*DAILY_KEYS, "search_counts", "solution_counts", "min_value")
 
 
 OFFERS_SQL = """
