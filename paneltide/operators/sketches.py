@@ -26,8 +26,12 @@ def distinct_error(lg_k: int) -> float:
     return 1.04 / 2 ** (lg_k / 2)
 
 
-def sketch(df: DataFrame, keys: Sequence[str], values: Sequence[str] = (), distinct: Mapping[str, Column] | Sequence[str] = (), k: int = 1000, lg_k: int = 12) -> DataFrame:
-    """One row per key (a day among them): ``rows``; per value its number, mean, squared deviations, extremes and KLL sketch; per distinct column its HLL sketch. One aggregate with partial sketches, so a hot key is not gathered."""
+def sketch(df: DataFrame, keys: Sequence[str], values: Sequence[str] = (), distinct: Mapping[str, Column] | Sequence[str] = (), k: int = 1000, lg_k: int = 12, deal: int = 0) -> DataFrame:
+    """One row per key (a day among them): ``rows``; per value its number, mean, squared deviations, extremes and KLL sketch; per distinct column its HLL sketch. One aggregate with partial sketches, so a hot key is not gathered.
+
+    With many keys, every task that reads rows would hand on a sketch of every key. ``deal`` first deals a key's rows to
+    that many tasks at most, so that a key has that many partial sketches however many rows there are.
+    """
     kinds = dict(df.dtypes)
     plain = ("int", "bigint", "string", "binary")  # others are counted by their text
     named = dict(distinct) if isinstance(distinct, Mapping) else {c: F.col(c) if kinds[c] in plain else F.col(c).cast("string") for c in distinct}
@@ -36,6 +40,10 @@ def sketch(df: DataFrame, keys: Sequence[str], values: Sequence[str] = (), disti
         x = F.col(v).cast("double")
         aggs += [F.count(x).alias(f"{v}_n"), F.avg(x).alias(f"{v}_mean"), (F.var_pop(x) * F.count(x)).alias(f"{v}_m2"), F.min(x).alias(f"{v}_least"), F.max(x).alias(f"{v}_most"), F.kll_sketch_agg_double(x, F.lit(k)).alias(f"{v}_kll")]
     aggs += [F.hll_sketch_agg(c, F.lit(lg_k)).alias(f"{n}_hll") for n, c in named.items()]
+    if deal:
+        needed = df.select(*keys, *values, *(c.alias(f"_d{i}") for i, c in enumerate(named.values())))
+        aggs[len(aggs) - len(named) :] = [F.hll_sketch_agg(f"_d{i}", F.lit(lg_k)).alias(f"{n}_hll") for i, n in enumerate(named)]
+        df = needed.withColumn("_to", F.pmod(F.monotonically_increasing_id(), F.lit(deal))).repartition(*keys, "_to").drop("_to")
     return df.groupBy(*keys).agg(*aggs)
 
 

@@ -24,7 +24,7 @@ def _month(c: str):
 def _stored(spark, rows, day, keys, name, **options):
     """Sketches per key and day, written by month; a month written again replaces itself."""
     path = _scratch(spark, name)
-    sinks.write_days(sketches.sketch(rows, [*keys, day], **options).withColumn("month", _month(day)), path, "month")
+    sinks.write_days(sketches.sketch(rows, [*keys, day], deal=8, **options).withColumn("month", _month(day)), path, "month")
     return path
 
 
@@ -40,10 +40,11 @@ FROM offers WHERE {_SPAN} GROUP BY pos""", OFFERS_SQL)
 def sketched_span(spark, d):
     """Statistics of two years' offers per point of sale from stored daily sketches; how exact the quantiles and distinct counts are is held against the offers."""
     size, width = 1000, 12
-    path = _stored(spark, offers(spark, d), "shop_date", ["pos"], "span-sketches", values=["fare"], distinct=["search_id"], k=size, lg_k=width)
+    every = ranks.kept(offers(spark, d).select("pos", "shop_date", "fare", "search_id"))
+    path = _stored(spark, every, "shop_date", ["pos"], "span-sketches", values=["fare"], distinct=["search_id"], k=size, lg_k=width)
     merged = sketches.merge(readers.read_days(spark, path, FIRST, LAST, "month"), ["pos"])
     found = sketches.statistics(merged, ["pos"], "fare", {"median": 0.5, "p90": 0.9}).join(merged.select("pos", sketches.distinct_count("search_id").alias("estimate")), "pos")
-    rows = offers(spark, d).where(_SPAN)
+    rows = every.where(_SPAN)
     exact = rows.groupBy("pos").agg(F.count_distinct("search_id").alias("searches"))
     out = found.join(exact, "pos")
     for name, q in (("median", 0.5), ("p90", 0.9)):
@@ -57,7 +58,7 @@ def sketched_span(spark, d):
 @query("SELECT count(abs_pct_err) AS n, round(avg(abs_pct_err), 6) AS mean, round(stddev_samp(abs_pct_err), 6) AS std, round(min(abs_pct_err), 6) AS least, round(max(abs_pct_err), 6) AS most, true AS median_ok FROM errors", _ERRORS)
 def sketched_errors(spark, d):
     """Error statistics over all days from daily sketches: no task gathers the distinct errors."""
-    rows = _errors(spark, d)
+    rows = ranks.kept(_errors(spark, d).select("shop_date", "abs_pct_err"))
     path = _stored(spark, rows, "shop_date", [], "error-sketches", values=["abs_pct_err"])
     found = sketches.statistics(sketches.merge(spark.read.parquet(path), []), [], "abs_pct_err")
     place, most = sketches.rank_bounds(rows, found, [], "abs_pct_err", "median"), sketches.rank_error(1000)
@@ -68,14 +69,14 @@ def sketched_errors(spark, d):
 @query("SELECT pos, count(DISTINCT shop_date) AS days, count(DISTINCT search_id) AS searches, true AS near, true AS same_as_one_pass FROM offers GROUP BY pos", OFFERS_SQL)
 def sketched_distinct(spark, d):
     """Distinct searches per point of sale, from unions of stored daily sketches; equal to that of one sketch over all days."""
-    rows, width = offers(spark, d), 11
+    rows, width = ranks.kept(offers(spark, d).select("pos", "shop_date", "search_id")), 11
     path = _stored(spark, rows, "shop_date", ["pos"], "distinct-sketches", distinct=["search_id"], lg_k=width)
     stored = spark.read.parquet(path)
     merged, once = sketches.merge(stored, ["pos"]), sketches.sketch(rows, ["pos"], distinct=["search_id"], lg_k=width)
     # united with itself, a sketch is read by the same estimator whatever it was made of
     estimate = lambda s, name: sketches.merge(s.unionByName(s), ["pos"]).select("pos", sketches.distinct_count("search_id").alias(name))
     union, whole = estimate(merged, "estimate"), estimate(once, "one_pass")
-    exact = rows.groupBy("pos").agg(F.count_distinct("shop_date").alias("days"), F.count_distinct("search_id").alias("searches"))
+    exact = rows.groupBy("pos").agg(F.count_distinct("search_id").alias("searches")).join(rows.groupBy("pos").agg(F.count_distinct("shop_date").alias("days")), "pos")
     near = F.abs(F.col("estimate") / F.col("searches") - 1) <= 4 * sketches.distinct_error(width)
     return exact.join(union, "pos").join(whole, "pos").select("pos", "days", "searches", near.alias("near"), (F.col("estimate") == F.col("one_pass")).alias("same_as_one_pass"))
 
