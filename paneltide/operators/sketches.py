@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from . import ranks
 from .restrict import keep_below
 
 
@@ -79,9 +80,31 @@ def statistics(sketches: DataFrame, keys: Sequence[str], value: str, quantiles:
     return sketches.select(*keys, n.alias("n"), F.col(f"{value}_mean").alias("mean"), std.alias("std"), F.col(f"{value}_least").alias("least"), F.col(f"{value}_most").alias("most"), *picked)
 
 
-def ratio_to_median(df: DataFrame, sketches: DataFrame, keys: Sequence[str], value: str, most: float, counts: str | None = None, least_count: int = 0) -> DataFrame:
-    """Rows under ``most`` times their key's median, which is read off sketches (of any span, say the last month's); keys without one drop out. With ``least_count``, a row over it goes only if it was counted fewer times."""
-    middle = merge(sketches, keys).select(*keys, quantile(value, 0.5).alias("_middle"))
+def exact_median(df: DataFrame, sketches: DataFrame, keys: Sequence[str], value: str, error: float) -> DataFrame:
+    """Per key the lower median ``_middle`` of ``df``'s values, exactly; ``sketches`` are those of the same rows.
+
+    Sketches bracket it by ``error`` in rank on both sides. Values below a bracket are counted, those in it placed over range
+    partitions, and the one in the middle is picked. A key whose median lies outside its bracket gets all values for one.
+    """
+    low, high, x = quantile(value, max(0.0, 0.5 - error)), quantile(value, min(1.0, 0.5 + error)), F.col(value)
+    guess = merge(sketches, keys).where(F.col(f"{value}_n") > 0).select(*keys, low.alias("_lo"), high.alias("_hi"))
+    known = df.select(*keys, value).where(x.isNotNull())
+    place = F.floor((F.col("_all") - 1) / 2)
+    counted = known.join(guess, list(keys)).groupBy(*keys).agg(F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"), F.count("*").alias("_all"), F.count_if(x < F.col("_lo")).alias("_below"), F.count_if(x <= F.col("_hi")).alias("_up_to"))
+    missed = (place < F.col("_below")) | (place >= F.col("_up_to"))
+    brackets = ranks.kept(counted.select(*keys, *(F.when(~missed, F.col(c)).alias(c) for c in ("_lo", "_hi")), F.when(missed, 0).otherwise(F.col("_below")).alias("_below"), place.alias("_place")))  # a row a key
+    inside = known.join(brackets, list(keys)).where(F.col("_lo").isNull() | x.between(F.col("_lo"), F.col("_hi")))
+    spots = ranks.placed(inside.select(*keys, value), value, keys).join(brackets, list(keys))
+    here = F.col("_place") - F.col("_below")
+    return spots.where((F.col("less") <= here) & (here < F.col("less") + F.col("n"))).select(*keys, x.alias("_middle"))
+
+
+def ratio_to_median(df: DataFrame, sketches: DataFrame, keys: Sequence[str], value: str, most: float, counts: str | None = None, least_count: int = 0, error: float | None = None) -> DataFrame:
+    """Rows under ``most`` times their key's median, which is read off sketches (of any span, say the last month's); keys without one drop out. With ``least_count``, a row over it goes only if it was counted fewer times.
+
+    With ``error`` (in rank) the sketches are of the rows themselves, and the exact (lower) median is picked within it.
+    """
+    middle = merge(sketches, keys).select(*keys, quantile(value, 0.5).alias("_middle")) if error is None else exact_median(df, sketches, keys, value, error)
     joined = df.join(middle, list(keys)).withColumn("ratio", F.try_divide(F.col(value), F.col("_middle"))).drop("_middle")
     return keep_below(joined, most, counts, least_count)
 

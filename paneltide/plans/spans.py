@@ -83,11 +83,11 @@ def sketched_distinct(spark, d):
 
 @query(f"SELECT {KEYS}, round(ratio, 6) AS ratio FROM (SELECT *, min_value / quantile_disc(min_value, 0.5) OVER (PARTITION BY market) AS ratio FROM daily) WHERE ratio < 1.4", ALL_DAILY_SQL, ints=("stay",))
 def ratio_median_sketch(spark, d):
-    """The ratio filter with medians from stored monthly sketches, merged per market; exact while a market has fewer values than the sketch's size."""
-    rows = daily(spark, d)
+    """The ratio filter with medians from stored monthly sketches, merged per market: they bracket the median, which is then picked exactly."""
+    rows, size = ranks.kept(daily(spark, d).select(*KEY)), 4096
     path = _scratch(spark, "median-sketches")
-    sinks.write_days(sketches.sketch(rows.withColumn("month", _month("shop_date")), ["market", "month"], ["min_value"], k=4096), path, "month")
-    return sketches.ratio_to_median(rows, spark.read.parquet(path), ["market"], "min_value", 1.4).select(*KEY, r6("ratio").alias("ratio"))
+    sinks.write_days(sketches.sketch(rows.withColumn("month", _month("shop_date")), ["market", "month"], ["min_value"], k=size, deal=8), path, "month")
+    return sketches.ratio_to_median(rows, spark.read.parquet(path), ["market"], "min_value", 1.4, error=2 * sketches.rank_error(size)).select(*KEY, r6("ratio").alias("ratio"))
 
 
 # --- running gap statistics
