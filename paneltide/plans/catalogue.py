@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ..functions import arrays, codec, dates
-from ..operators import dims, distribution, errors, features, lowest, panel, restrict, trips
+from ..operators import dims, distribution, errors, features, lowest, panel, ranks, restrict, trips
 from ..sources import readers, sinks
 from . import lookups
 from .adapters import ALL_DAILY_SQL, DAILY_SQL, OFFERS_SQL, USER_DAYS_SQL, daily, offers, table, user_days
@@ -128,8 +128,8 @@ WHERE market_rank <= 20""", OFFERS_SQL)
 def trip_type_share_topn(spark, d):
     kinds = _legs(spark, d).withColumn("kind", trips.trip_type("origin", "destination", "in_org", "in_dst")).groupBy("market", "kind").agg(F.count("*").alias("n"))
     shared = distribution.cumulative_shares(kinds, "n", ["kind"], ["market"]).drop("rank", "cum_share")
-    ranks = kinds.groupBy("market").agg(F.sum("n").alias("total")).withColumn("market_rank", F.dense_rank().over(W.orderBy(F.desc("total")))).where("market_rank <= 20")
-    return shared.join(ranks.drop("total"), "market").select("market", "kind", "n", r6("share").alias("share"), F.col("market_rank").cast("long").alias("market_rank"))
+    places = kinds.groupBy("market").agg(F.sum("n").alias("total")).withColumn("market_rank", F.dense_rank().over(W.orderBy(F.desc("total")))).where("market_rank <= 20")
+    return shared.join(places.drop("total"), "market").select("market", "kind", "n", r6("share").alias("share"), F.col("market_rank").cast("long").alias("market_rank"))
 
 
 @query("""
@@ -317,7 +317,8 @@ _ONE = f"{_SERIES},\none AS (SELECT market, shop_date, min(fare) AS fare, min(ou
 
 
 def _one(spark, d):
-    return _series(spark, d).groupBy("market", "shop_date").agg(F.min("fare").alias("fare"), F.min("out_date").alias("out_date"))
+    """The same per market and observation day, with the first service day: least values of least values, so one aggregate of the offers."""
+    return offers(spark, d).groupBy("market", "shop_date").agg(F.min("fare").alias("fare"), F.min("out_date").alias("out_date"))
 
 
 @query("SELECT market, shop_date, fare, CAST(date_diff('day', lag(shop_date) OVER w, shop_date) AS INTEGER) AS shop_gap, lag(fare) OVER w AS shop_prev_1 FROM one WINDOW w AS (PARTITION BY market ORDER BY shop_date)", _ONE, ints=("shop_gap",))
@@ -612,8 +613,8 @@ LEFT JOIN (SELECT abs_pct_err, fare / avg(fare) OVER (PARTITION BY market) AS r,
 GROUP BY ALL""", _ERRORS)
 def restriction_grid(spark, d):
     rows = restrict.with_group(_errors(spark, d).withColumn("one", F.lit(1)), ["market"], F.avg("fare").alias("_mean")).withColumn("ratio", F.try_divide("fare", "_mean"))
-    ranks = restrict.volume_ranks(rows, ["market"], "one").drop("volume")
-    return errors.restriction_grid(rows.join(ranks, "market"), [1.0, 1.5, 2.0], [10, 100, 1000]).withColumn("mape", r6("mape"))
+    places = restrict.volume_ranks(rows, ["market"], "one").drop("volume")
+    return errors.restriction_grid(rows.join(places, "market"), [1.0, 1.5, 2.0], [10, 100, 1000]).withColumn("mape", r6("mape"))
 
 
 @query("SELECT pos, round(corr(fare, lead), 6) AS fare_lead, round(corr(fare, stay), 6) AS fare_stay, round(corr(lead, stay), 6) AS lead_stay FROM offers GROUP BY pos", OFFERS_SQL)
@@ -639,9 +640,11 @@ def unchanged_values(spark, d):
 
 
 def _features(spark, d):
+    """Model rows, computed once: fits and their passes, predictions and errors read what is kept."""
     rows = _one(spark, d)
     rows = features.trailing_rows(features.target_encode(features.shifted(rows, "fare", {"shop": _AXES["shop"]}, [1, 2]), ["market"], "shop_date", "fare"), ["market"], "shop_date", "fare")
-    return rows.withColumn("lead", F.datediff("out_date", "shop_date")).withColumn("dow", dates.weekday(F.col("out_date")).cast("string")).dropna()
+    rows = rows.withColumn("lead", F.datediff("out_date", "shop_date")).withColumn("dow", dates.weekday(F.col("out_date")).cast("string"))
+    return ranks.kept(rows.dropna())
 
 
 _NUMERIC = ("shop_prev_1", "shop_prev_2", "encoded", "trail_mean", "trail_std", "lead")
