@@ -17,7 +17,8 @@ def within_days(df: DataFrame, lead: str, stay: str, lead_range: tuple[int, int]
 
 
 def with_group(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
-    """``df`` with aggregates of each row's group beside it: partial aggregation and a join by key, so a hot group's rows aren't gathered and sorted in one task. Null keys are a group."""
+    """``df`` with aggregates of each row's group beside it: rows computed once, partial aggregation and a join by key, so a hot group's rows aren't gathered and sorted in one task. Null keys are a group."""
+    df = ranks.kept(df)
     side = df.groupBy(*(F.col(k).alias(f"_key_{k}") for k in keys)).agg(*aggs)
     same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys))
     return df.join(side, same).drop(*(f"_key_{k}" for k in keys))
@@ -74,12 +75,14 @@ def spread(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 
 def low_spread(df: DataFrame, keys: Sequence[str], value: str, most: float) -> DataFrame:
+    df = ranks.kept(df)
     good = spread(df, keys, value).where(F.col("rsd") < most)
     return df.join(good.select(*keys), list(keys), "left_semi")
 
 
 def full_combos(df: DataFrame, keys: Sequence[str], combo: Sequence[str], wanted: int) -> DataFrame:
     """Rows of keys that occur with all ``wanted`` combinations; null parts count as a combination of their own."""
+    df = ranks.kept(df)
     good = df.groupBy(*keys).agg(F.count_distinct(F.struct(*combo)).alias("_n")).where(F.col("_n") == wanted)
     return df.join(good.select(*keys), list(keys), "left_semi")
 
@@ -91,6 +94,7 @@ def volume_ranks(df: DataFrame, keys: Sequence[str], volume: str) -> DataFrame:
 
 
 def top_by_volume(df: DataFrame, keys: Sequence[str], volume: str, most: int) -> DataFrame:
+    df = ranks.kept(df)
     return df.join(volume_ranks(df, keys, volume).where(F.col("volume_rank") <= most), list(keys))
 
 

@@ -62,7 +62,7 @@ panel AS (SELECT market, out_date, value_rank, min(fare) AS value, list_sort(lis
 
 
 def _ranked(spark, d):
-    return lowest.value_ranks(offers(spark, d), ["market", "out_date"], "fare", "search_id")
+    return lowest.value_ranks(offers(spark, d).select("market", "out_date", "search_id", "line", "carrier", "fare"), ["market", "out_date"], "fare", "search_id")
 
 
 @query("SELECT market, out_date, search_id, line, carrier, fare, CAST(value_rank AS INTEGER) AS value_rank, group_searches, group_rows FROM ranked", _RANKS)
@@ -213,7 +213,7 @@ _RATIO = "SELECT *, min_value / {f} OVER (PARTITION BY market) AS ratio FROM dai
 
 @query(f"SELECT {KEYS}, round(ratio, 6) AS ratio FROM ({_RATIO.format(f='avg(min_value)')}) WHERE ratio < 1.5", ALL_DAILY_SQL, ints=("stay",))
 def ratio_mean_filter(spark, d):
-    return restrict.ratio_filter(daily(spark, d), ["market"], "min_value", 1.5).select(*KEY, r6("ratio").alias("ratio"))
+    return restrict.ratio_filter(daily(spark, d).select(*KEY), ["market"], "min_value", 1.5).select(*KEY, r6("ratio").alias("ratio"))
 
 
 @query(f"SELECT {KEYS} FROM daily WHERE shop_date BETWEEN DATE '1998-01-01' - 700 AND DATE '1998-01-01' - 1", ALL_DAILY_SQL, ints=("stay",))
@@ -235,27 +235,27 @@ def not_flagged(spark, d):
 
 @query(f"SELECT {KEYS}, round(ratio, 6) AS ratio FROM ({_RATIO.format(f='avg(min_value)')}) WHERE NOT (ratio >= 1.1 AND solution_counts < 2)", ALL_DAILY_SQL, ints=("stay",))
 def ratio_mean_count_filter(spark, d):
-    return restrict.ratio_filter(daily(spark, d), ["market"], "min_value", 1.1, "mean", "solution_counts", 2).select(*KEY, r6("ratio").alias("ratio"))
+    return restrict.ratio_filter(daily(spark, d).select(*KEY, "solution_counts"), ["market"], "min_value", 1.1, "mean", "solution_counts", 2).select(*KEY, r6("ratio").alias("ratio"))
 
 
 @query(f"SELECT {KEYS}, round(ratio, 6) AS ratio FROM ({_RATIO.format(f='quantile_cont(min_value, 0.5)')}) WHERE ratio < 1.4", ALL_DAILY_SQL, ints=("stay",))
 def ratio_median_filter(spark, d):
-    return restrict.ratio_filter(daily(spark, d), ["market"], "min_value", 1.4, "median").select(*KEY, r6("ratio").alias("ratio"))
+    return restrict.ratio_filter(daily(spark, d).select(*KEY), ["market"], "min_value", 1.4, "median").select(*KEY, r6("ratio").alias("ratio"))
 
 
 @query(f"SELECT {KEYS} FROM (SELECT *, lag(min_value) OVER (PARTITION BY market ORDER BY shop_date, out_date, pos, currency, stay NULLS FIRST, min_value) AS p FROM daily) WHERE p IS NULL OR min_value / p <= 1.2", ALL_DAILY_SQL, ints=("stay",))
 def prev_val_ratio_filter(spark, d):
-    return restrict.previous_ratio_filter(daily(spark, d), ["market"], ["shop_date", "out_date", "pos", "currency", "stay", "min_value"], "min_value", 1.2).select(*KEY)
+    return restrict.previous_ratio_filter(daily(spark, d).select(*KEY), ["market"], ["shop_date", "out_date", "pos", "currency", "stay", "min_value"], "min_value", 1.2).select(*KEY)
 
 
 @query(f"SELECT {KEYS} FROM daily WHERE market IN (SELECT market FROM daily GROUP BY market HAVING stddev_samp(min_value) / avg(min_value) < 0.6)", ALL_DAILY_SQL, ints=("stay",))
 def rsd_filter(spark, d):
-    return restrict.low_spread(daily(spark, d), ["market"], "min_value", 0.6).select(*KEY)
+    return restrict.low_spread(daily(spark, d).select(*KEY), ["market"], "min_value", 0.6).select(*KEY)
 
 
 @query(f"SELECT {KEYS} FROM daily WHERE market IN (SELECT market FROM daily GROUP BY market HAVING count(DISTINCT (isodow(shop_date), isodow(out_date))) = 49)", ALL_DAILY_SQL, ints=("stay",))
 def dow_combo_filter(spark, d):
-    rows = daily(spark, d).withColumn("shop_dow", dates.weekday(F.col("shop_date"))).withColumn("out_dow", dates.weekday(F.col("out_date")))
+    rows = daily(spark, d).select(*KEY).withColumn("shop_dow", dates.weekday(F.col("shop_date"))).withColumn("out_dow", dates.weekday(F.col("out_date")))
     return restrict.full_combos(rows, ["market"], ["shop_dow", "out_dow"], 49).select(*KEY)
 
 
@@ -264,12 +264,12 @@ _VOLUME = "(SELECT market, sum(search_counts)::BIGINT AS volume, row_number() OV
 
 @query(f"SELECT {KEYS}, CAST(volume_rank AS INTEGER) AS volume_rank FROM daily JOIN {_VOLUME} USING (market) WHERE volume_rank <= 25", ALL_DAILY_SQL, ints=("stay",))
 def rank_filter(spark, d):
-    return restrict.top_by_volume(daily(spark, d), ["market"], "search_counts", 25).select(*KEY, "volume_rank")
+    return restrict.top_by_volume(daily(spark, d).select(*KEY, "search_counts"), ["market"], "search_counts", 25).select(*KEY, "volume_rank")
 
 
 @query(f"SELECT {KEYS} FROM daily JOIN (SELECT market, quantile_cont(min_value, 0.05) AS lo, quantile_cont(min_value, 0.9) AS hi FROM daily GROUP BY market) USING (market) WHERE min_value >= lo AND NOT (min_value > hi AND solution_counts <= 1)", ALL_DAILY_SQL, ints=("stay",))
 def percentile_clip(spark, d):
-    return restrict.percentile_clip(daily(spark, d), ["market"], "min_value", 0.05, 0.9, "solution_counts", 1).select(*KEY)
+    return restrict.percentile_clip(daily(spark, d).select(*KEY, "solution_counts"), ["market"], "min_value", 0.05, 0.9, "solution_counts", 1).select(*KEY)
 
 
 @query("""
