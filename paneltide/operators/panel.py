@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
+from . import ranks
+
 
 def date_grid(spark: SparkSession, first: str, last: str, stays: Sequence[int], lead_days: int) -> DataFrame:
     """Every (service day, stay, observation day up to ``lead_days`` before it): generated by nested sequences."""
@@ -44,8 +46,9 @@ def expected_days(lead: Column, first_lead: int, last_lead: int, num_days: int)
 
 def lead_grid(df: DataFrame, keys: Sequence[str], lead: str, first: int, last: int) -> DataFrame:
     """Observations per key and lead time, 0 where there are none."""
-    grid = df.select(*keys).distinct().withColumn(lead, F.explode(F.sequence(F.lit(first), F.lit(last))))
-    return densify(grid, df.groupBy(*keys, lead).agg(F.count("*").alias("observations")), [*keys, lead], ["observations"])
+    seen = ranks.kept(df.groupBy(*keys, lead).agg(F.count("*").alias("observations")))  # counts only; keys are read off them too
+    grid = seen.select(*keys).distinct().withColumn(lead, F.explode(F.sequence(F.lit(first), F.lit(last))))
+    return densify(grid, seen, [*keys, lead], ["observations"])
 
 
 def rolling(df: DataFrame, keys: Sequence[str], order: str, value: str, window: int, whole_only: bool = True) -> DataFrame:
