@@ -116,7 +116,7 @@ trip_days AS (SELECT g.out_date, g.day, CASE WHEN s.shop_date IS NULL THEN 0 ELS
 @query(f"SELECT out_date, day, seen, {_GAP_COLUMNS} FROM gaps", f"{_TRIPS}, {_GAPS.format(t='trip_days', k='out_date')}")
 def running_gaps_by_lead(spark, d):
     """Gaps in the observation of a service day, at each of the days up to 121 ahead."""
-    seen = offers(spark, d).select("out_date", F.col("shop_date").alias("day")).distinct().withColumn("seen", F.lit(1))
+    seen = ranks.kept(offers(spark, d).select("out_date", F.col("shop_date").alias("day")).distinct()).withColumn("seen", F.lit(1))  # pairs of days
     grid = seen.select("out_date").distinct().withColumn("day", F.explode(F.sequence(F.date_sub("out_date", 121), "out_date")))
     out = panel.running_gaps(panel.densify(grid, seen, ["out_date", "day"], ["seen"]), ["out_date"], "day", "seen").withColumns({c: r6(c) for c in _GAP_ROUNDED})
     return out.select("out_date", "day", "seen", "num_gaps", "max_gap", *_GAP_ROUNDED)
