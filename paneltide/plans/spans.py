@@ -241,7 +241,7 @@ def ledger_days(spark, d):
 @query(f"SELECT {KEYS} FROM daily QUALIFY row_number() OVER (PARTITION BY market, out_date, stay ORDER BY shop_date DESC, pos, currency, min_value) = 1", ALL_DAILY_SQL, ints=("stay",))
 def catalogue_latest(spark, d):
     """The latest value per key in a bucketed catalogue table, kept up by two batches; the table's side of each merge isn't shuffled."""
-    rows = daily(spark, d).select(*KEY).withColumn("stay_key", F.coalesce("stay", F.lit(-1)))
+    rows = ranks.kept(daily(spark, d).select(*KEY).withColumn("stay_key", F.coalesce("stay", F.lit(-1))))
     keys, ties, cuts = ["market", "out_date", "stay_key"], ["pos", "currency", "min_value"], ("1996-01-01", "1998-01-01")
     name = f"latest_{uuid.uuid4().hex}"
     tables.write_bucketed(lowest.latest_per_key(rows.where(F.col("shop_date") < cuts[0]), keys, "shop_date", ties), f"{name}_0", keys, 8, _scratch(spark, "latest"))
