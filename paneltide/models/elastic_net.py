@@ -20,6 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators import ranks
 from .regression import predict_per_group
 
 Moments = tuple[float, np.ndarray, np.ndarray]  # rows, means, products of deviations (the label last)
@@ -145,6 +146,7 @@ def cross_validate(
     fold's training. Groups and folds without test rows, or with fewer than ``least_rows`` training rows, are left out.
     """
     known = usable(df, features, label, log_label).where(F.col(day).isNotNull())
+    known = ranks.kept(known.select(*dict.fromkeys([*keys, *features, "_y", day, *sources])))
     first, last = known.agg(F.min(day), F.max(day)).first()
     if first is None:
         first = last = date(1970, 1, 1)
