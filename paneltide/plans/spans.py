@@ -149,7 +149,7 @@ LEFT JOIN (SELECT market, fare, n, sum(n) OVER (PARTITION BY market ORDER BY far
 LEFT JOIN (SELECT market, count(*)::DOUBLE AS total FROM offers WHERE round_trip = 0 GROUP BY ALL) t USING (market)""", OFFERS_SQL)
 def score_against_sample(spark, d):
     """Where each round trip's fare lies among the one-way fares of its market."""
-    rows = offers(spark, d)
+    rows = ranks.kept(offers(spark, d).select("search_id", "line", "market", "fare", "round_trip"))
     out = ranks.score_against(rows.where("round_trip = 1").select("search_id", "line", "market", "fare"), "fare", rows.where("round_trip = 0"), "fare", ["market"])
     return out.withColumns({c: r6(c) for c in ("strict", "weak", "score")})
 
