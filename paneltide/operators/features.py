@@ -9,6 +9,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from . import ranks
+
 
 def shifted(df: DataFrame, value: str, axes: Mapping[str, tuple[Sequence[str], str]], lags: Sequence[int], leads: Sequence[int] = ()) -> DataFrame:
     """Per axis (name -> partition columns, order column): lagged and led values, and days to the lagged row."""
@@ -47,6 +49,7 @@ def trailing_days_median(df: DataFrame, keys: Sequence[str], day: str, value: st
     sorted array is slid over a block's days, so a day's values are merged in once and out once. The days' medians
     then meet the rows by key and day. A hot key is spread over its blocks.
     """
+    df = ranks.kept(df)
     named = [f"_k{i}" for i in range(len(keys))]
     number = F.unix_date(day)
     counts = df.where(F.col(day).isNotNull()).groupBy(*(F.col(k).alias(n) for k, n in zip(keys, named, strict=True)), number.alias("_day"), F.col(value).cast("double").alias("_value")).agg(F.count("*").alias("_n"))
