@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -75,8 +76,9 @@ def subset_summary(df: DataFrame, subsets: Mapping[str, Column], search: str) ->
 
 
 def search_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Distinct column combinations, without rows that hold a null and with them."""
-    return df.agg(F.count_distinct(*columns).alias("searches_non_null"), F.count_distinct(F.struct(*columns)).alias("searches"))
+    """Distinct column combinations, without rows that hold a null and with them: found once, by partial aggregation, and counted."""
+    each = df.select(*columns).distinct()
+    return each.agg(F.count(F.when(reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in columns)), 1)).alias("searches_non_null"), F.count("*").alias("searches"))
 
 
 def correlations(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
