@@ -20,8 +20,9 @@ import mmap
 import struct
 import tempfile
 import unicodedata
-from collections.abc import Iterator
-from itertools import pairwise
+from collections.abc import Iterator, Sequence
+from functools import cached_property
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -58,13 +59,23 @@ _NEWER_WORD = regex.compile(rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}--[{_ASIDE}]
 _BITS, _NEVER = 20, 1 << 60
 _UNKNOWN = (1 << _BITS) - 1  # no vocabulary is that large
 _LONG = 64  # bytes of a word beyond which merging runs on a heap
+_TOGETHER = 100_000  # runs that are looked up, or merged, in one go
+_FEW = 8  # words of one length up to which merging them together doesn't pay
 
 
 def split_words(run: str) -> list[str]:
     """Words of a run without white space, as the tokenizer splits it."""
-    if run.isascii() or not _NEWER.search(run):
-        return _WORD.findall(run)
-    return _NEWER_WORD.findall(run)
+    if _letters(run):
+        return [run]
+    end = run[-1:]
+    if end.isascii() and not (end.isalpha() or end.isspace()) and _letters(run[:-1]):
+        return [run[:-1], end]
+    return (_WORD if run.isascii() or not _NEWER.search(run) else _NEWER_WORD).findall(run)
+
+
+def _letters(run: str) -> bool:
+    """Surely nothing but letters to any version of Unicode: those below U+0250 have always been there."""
+    return run.isalpha() and (run.isascii() or max(run) < "\u0250")
 
 
 def byte_chars() -> list[str]:
@@ -180,6 +191,14 @@ def compile_lexicon(entries: dict[bytes, bytes]) -> bytes:
 _KEPT = 128
 
 
+def _ranks(keys: np.ndarray, values: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """The value of each pair among the sorted ``keys``."""
+    if not len(keys):
+        return np.full(len(pairs), _NEVER)
+    at = np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)
+    return np.where(keys[at] == pairs, values[at], _NEVER)
+
+
 class _Cache(dict):
     """Two generations of at most ``limit`` entries, and ``limit`` * 256 bytes, each: what was used since the last change of generation stays. Words of over ``_KEPT`` characters are made anew each time, which costs no more than making them once did."""
 
@@ -193,13 +212,18 @@ class _Cache(dict):
         out = self.old.get(word)
         if out is None:
             out = self.make(word)
+        self.keep(word, out)
+        return out
+
+    def keep(self, word, out) -> None:
+        if len(word) > _KEPT:
+            return
         size = 200 + 2 * len(word) + len(out)  # with the objects' own
         if len(self) >= self.limit or self.bytes + size > 256 * self.limit:
             self.old, self.bytes = dict(self), 0
             self.clear()
         self[word] = out
         self.bytes += size
-        return out
 
 
 class WordBpe:
@@ -245,6 +269,65 @@ class WordBpe:
             ids = [x for x in ids if x != _UNKNOWN]
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    @cached_property
+    def _pairs(self) -> tuple[np.ndarray, ...]:
+        """``merges`` as sorted arrays, and the ranks of two bytes inside a word and at its end."""
+        keys = np.fromiter(self.merges, np.int64, len(self.merges))
+        order = np.argsort(keys)
+        keys, values = keys[order], np.fromiter(self.merges.values(), np.int64, len(keys))[order]
+        inner, last = np.array(self.inner, np.int64), np.array(self.last, np.int64)
+        first = (_ranks(keys, values, (inner[:, None] << _BITS | other).ravel()) for other in (inner, last))
+        return keys, values, inner, last, *first
+
+    def merge_all(self, words: Sequence[str]) -> list[bytes]:
+        """``merge`` of each word: words of equal length go together, and each step merges one pair of every word that has one left."""
+        out: list = [None] * len(words)
+        lengths: dict[int, list[int]] = {}
+        coded = [w.encode() for w in words]
+        for i, c in enumerate(coded):
+            lengths.setdefault(len(c), []).append(i)
+        for n, own in lengths.items():
+            if n > _LONG or len(own) <= _FEW:
+                for i in own:
+                    out[i] = self.merge(words[i])
+            else:
+                for at in range(0, len(own), 1 << 16):
+                    some = own[at : at + (1 << 16)]
+                    self._merge_equal(np.frombuffer(b"".join(coded[i] for i in some), np.uint8).reshape(len(some), n), np.array(some), out)
+        return out
+
+    def _merge_equal(self, bits: np.ndarray, place: np.ndarray, out: list) -> None:
+        """Ids of the words whose bytes are the rows of ``bits`` go to ``out`` at ``place``."""
+        keys, values, inner, last, within, at_end = self._pairs
+        ids, pairs = inner[bits], bits[:, :-1].astype(np.int64) << 8 | bits[:, 1:]
+        ids[:, -1] = last[bits[:, -1]]
+        ranks = within[pairs]
+        ranks[:, -1:] = at_end[pairs[:, -1:]]
+        while True:
+            rows, width = ids.shape
+            at = ranks.argmin(1) if width > 1 else np.zeros(rows, np.int64)  # the leftmost of equal ones
+            best = ranks[np.arange(rows), at] if width > 1 else np.full(rows, _NEVER)
+            ready = best == _NEVER
+            if ready.any():
+                known = ids[ready]
+                whole = known.astype("<u4").tobytes()
+                for k, (i, lost) in enumerate(zip(place[ready].tolist(), (known == _UNKNOWN).any(1).tolist(), strict=True)):
+                    own = known[k]
+                    out[i] = own[own != _UNKNOWN].astype("<u4").tobytes() if lost else whole[4 * width * k : 4 * width * (k + 1)]
+                if ready.all():
+                    return
+                ids, ranks, place, at, best = (x[~ready] for x in (ids, ranks, place, at, best))
+                rows = len(ids)
+            row = np.arange(rows)
+            ids[row, at] = best & _UNKNOWN
+            left, right = np.ones(ids.shape, bool), np.ones(ranks.shape, bool)
+            left[row, at + 1] = right[row, at] = False
+            ids, ranks, width = ids[left].reshape(rows, -1), ranks[right].reshape(rows, -1), width - 1
+            for near in (at, at - 1):
+                r = np.flatnonzero((near >= 0) & (near < width - 1))
+                c = near[r]
+                ranks[r, c] = _ranks(keys, values, ids[r, c] << _BITS | ids[r, c + 1])
+
     def _merge_long(self, ids: list[int]) -> bytes:
         """The same order of merges from a heap over linked neighbours: n log n."""
         n, rank = len(ids), self.merges.get
@@ -271,16 +354,20 @@ class WordBpe:
         known = self.lexicon.ids(word.encode()) if self.lexicon else None
         return self.merge(word) if known is None else known
 
-    def _plain(self, text: str) -> bytes:
+    def _lowered(self, text: str) -> str:
         if not text.isascii():
             if not unicodedata.is_normalized("NFC", text):
                 text = unicodedata.normalize("NFC", text)
             text = text.replace("Σ", "σ")  # lower() alone would apply the final-sigma rule
             if _CAPITAL.search(text):
                 text = text.translate(_LOWER)
+        return text.lower()
+
+    def _plain(self, text: str) -> bytes:
+        text = self._lowered(text)
         if _CONTROL.search(text):
-            return b"".join(map(self.words.__getitem__, split_words(text.lower())))
-        return b"".join(map(self.runs.__getitem__, text.lower().split()))  # no word crosses white space
+            return b"".join(map(self.words.__getitem__, split_words(text)))
+        return b"".join(map(self.runs.__getitem__, text.split()))  # no word crosses white space
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -291,6 +378,58 @@ class WordBpe:
         parts = self.special.split(text)
         return b"".join(struct.pack("<I", self.specials[p]) if i % 2 else self._plain(p) for i, p in enumerate(parts))
 
+    def encode_all(self, texts: Sequence[str | None]) -> list[bytes]:
+        """``encode`` of each text; the words of all runs that no cache holds are merged together, some ``_TOGETHER`` at a time."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        late: list[tuple[list, int, list[str], list]] = []
+        missing: set[str] = set()
+
+        def settle() -> None:
+            new = self._encode_runs(missing)
+            for parts, k, own, found in late:
+                parts[k] = b"".join([new[r] if x is None else x for r, x in zip(own, found, strict=True)])
+            for r, x in new.items():
+                self.runs.keep(r, x)
+            late.clear()
+            missing.clear()
+
+        for parts, t in zip(out, texts, strict=True):
+            if not t or "<|" in t or _CONTROL.search(t):
+                parts.append(self.encode(t))
+                continue
+            runs = self._lowered(t).split()
+            for at in range(0, len(runs), _TOGETHER):
+                own = runs[at : at + _TOGETHER]
+                found = list(map(self.runs.get, own))
+                if None in found:
+                    missing.update([r for r, x in zip(own, found, strict=True) if x is None])
+                    late.append((parts, len(parts), own, found))
+                    parts.append(b"")
+                else:
+                    parts.append(b"".join(found))
+                if len(missing) >= _TOGETHER:
+                    settle()
+        settle()
+        return [b"".join(parts) for parts in out]
+
+    def _encode_runs(self, missing: set[str]) -> dict[str, bytes]:
+        """Ids of runs, and of words in them, that aren't cached; a word by itself is a run of one word."""
+        current, old = self.runs, self.runs.old
+        new, parts, words = {}, {}, set()
+        for r in missing:
+            x = old.get(r)
+            if x is not None:
+                new[r] = x
+            elif _letters(r):
+                words.add(r)
+            else:
+                parts[r] = own = split_words(r)
+                words.update([w for w in own if w not in current])
+        words = [w for w in words if w not in new]
+        new.update(zip(words, self.merge_all(words), strict=True))
+        new.update([(r, b"".join([new[w] if w in new else current[w] for w in own])) for r, own in parts.items() if r not in new])
+        return new
+
     def decode(self, ids: bytes) -> str:
         return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 

@@ -89,11 +89,11 @@ def piece_table(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, pos, step = encoder(shared.value), 0, 4 * capacity
+        bpe, pos, step = encoder(shared.value, cache=500_000), 0, 4 * capacity
         for batch, texts in pieces(batches, "text", 1_000_000):
             out: list[tuple] = []
-            for doc, text in zip(batch.column(0).to_pylist(), texts, strict=True):
-                ids = bpe.encode(text) + end
+            for doc, ids in zip(batch.column(0).to_pylist(), bpe.encode_all(texts), strict=True):
+                ids += end
                 for at in range(0, len(ids), step):
                     piece = ids[at : at + step]
                     out.append((doc, pos, at // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4))

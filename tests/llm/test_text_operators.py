@@ -441,3 +441,29 @@ def test_equal_pieces_of_a_document_are_spread(spark):
     for r in rows:
         by.setdefault(r.sequence_id >> 32, []).append(r)
     assert max(map(len, by.values())) < 40
+
+
+def test_texts_encoded_together_are_as_one_by_one(path, reference, monkeypatch):
+    """Odd texts, contractions, symbols, long words, runs of several words, words met before and not; also with caches and groups of a few words."""
+    rnd = random.Random(8)
+    alphabet = "abcdeéß日²7'.,-!sm <|\n\x1f\x85\u0558"
+    texts = [*ODD, "don't x'sy ''s !'s 's a' abc, abc. é! 7. .7 a7 ª", "ab" * 200 + " " + "é" * 40, "<|endoftext|> a"] + ["".join(rnd.choices(alphabet, k=60)) for _ in range(3000)]
+    raw = open(path, "rb").read()
+    want = [ids(reference, t) for t in texts]
+    for together, cache in ((100_000, 350_000), (7, 350_000), (50, 20)):
+        monkeypatch.setattr(bpe, "_TOGETHER", together)
+        own = bpe.WordBpe(raw, cache=cache)
+        for _ in range(2):
+            assert [np.frombuffer(x, "<u4").tolist() for x in own.encode_all(texts)] == want
+        assert own.encode_all([]) == [] and own.encode_all([None, ""]) == [b"", b""]
+
+
+def test_words_of_a_batch_are_merged_together(path, monkeypatch):
+    """Packing's slices merge new words in columns; one by one each costs several times as much."""
+    own, rnd, alone = bpe.WordBpe(open(path, "rb").read()), random.Random(9), []
+    merge = own.merge
+    monkeypatch.setattr(own, "merge", lambda w: alone.append(w) or merge(w))
+    texts = [" ".join("".join(rnd.choices("abcdefghij", k=rnd.randint(2, 9))) + rnd.choice(["", ",", "."]) for _ in range(200)) for _ in range(100)]
+    got = own.encode_all(texts)
+    assert len(alone) < 100
+    assert got == [own.encode(t) for t in texts]
