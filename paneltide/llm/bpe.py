@@ -73,6 +73,14 @@ def split_words(run: str) -> list[str]:
     return (_WORD if run.isascii() or not _NEWER.search(run) else _NEWER_WORD).findall(run)
 
 
+def _latin(text: str) -> bool:
+    """No code point beyond U+00FF: nothing to compose, and no capital that needs care."""
+    try:
+        return text.isascii() or bool(text.encode("latin-1"))
+    except UnicodeEncodeError:
+        return False
+
+
 def _letters(run: str) -> bool:
     """Surely nothing but letters to any version of Unicode: those below U+0250 have always been there."""
     return run.isalpha() and (run.isascii() or max(run) < "\u0250")
@@ -212,17 +220,23 @@ class _Cache(dict):
         out = self.old.get(word)
         if out is None:
             out = self.make(word)
-        self.keep(word, out)
+        self._room(1, 200 + 2 * len(word) + len(out))
+        self[word] = out
         return out
 
-    def keep(self, word, out) -> None:
-        if len(word) > _KEPT:
-            return
-        size = 200 + 2 * len(word) + len(out)  # with the objects' own
-        if len(self) >= self.limit or self.bytes + size > 256 * self.limit:
+    def keep_all(self, made: dict) -> None:
+        """Takes what was made elsewhere, an eighth of a generation at a time."""
+        entries, step = [(w, x) for w, x in made.items() if len(w) <= _KEPT], max(1, self.limit // 8)
+        for at in range(0, len(entries), step):
+            some = entries[at : at + step]
+            self._room(len(some), sum([200 + 2 * len(w) + len(x) for w, x in some]))
+            self.update(some)
+
+    def _room(self, n: int, size: int) -> None:
+        """Begins a generation where ``n`` entries of ``size`` bytes, with the objects' own, don't fit."""
+        if len(self) + n > self.limit or self.bytes + size > 256 * self.limit:
             self.old, self.bytes = dict(self), 0
             self.clear()
-        self[word] = out
         self.bytes += size
 
 
@@ -355,7 +369,7 @@ class WordBpe:
         return self.merge(word) if known is None else known
 
     def _lowered(self, text: str) -> str:
-        if not text.isascii():
+        if not _latin(text):
             if not unicodedata.is_normalized("NFC", text):
                 text = unicodedata.normalize("NFC", text)
             text = text.replace("Σ", "σ")  # lower() alone would apply the final-sigma rule
@@ -381,15 +395,16 @@ class WordBpe:
     def encode_all(self, texts: Sequence[str | None]) -> list[bytes]:
         """``encode`` of each text; the words of all runs that no cache holds are merged together, some ``_TOGETHER`` at a time."""
         out: list[list[bytes]] = [[] for _ in texts]
-        late: list[tuple[list, int, list[str], list]] = []
+        late: list[tuple[list, int, list[str], list, list[int]]] = []
         missing: set[str] = set()
 
         def settle() -> None:
             new = self._encode_runs(missing)
-            for parts, k, own, found in late:
-                parts[k] = b"".join([new[r] if x is None else x for r, x in zip(own, found, strict=True)])
-            for r, x in new.items():
-                self.runs.keep(r, x)
+            for parts, k, own, found, gaps in late:
+                for g in gaps:
+                    found[g] = new[own[g]]
+                parts[k] = b"".join(found)
+            self.runs.keep_all(new)
             late.clear()
             missing.clear()
 
@@ -402,8 +417,9 @@ class WordBpe:
                 own = runs[at : at + _TOGETHER]
                 found = list(map(self.runs.get, own))
                 if None in found:
-                    missing.update([r for r, x in zip(own, found, strict=True) if x is None])
-                    late.append((parts, len(parts), own, found))
+                    gaps = [k for k, x in enumerate(found) if x is None]
+                    missing.update([own[k] for k in gaps])
+                    late.append((parts, len(parts), own, found, gaps))
                     parts.append(b"")
                 else:
                     parts.append(b"".join(found))

@@ -90,7 +90,7 @@ def piece_table(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, pos, step = encoder(shared.value, cache=500_000), 0, 4 * capacity
-        for batch, texts in pieces(batches, "text", 1_000_000):
+        for batch, texts in pieces(batches, "text", 2_000_000):
             out: list[tuple] = []
             for doc, ids in zip(batch.column(0).to_pylist(), bpe.encode_all(texts), strict=True):
                 ids += end
