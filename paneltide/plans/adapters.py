@@ -17,13 +17,18 @@ def _market():
     return F.concat_ws("-", "origin", "destination").alias("market")
 
 
-def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def offers(spark: SparkSession, sf_dir: str, ends: DataFrame | None = None) -> DataFrame:
     """One priced offer per order line: ends of the trip, point of sale, observation and service dates, price.
 
     Customers meet the orders, not their lines, and suppliers the lines, before both meet by order: lines are shuffled once, in
-    narrow columns, and lie by order afterwards. Names are looked up last.
+    narrow columns, and lie by order afterwards. Names are looked up last. ``ends``: origins and destinations; offers of
+    others are left out before lines and orders are shuffled (those of unlisted pairs of them stay).
     """
     line, order, supplier, customer, nation, region = (table(spark, sf_dir, n) for n in ("lineitem", "orders", "supplier", "customer", "nation", "region"))
+    if ends is not None:
+        among = lambda end: nation.join(ends, F.col("n_name") == F.col(end), "left_semi").select("n_nationkey")
+        supplier = supplier.join(among("origin"), F.col("s_nationkey") == F.col("n_nationkey"), "left_semi")
+        customer = customer.join(among("destination"), F.col("c_nationkey") == F.col("n_nationkey"), "left_semi")
     asked = order.select("o_orderkey", "o_custkey", "o_orderpriority", F.col("o_orderdate").cast("date").alias("shop_date"))
     asked = asked.join(customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")).drop("o_custkey", "c_custkey")
     returns = F.col("l_returnflag") != "N"

@@ -177,8 +177,10 @@ def geo_enrich_left(spark, d):
 
 @query("SELECT search_id, line, market, pos, fare FROM offers WHERE market IN (SELECT market FROM offers GROUP BY market ORDER BY count(*) DESC, market LIMIT 14)", OFFERS_SQL)
 def top_market_semi_join(spark, d):
-    rows = offers(spark, d).withColumn("one", F.lit(1))
-    return dims.keep_keys(rows, restrict.volume_ranks(rows, ["market"], "one").where("volume_rank <= 14"), ["market"]).select("search_id", "line", "market", "pos", "fare")
+    """Markets are counted first, on a few columns; then only lines and orders of nations that the listed markets have are shuffled."""
+    seen = ranks.kept(offers(spark, d).groupBy("market", "origin", "destination").agg(F.count("*").alias("one")))
+    top = dims.keep_keys(seen, restrict.volume_ranks(seen, ["market"], "one").where("volume_rank <= 14"), ["market"])
+    return dims.keep_keys(offers(spark, d, top), top, ["market"]).select("search_id", "line", "market", "pos", "fare")
 
 
 @query("SELECT search_id, line, shop_date, out_date, fare FROM offers WHERE origin = 'NATION_1' AND destination = 'NATION_2' AND stay IS NULL", OFFERS_SQL)

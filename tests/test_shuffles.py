@@ -72,3 +72,10 @@ def test_dealt_sketches_hold_all_rows(spark):
     plain = sketches.sketch(df, ["k"], ["x"], ["v"])
     show = lambda s: sorted((r.k, r.rows, r.x_n, r.n) for r in s.select("k", "rows", "x_n", sketches.distinct_count("v").alias("n")).collect())
     assert show(dealt) == show(plain)
+
+
+def test_top_markets_are_counted_apart(spark):
+    """Lines occur once in the last plan, and suppliers of other nations are gone before lines meet orders."""
+    plan = plan_of(catalogue.QUERIES["top_market_semi_join"](spark, SF), "optimizedPlan")
+    assert sum("Relation" in line and "l_orderkey" in line for line in plan.split("\n")) == 1
+    assert any("LeftSemi, (s_nationkey" in line for line in plan.split("\n"))
