@@ -128,25 +128,50 @@ def with_quantiles(groups: DataFrame, df: DataFrame, value: str, probabilities:
     return groups.join(found.select(*(F.col(k).alias(n) for k, n in zip(keys, named, strict=True)), *probabilities), same, "left").drop(*named)
 
 
-def score_against(df: DataFrame, value: str, sample: DataFrame, sample_value: str, keys: Sequence[str] = ()) -> DataFrame:
+def _places(df: DataFrame, cuts: DataFrame, keys: Sequence[str], levels: int) -> DataFrame:
+    """``df`` with its key's ``_group`` and the place ``_at`` of ``_value`` among the key's cuts, by binary search: 2i + 1 on cut i, 2i before it; null without a value or group."""
+    named = [f"_key{i}" for i in range(len(keys))]
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, named, strict=True)), F.lit(True))
+    joined = df.join(cuts.select(*(F.col(k).alias(n) for k, n in zip(keys, named, strict=True)), "_group", "_cuts"), same, "left").drop(*named)
+    steps = F.array(*(F.lit(1 << i) for i in reversed(range(levels)))).cast("array<int>")
+    less = lambda at, step: F.when(F.get("_cuts", at + step - 1) < F.col("_value"), at + step).otherwise(at)
+    place = F.aggregate(steps, F.lit(0), less, lambda at: 2 * at + F.coalesce(F.get("_cuts", at) == F.col("_value"), F.lit(False)).cast("int"))
+    return joined.withColumn("_at", F.when(F.col("_value").isNotNull() & F.col("_cuts").isNotNull(), place)).drop("_cuts")
+
+
+def score_against(df: DataFrame, value: str, sample: DataFrame, sample_value: str, keys: Sequence[str] = (), share: float = 0.001, every: int = 20) -> DataFrame:
     """``df`` with the percentile of each row's value among the sample (of its key): share of the sample below it (``strict``), up to it (``weak``), and their mean (``score``), times 100.
 
-    Both samples' distinct values are merged in one order; a null value, or a key that the sample lacks, has no score.
+    A key's values are cut where every ``every``-th lies of a ``share`` of both samples' rows, as a range partitioner would; all rows are counted, so results don't depend on the
+    cuts. Rows on a cut, such as those of a common value, are placed by the counts between cuts; the others are sorted between two cuts, for which they are shuffled once, without
+    their keys. A null value, or a key that the sample lacks, has no score. Both samples are read several times, so they should be kept.
     """
-    own, theirs = F.col(value).cast("double").alias("_value"), F.col(sample_value).cast("double").alias("_value")
-    points = df.select(*keys, own, F.lit(0).alias("_n")).unionByName(sample.select(*keys, theirs, F.lit(1).alias("_n"))).where("_value is not null")
-    counts = points.groupBy(*keys, "_value").agg(F.sum("_n").alias("_n"))
-    merged = running(counts, keys, ["_value"], {"_up_to": ("sum", "_n")})
-    whole = sample.where(F.col(sample_value).isNotNull()).groupBy(*keys).agg(F.count("*").alias("_all"))
+    own = df.withColumn("_value", F.col(value).cast("double"))
+    points = sample.select(*keys, F.col(sample_value).cast("double").alias("_value")).where("_value is not null")
+    drawn = own.select(*keys, "_value").where("_value is not null").unionByName(points).sample(share, seed=1)
     named = [f"_key{i}" for i in range(len(keys))]
-    place = merged.select(*(F.col(k).alias(n) for k, n in zip(keys, named, strict=True)), "_value", "_n", "_up_to")
-    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, named, strict=True)), F.col(value).cast("double") == F.col("_value"))
-    out = df.join(place, same, "left").drop(*named)
-    whole = whole.select(*(F.col(k).alias(n) for k, n in zip(keys, named, strict=True)), "_all")
-    if keys:
-        out = out.join(whole, reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, named, strict=True))), "left").drop(*named)
-    else:
-        out = out.crossJoin(F.broadcast(whole))  # one row
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, named, strict=True)), F.lit(True))
+    cuts = drawn.groupBy(*(F.col(k).alias(n) for k, n in zip(keys, named, strict=True))).agg(F.sort_array(F.collect_list("_value")).alias("_drawn"))
+    cuts = cuts.withColumn("_cuts", F.array_distinct(F.filter("_drawn", lambda _, i: (i + 1) % every == 0)))
+    groups = points.groupBy(*keys).agg(F.count("*").alias("_all")).join(cuts, same, "left")
+    groups = kept(groups.select(*keys, "_all", F.coalesce("_cuts", F.array().cast("array<double>")).alias("_cuts"), F.monotonically_increasing_id().alias("_group")))
+    levels = (groups.agg(F.max(F.size("_cuts"))).first()[0] or 0).bit_length()
+    own, points = _places(own, groups, keys, levels), _places(points, groups, keys, levels).select("_group", "_at", "_value")
+    # per place between or on cuts: the sample's rows before it and in it
+    each = groups.select("_group", "_all", F.explode(F.sequence(F.lit(0), 2 * F.size("_cuts"))).alias("_at"))
+    counts = each.join(points.groupBy("_group", "_at").agg(F.count("*").alias("_in")), ["_group", "_at"], "left").fillna(0, ["_in"])
+    before = W.partitionBy("_group").orderBy("_at").rowsBetween(W.unboundedPreceding, -1)
+    places = kept(counts.withColumn("_before", F.coalesce(F.sum("_in").over(before), F.lit(0))))
+
     percent = lambda c: F.try_divide(100 * c, F.col("_all"))
-    out = out.withColumns({"strict": percent(F.col("_up_to") - F.col("_n")), "weak": percent(F.col("_up_to")), "score": percent(F.col("_up_to") - F.col("_n") / 2)})
-    return out.drop("_value", "_n", "_up_to", "_all")
+    scored = lambda rows, n, up_to: rows.withColumns({"strict": percent(up_to - n), "weak": percent(up_to), "score": percent(up_to - n / 2)}).select(*df.columns, "strict", "weak", "score")
+    still = own.where("_at is null or _at % 2 = 1").join(places, ["_group", "_at"], "left")
+    same_value = dict(df.dtypes)[value] == "double"  # the value isn't carried twice
+    carried = [c for c in df.columns if c not in keys and not (same_value and c == value)]
+    moved = own.where("_at % 2 = 0").select("_group", "_at", "_value", F.lit(0).alias("_n"), *carried)
+    moved = moved.unionByName(points.where("_at % 2 = 0").select("_group", "_at", "_value", F.lit(1).alias("_n")), allowMissingColumns=True)
+    stretch = W.partitionBy("_group", "_at")  # equal values' rows of the sample come last: what is summed up to a row of df is less; both sums read one sort
+    moved = moved.withColumn("_less", F.sum("_n").over(stretch.orderBy("_value", "_n"))).withColumn("_up_to", F.sum("_n").over(stretch.orderBy("_value"))).where("_n = 0").join(places, ["_group", "_at"]).join(groups.select("_group", *keys), "_group")
+    if value not in [*keys, *carried]:
+        moved = moved.withColumn(value, F.col("_value"))
+    return scored(still, F.col("_in"), F.col("_before") + F.col("_in")).unionByName(scored(moved, F.col("_up_to") - F.col("_less"), F.col("_before") + F.col("_up_to")))

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from paneltide.operators import sketches
+from paneltide.operators import ranks, sketches
 from paneltide.plans import adapters, catalogue, spans  # noqa: F401  spans registers its queries
 
 SF = "/root/testdata/sf0.001"
@@ -79,3 +79,28 @@ def test_top_markets_are_counted_apart(spark):
     plan = plan_of(catalogue.QUERIES["top_market_semi_join"](spark, SF), "optimizedPlan")
     assert sum("Relation" in line and "l_orderkey" in line for line in plan.split("\n")) == 1
     assert any("LeftSemi, (s_nationkey" in line for line in plan.split("\n"))
+
+
+def test_scored_rows_are_shuffled_once_without_their_keys(spark):
+    plan = plan_of(catalogue.QUERIES["score_against_sample"](spark, SF))
+    dealt = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line or "Exchange rangepartitioning" in line]
+    assert len(dealt) == 1 and "market" not in dealt[0]
+
+
+def test_common_values_are_not_shuffled(spark):
+    """Nine tenths of the rows share a value: only the others are dealt."""
+    df = spark.range(20000).selectExpr("id", "CASE WHEN id % 10 = 0 THEN CAST(id AS double) ELSE 5.5 END AS x", "'a' AS k")
+    out = ranks.score_against(df, "x", df, "x", ["k"], share=0.1)
+    assert out.where("x = 5.5").agg({"weak": "max"}).first()[0] == 100 * 18001 / 20000
+    write = out._jdf.queryExecution()
+    out._jdf.collectToPython()
+    exchanges, todo = [], [write.executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "ShuffleExchangeExec":
+            exchanges.append(node.metrics().apply("shuffleRecordsWritten").value())
+        below_it = [node.executedPlan()] if name == "AdaptiveSparkPlanExec" else [node.plan()] if name.endswith("QueryStageExec") else []
+        children = node.children()
+        todo += below_it + [children.apply(i) for i in range(children.size())]
+    assert max(exchanges) <= 2 * 2000

@@ -1,6 +1,7 @@
 """Sketches, running gaps, ranks by range partitions, elastic nets and folds."""
 
 import datetime as dt
+import random
 
 import numpy as np
 import pandas as pd
@@ -197,6 +198,29 @@ def test_scores_against_another_sample(spark):
     same(ranks.score_against(own.where("k = 'b'"), "x", sample, "y").select("weak"), [(40.0,)])
 
 
+@pytest.mark.parametrize("keys", [[], ["k"]])
+@pytest.mark.parametrize("kind", ["double", "decimal(9,2)"])
+@pytest.mark.parametrize("every", [1, 4, 10**6])
+def test_scores_do_not_depend_on_cuts(spark, keys, kind, every):
+    """With many, some and no cuts: common values, both zeros, NaN, nulls, keys that only one side has."""
+    rnd = random.Random(every)
+    draw = lambda n, ks: [(i, rnd.choice(ks), rnd.choice([7.0, 7.0, None, 0.0, *([-0.0, float("nan")] if kind == "double" else []), rnd.randrange(-40, 160) / 4])) for i in range(n)]
+    mine, theirs = draw(300, ["a", "b", None, "mine"]), draw(400, ["a", "b", None, "theirs"])
+    own, sample = (spark.createDataFrame(r, "id int, k string, x double").withColumn("x", F.col("x").cast(kind)) for r in (mine, theirs))
+    out = ranks.score_against(own, "x", sample, "x", keys, share=1.0, every=every)
+    assert out.dtypes[:3] == own.dtypes
+    order = lambda x: (x != x, 0.0 if x != x else x)  # noqa: E731  NaN is greatest, and equal to itself
+    want = {}
+    for i, k, x in mine:
+        held = [order(y) for _, key, y in theirs if y is not None and (not keys or key == k)]
+        less, up_to = (0, 0) if x is None else (sum(y < order(x) for y in held), sum(y <= order(x) for y in held))
+        want[i] = (k, None if x is None else order(x), *((None,) * 3 if x is None or not held else (100 * n / len(held) for n in (less, up_to, (less + up_to) / 2))))
+    got = {r.id: (r.k, None if r.x is None else order(float(r.x)), r.strict, r.weak, r.score) for r in out.collect()}
+    assert got.keys() == want.keys() and len(mine) == out.count()
+    for i, row in want.items():
+        assert got[i][:2] == row[:2] and got[i][2:] == pytest.approx(row[2:])
+
+
 # --- elastic nets
 
 
